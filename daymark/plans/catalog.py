@@ -185,3 +185,99 @@ def q_daily_conversion_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.daily_conversion(
         TB.events_table(spark, sf_dir), TB.purchases_table(spark, sf_dir), round_to=None
     )
+
+
+# ---------------------------------------------------------------------------
+# Q1-Q7: data quality.
+# ---------------------------------------------------------------------------
+
+from daymark.operators import quality as DQ  # noqa: E402
+
+# Rules the catalog runs over the warehouse tables: the job's three declared
+# rules plus one of each check on columns that do violate them.
+DQ_RULES: tuple[DQ.Rule, ...] = DQ.DEFAULT_RULES + (
+    DQ.Rule("labeled_documents", "quality", "not_null"),
+    DQ.Rule("accounts", "c_acctbal", "gt_zero"),
+    DQ.Rule("orders", "user_id", "unique"),
+)
+
+
+def dq_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {
+        "orders": TB.orders_table(spark, sf_dir).select("order_id", "user_id", "amount"),
+        "users": TB.users_table(spark, sf_dir),
+        "labeled_documents": TB.labeled_documents_table(spark, sf_dir),
+        "accounts": TB.accounts_table(spark, sf_dir),
+    }
+
+
+@register(
+    "dq_not_null_rows",
+    """
+SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.quality IS NULL""",
+)
+def q_dq_not_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.violations(
+        TB.labeled_documents_table(spark, sf_dir), DQ.Rule("labeled_documents", "quality", "not_null")
+    )
+
+
+@register(
+    "dq_gt_zero_rows",
+    "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal <= 0",
+)
+def q_dq_gt_zero_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.violations(TB.accounts_table(spark, sf_dir), DQ.Rule("accounts", "c_acctbal", "gt_zero"))
+
+
+@register(
+    "dq_unique_rows",
+    """
+SELECT o_orderkey AS order_id, o_custkey AS user_id FROM orders
+WHERE o_custkey IN (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1)
+   OR (o_custkey IS NULL AND (SELECT count(*) FROM orders WHERE o_custkey IS NULL) > 1)""",
+)
+def q_dq_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = TB.orders_table(spark, sf_dir).select("order_id", "user_id")
+    return DQ.violations(orders, DQ.Rule("orders", "user_id", "unique"))
+
+
+@register("dq_quarantine")
+def q_dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.quarantine(dq_tables(spark, sf_dir), DQ_RULES)
+
+
+def _sql_row_rule(table_sql: str, table: str, label: str, fail: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{label}' AS rule, count(*) AS rows_checked, "
+        f"count(*) FILTER (WHERE {fail}) AS violations FROM ({table_sql}) t"
+    )
+
+
+def _sql_unique_rule(table_sql: str, table: str, column: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, 'unique({column})' AS rule, "
+        f"CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_checked, "
+        f"CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS violations "
+        f"FROM (SELECT {column}, count(*) AS n FROM ({table_sql}) t GROUP BY {column}) g"
+    )
+
+
+_SQL_LABELED = (
+    "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+)
+
+_SQL_RULE_SUMMARY = "SELECT table_name, rule, rows_checked, violations, violations = 0 AS ok FROM (\n" + "\nUNION ALL\n".join([
+    _sql_row_rule(_SQL_ORDERS, "orders", "not_null(order_id)", "order_id IS NULL"),
+    _sql_row_rule(_SQL_ORDERS, "orders", "gt_zero(amount)", "amount <= 0"),
+    _sql_unique_rule(_SQL_USERS, "users", "user_id"),
+    _sql_row_rule(_SQL_LABELED, "labeled_documents", "not_null(quality)", "quality IS NULL"),
+    _sql_row_rule("SELECT * FROM customer", "accounts", "gt_zero(c_acctbal)", "c_acctbal <= 0"),
+    _sql_unique_rule(_SQL_ORDERS, "orders", "user_id"),
+]) + "\n) s"
+
+
+@register("dq_rule_summary", _SQL_RULE_SUMMARY)
+def q_dq_rule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.rule_summary(dq_tables(spark, sf_dir), DQ_RULES)

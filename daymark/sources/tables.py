@@ -56,3 +56,14 @@ def users_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_custkey").alias("user_id"),
         F.col("c_mktsegment").alias("channel"),
     )
+
+
+def labeled_documents_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents ⟕ labels on doc_id → (doc_id, quality); unlabeled → NULL."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return docs.join(labels, "doc_id", "left")
+
+
+def accounts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
