@@ -25,16 +25,17 @@ def parse_run_date(value: str | dt.date | dt.datetime | None) -> dt.date | None:
 
 
 def parse_timestamp(col: str | Column, data_type: T.DataType | None = None) -> Column:
-    """Text → timestamp; junk becomes NULL instead of failing the job.
+    """Text → wall-clock TIMESTAMP_NTZ; junk becomes NULL instead of failing.
 
-    Columns that are already timestamps (Parquet input) pass through.
+    Text with an offset is moved to the session time zone first, text without
+    one is read as session-zone wall-clock time.  NTZ input passes through.
     """
     c = F.col(col) if isinstance(col, str) else col
-    if data_type is not None and isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, T.TimestampNTZType):
         return c
-    if data_type is not None and isinstance(data_type, T.DateType):
-        return c.cast("timestamp")
-    return F.try_to_timestamp(c)
+    if isinstance(data_type, (T.TimestampType, T.DateType)):
+        return c.cast("timestamp_ntz")
+    return F.try_to_timestamp(c).cast("timestamp_ntz")
 
 
 def day_of(col: str | Column) -> Column:

@@ -281,3 +281,7 @@ _SQL_RULE_SUMMARY = "SELECT table_name, rule, rows_checked, violations, violatio
 @register("dq_rule_summary", _SQL_RULE_SUMMARY)
 def q_dq_rule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.rule_summary(dq_tables(spark, sf_dir), DQ_RULES)
+
+
+# Round trips register themselves on import (they reuse the SQL above).
+from daymark.plans import catalog_io  # noqa: E402,F401

@@ -24,26 +24,30 @@ EVENTS_RAW = T.StructType([
     T.StructField("props", T.StringType(), True),
 ])
 
-# Users dimension (users.csv).
+# Users dimension (users.csv): the two columns the metrics read.  Files that
+# also carry the documented signup_date use USERS_RAW_WITH_SIGNUP.
 USERS_RAW = T.StructType([
     T.StructField("user_id", T.LongType(), True),
     T.StructField("channel", T.StringType(), True),
-    T.StructField("signup_date", T.DateType(), True),
 ])
 
+USERS_RAW_WITH_SIGNUP = T.StructType(
+    USERS_RAW.fields + [T.StructField("signup_date", T.DateType(), True)]
+)
+
 # Typed bronze tables (what the metrics consume).
 ORDERS = T.StructType([
     T.StructField("order_id", T.StringType(), True),
     T.StructField("user_id", T.LongType(), True),
     T.StructField("amount", T.DoubleType(), True),
-    T.StructField("order_ts", T.TimestampType(), True),
+    T.StructField("order_ts", T.TimestampNTZType(), True),
 ])
 
 EVENTS = T.StructType([
     T.StructField("event_id", T.LongType(), True),
     T.StructField("user_id", T.LongType(), True),
     T.StructField("event_type", T.StringType(), True),
-    T.StructField("ts", T.TimestampType(), True),
+    T.StructField("ts", T.TimestampNTZType(), True),
 ])
 
 USERS = T.StructType([

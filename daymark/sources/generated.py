@@ -1,0 +1,17 @@
+"""Generated inputs used by the smoke jobs (not registered as queries)."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def range_frame(spark: SparkSession, end: int, start: int = 0) -> DataFrame:
+    """``id`` LONG over [start, end) — distributed, never materialised on the driver."""
+    return spark.range(start, end)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[str]) -> DataFrame:
+    """A handful of local rows as a DataFrame (tests and smoke runs only)."""
+    return spark.createDataFrame(list(rows), list(columns))
