@@ -56,12 +56,19 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean rows without the corrupt column, quarantine rows)."""
+    """(clean rows without the corrupt column, quarantine rows).
+
+    Quarantine rows carry the raw line as ``row_json`` next to whatever
+    fields did parse (Spark also refuses a raw scan that reads nothing but
+    the corrupt-record column).
+    """
     bad = F.col(S.CORRUPT_COLUMN).isNotNull()
+    parsed = [c for c in raw.columns if c != S.CORRUPT_COLUMN]
     clean = raw.where(~bad).drop(S.CORRUPT_COLUMN)
     quarantined = raw.where(bad).select(
         F.lit("events").alias("table_name"),
         F.lit("parse").alias("rule"),
         F.col(S.CORRUPT_COLUMN).alias("row_json"),
+        *parsed,
     )
     return clean, quarantined
