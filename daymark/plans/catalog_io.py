@@ -24,7 +24,13 @@ from daymark.plans.catalog import (
     _sql_daily_orders,
     register,
 )
-from daymark.plans.daily import PARTITION_COLUMNS, build_metric_tables, restrict_days
+from daymark.plans.daily import (
+    LAYOUTS,
+    PARTITION_COLUMNS,
+    TIE_COLUMNS,
+    build_metric_tables,
+    restrict_days,
+)
 from daymark.plans.job import JobPaths, run_daily_job
 from daymark.session import shared_dir
 from daymark.sinks import files as SK
@@ -201,9 +207,18 @@ FROM ({_SQL_PURCHASES}) o LEFT JOIN ({_SQL_USERS}) u ON o.user_id = u.user_id GR
     "daily_conversion": _sql_conversion(_SQL_PURCHASES, rounded=True),
 }
 
+_SQL_ORDER_TABLES = {
+    "daily_orders": ORACLE_SQL["daily_orders"],
+    "daily_revenue": ORACLE_SQL["daily_revenue"],
+    "daily_active_users": ORACLE_SQL["daily_active_users"],
+    "daily_active_users_by_channel": _SQL_DAU_CH,
+    "daily_revenue_by_channel": ORACLE_SQL["daily_revenue_by_channel"],
+    "daily_conversion": ORACLE_SQL["daily_conversion"],
+}
+
 
-def _counts_sql(column: str, extra: str = "") -> str:
-    parts = [_sql_count(n, s, column) for n, s in _SQL_PURCHASE_TABLES.items()]
+def _counts_sql(column: str, extra: str = "", tables: dict[str, str] = _SQL_PURCHASE_TABLES) -> str:
+    parts = [_sql_count(n, s, column) for n, s in tables.items()]
     return f"SELECT table_name, {column}{extra} FROM (\n" + "\nUNION ALL\n".join(parts) + "\n) c"
 
 
@@ -215,28 +230,34 @@ def q_publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     silver = join_uri(root, "silver")
     for name, t in tables.items():
-        SK.write_partitioned(t.df, join_uri(silver, name), [t.partition_col], count_rows=False)
+        SK.write_partitioned(
+            t.df, join_uri(silver, name), [t.partition_col], count_rows=False,
+            layout=t.layout, tie_cols=t.tie_cols,
+        )
     written = {name: spark.read.parquet(join_uri(silver, name)) for name in tables}
-    outcomes = WH.publish(written, join_uri(root, "published"), PARTITION_COLUMNS)
+    layouts = {n: (LAYOUTS[n], TIE_COLUMNS.get(n, ())) for n in tables}
+    outcomes = WH.publish(
+        written, join_uri(root, "published"), PARTITION_COLUMNS, layouts=layouts
+    )
     return WH.outcomes_frame(spark, outcomes).select("table_name", "rows_written", "ok")
 
 
-@register("gated_publish", ORACLE_SQL["daily_conversion_purchases"])
+@register("gated_publish", ORACLE_SQL["daily_conversion"])
 def q_gated_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate the job's rules on the inputs, then publish daily_conversion."""
     root = shared_dir(spark, "gated_publish")
-    orders = TB.purchases_table(spark, sf_dir)
+    orders = TB.orders_table(spark, sf_dir)
     users = TB.users_table(spark, sf_dir)
     DQ.gate(DQ.rule_summary({"orders": orders, "users": users}, DQ.DEFAULT_RULES))
     conv = M.daily_conversion(TB.events_table(spark, sf_dir), orders)
     out = join_uri(root, "daily_conversion")
-    WH.publish({"daily_conversion": conv}, root, {"daily_conversion": "date"})
+    WH.publish({"daily_conversion": conv}, root, {"daily_conversion": "date"}, layouts=LAYOUTS)
     return SK.read_back(spark, out, S.DAILY_CONVERSION)
 
 
 def _staged_job(spark: SparkSession, sf_dir: str, key: str):
     root = shared_dir(spark, key)
-    orders = ST.stage_orders_csv(spark, sf_dir, root, purchases=True)
+    orders = ST.stage_orders_csv(spark, sf_dir, root)
     events = ST.stage_events_ndjson(spark, sf_dir, root)
     users = ST.stage_users_csv(spark, sf_dir, root)
     paths = JobPaths(
@@ -248,7 +269,7 @@ def _staged_job(spark: SparkSession, sf_dir: str, key: str):
     )
 
 
-@register("stage_metrics", _counts_sql("rows"))
+@register("stage_metrics", _counts_sql("rows", tables=_SQL_ORDER_TABLES))
 def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written per silver table, counted by Observations on the writes."""
     result = _staged_job(spark, sf_dir, "stage_metrics")

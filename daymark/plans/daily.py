@@ -37,6 +37,8 @@ class MetricTable:
     name: str
     df: DataFrame
     partition_col: str
+    layout: str = "cluster"
+    tie_cols: tuple[str, ...] = ()
 
 
 # Partition column and warehouse table of each output (fixed names).
@@ -49,6 +51,12 @@ PARTITION_COLUMNS = {
     "daily_conversion": "date",
 }
 
+# Write layout: ranges of days per task.  Rows per day are bounded (one, or
+# one per channel) except for daily_revenue (one per buyer), whose range
+# bounds also use user_id so a hot day is split over several tasks.
+LAYOUTS = {name: "cluster" for name in PARTITION_COLUMNS}
+TIE_COLUMNS = {"daily_revenue": ("user_id",)}
+
 WAREHOUSE_TABLES = {
     "daily_orders": "fact_daily_orders",
     "daily_revenue": "fact_daily_revenue",
@@ -89,5 +97,8 @@ def build_metric_tables(
         "daily_conversion": M.daily_conversion(events, orders, round_to),
     }
     return {
-        name: MetricTable(name, df, PARTITION_COLUMNS[name]) for name, df in frames.items()
+        name: MetricTable(
+            name, df, PARTITION_COLUMNS[name], LAYOUTS[name], TIE_COLUMNS.get(name, ())
+        )
+        for name, df in frames.items()
     }

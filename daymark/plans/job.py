@@ -99,7 +99,7 @@ def write_metric_tables(
     return {
         name: write_partitioned(
             t.df, paths.output(name), [t.partition_col], fmt=fmt,
-            files_per_partition=files_per_partition,
+            files_per_partition=files_per_partition, layout=t.layout, tie_cols=t.tie_cols,
         )
         for name, t in tables.items()
     }
@@ -173,7 +173,8 @@ def run_daily_job(
     for name, t in tables.items():
         t0 = time.time()
         outputs[name] = write_partitioned(
-            t.df, paths.output(name), [t.partition_col], fmt=silver_format
+            t.df, paths.output(name), [t.partition_col], fmt=silver_format,
+            layout=t.layout, tie_cols=t.tie_cols,
         )
         record("transform", name, outputs[name].rows, t0)
 
@@ -183,7 +184,9 @@ def run_daily_job(
         written = {
             name: spark.read.format(silver_format).load(paths.output(name)) for name in tables
         }
-        for o in publish(written, paths.publish, {n: t.partition_col for n, t in tables.items()}):
+        parts = {n: t.partition_col for n, t in tables.items()}
+        layouts = {n: (t.layout, t.tie_cols) for n, t in tables.items()}
+        for o in publish(written, paths.publish, parts, fmt=silver_format, layouts=layouts):
             record("publish", o.table_name, o.rows_written, t0)
 
     result = JobResult(run_id, day, checked, outputs, stages)

@@ -39,6 +39,15 @@ def stringify_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("string") for c in cols})
 
 
+def rebalance(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """AQE-sized output partitions clustered by the partition columns.
+
+    Each day lands in few files instead of one file per shuffle partition,
+    and AQE splits a skewed day across tasks rather than writing it in one.
+    """
+    return df.hint("rebalance", *partition_cols)
+
+
 def spread_partitions(df: DataFrame, partition_cols: Sequence[str], files_per_partition: int) -> DataFrame:
     """Cluster rows by partition value into ``files_per_partition`` buckets.
 
@@ -50,6 +59,45 @@ def spread_partitions(df: DataFrame, partition_cols: Sequence[str], files_per_pa
     return df.repartition(*[F.col(c) for c in partition_cols], bucket)
 
 
+def cluster(
+    df: DataFrame, partition_cols: Sequence[str], tie_cols: Sequence[str] = ()
+) -> DataFrame:
+    """Contiguous ranges of (partition value, tie columns), one range per task.
+
+    Each small partition value becomes one file, and the values are written
+    by ``spark.sql.shuffle.partitions`` tasks in parallel.  A range shuffle
+    with a fixed count is neither merged into the upstream hash partitioning
+    nor coalesced by AQE, so a backfill of thousands of small days does not
+    collapse into one task writing every folder.  With ``tie_cols`` the
+    sampled range bounds fall inside a large value in proportion to its rows,
+    so a hot day is split over several tasks instead of one.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(c) for c in (*partition_cols, *tie_cols)]
+    return df.repartitionByRange(n, *keys)
+
+
+LAYOUTS = ("balance", "cluster", "spread", "none")
+
+
+def layout_for_write(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    layout: str = "balance",
+    files_per_partition: int | None = None,
+    tie_cols: Sequence[str] = (),
+) -> DataFrame:
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    if layout == "spread" or files_per_partition:
+        return spread_partitions(df, partition_cols, files_per_partition or 1)
+    if layout == "cluster":
+        return cluster(df, partition_cols, tie_cols)
+    if layout == "balance":
+        return rebalance(df, partition_cols)
+    return df
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -61,11 +109,18 @@ def write_partitioned(
     files_per_partition: int | None = None,
     compression: str | None = None,
     count_rows: bool = True,
+    layout: str = "balance",
+    tie_cols: Sequence[str] = (),
 ) -> WriteResult:
-    """``partitionBy(cols).mode(overwrite)`` write (K1 CSV / K2 Parquet)."""
+    """``partitionBy(cols).mode(overwrite)`` write (K1 CSV / K2 Parquet).
+
+    ``layout``: ``balance`` (AQE sizes files, splits a skewed value),
+    ``cluster`` (range of values per task; with ``tie_cols`` a large value is
+    split), ``spread`` (``files_per_partition`` hashed buckets per value) or
+    ``none``.
+    """
     out = stringify_columns(df, partition_cols) if stringify else df
-    if files_per_partition:
-        out = spread_partitions(out, partition_cols, files_per_partition)
+    out = layout_for_write(out, partition_cols, layout, files_per_partition, tie_cols)
     out, obs = _observed(out, count_rows)
     writer = (
         out.write.mode("overwrite")

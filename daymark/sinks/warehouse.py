@@ -86,15 +86,23 @@ def publish(
     partition_cols: Mapping[str, str] | None = None,
     fmt: str = "parquet",
     raise_on_error: bool = True,
+    layouts: Mapping[str, str | tuple[str, tuple[str, ...]]] | None = None,
 ) -> list[PublishOutcome]:
-    """Write each table under ``target_root/<name>``; per-table outcome."""
+    """Write each table under ``target_root/<name>``; per-table outcome.
+
+    ``layouts`` maps a table to a write layout, or (layout, tie columns).
+    """
     outcomes = []
     for name, df in tables.items():
         target = f"{target_root.rstrip('/')}/{name}"
         try:
             part = (partition_cols or {}).get(name)
             if part:
-                res = write_partitioned(df, target, [part], fmt=fmt)
+                spec = (layouts or {}).get(name, "balance")
+                layout, ties = (spec, ()) if isinstance(spec, str) else spec
+                res = write_partitioned(
+                    df, target, [part], fmt=fmt, layout=layout, tie_cols=ties
+                )
             else:
                 res = write_flat(df, target, fmt=fmt)
             outcomes.append(PublishOutcome(name, target, res.rows, True))
