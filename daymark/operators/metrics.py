@@ -143,8 +143,9 @@ def daily_conversion(
     """Per active day: dau, buyers (0 if none), buyers / dau.
 
     Days without events are absent; the rate may exceed 1 because buyers
-    need not be active.  Both sides are aggregated by day, so the join is
-    between already hash-partitioned frames and adds no exchange.
+    need not be active.  Both sides hold one row per day, so the side Spark
+    may broadcast is bounded by the number of distinct days; otherwise both
+    are already hash-partitioned by day and the join adds no exchange.
     """
     dau = daily_active_users(events)
     buyers = daily_buyers(orders)

@@ -17,6 +17,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, prepare_dimension
+
 CHECKS = ("not_null", "gt_zero", "unique")
 
 
@@ -80,14 +82,25 @@ def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def violations(df: DataFrame, rule: Rule) -> DataFrame:
-    """Rows of ``df`` that break ``rule`` (same columns as ``df``)."""
+def violations(
+    df: DataFrame,
+    rule: Rule,
+    broadcast_keys: bool | None = None,
+    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+) -> DataFrame:
+    """Rows of ``df`` that break ``rule`` (same columns as ``df``).
+
+    For ``unique`` the duplicated keys are counted first (one job over the
+    key column): a small set is broadcast, a large one is joined by a
+    shuffle sort-merge join whose hot keys AQE splits.  No window over the
+    key, whose hot partition would be a single task.
+    """
     col = F.col(rule.column)
     if rule.check in ("not_null", "gt_zero"):
         return df.where(_failing(col, rule.check))
-    dups = duplicate_keys(df, rule.column)
-    # Null-safe semi-join back: an equi-join (BHJ or SMJ), so a hot key is
-    # split by AQE's skew handling instead of landing in one window task.
+    dups = prepare_dimension(
+        duplicate_keys(df, rule.column), broadcast_keys, max_broadcast_rows
+    )
     return df.join(dups, df[rule.column].eqNullSafe(dups["_dup_key"]), "left_semi")
 
 

@@ -243,7 +243,40 @@ def q_dq_unique_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.violations(orders, DQ.Rule("orders", "user_id", "unique"))
 
 
-@register("dq_quarantine")
+def _sql_json_rows(table: str, rule: str, src: str, cols: tuple[str, ...], where: str) -> str:
+    packed = ", ".join(f"{c} := {c}" for c in cols)
+    return (
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, "
+        f"CAST(to_json(struct_pack({packed})) AS VARCHAR) AS row_json FROM ({src}) t WHERE {where}"
+    )
+
+
+def _sql_dup(src: str, col: str) -> str:
+    return (
+        f"({col} IN (SELECT {col} FROM ({src}) s GROUP BY 1 HAVING count(*) > 1) OR "
+        f"({col} IS NULL AND (SELECT count(*) FROM ({src}) s WHERE {col} IS NULL) > 1))"
+    )
+
+
+_SQL_DQ_ORDERS = "SELECT order_id, user_id, amount FROM (" + _SQL_ORDERS + ") o"
+_ORDER_COLS = ("order_id", "user_id", "amount")
+
+_SQL_QUARANTINE = "\nUNION ALL\n".join([
+    _sql_json_rows("orders", "not_null(order_id)", _SQL_DQ_ORDERS, _ORDER_COLS, "order_id IS NULL"),
+    _sql_json_rows("orders", "gt_zero(amount)", _SQL_DQ_ORDERS, _ORDER_COLS, "amount <= 0"),
+    _sql_json_rows("users", "unique(user_id)", _SQL_USERS, ("user_id", "channel"),
+                   _sql_dup(_SQL_USERS, "user_id")),
+    _sql_json_rows("labeled_documents", "not_null(quality)",
+                   "SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id",
+                   ("doc_id", "quality"), "quality IS NULL"),
+    _sql_json_rows("accounts", "gt_zero(c_acctbal)", "SELECT c_custkey, c_acctbal FROM customer",
+                   ("c_custkey", "c_acctbal"), "c_acctbal <= 0"),
+    _sql_json_rows("orders", "unique(user_id)", _SQL_DQ_ORDERS, _ORDER_COLS,
+                   _sql_dup(_SQL_DQ_ORDERS, "user_id")),
+])
+
+
+@register("dq_quarantine", _SQL_QUARANTINE)
 def q_dq_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.quarantine(dq_tables(spark, sf_dir), DQ_RULES)
 

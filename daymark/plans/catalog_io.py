@@ -31,7 +31,7 @@ from daymark.plans.daily import (
     build_metric_tables,
     restrict_days,
 )
-from daymark.plans.job import JobPaths, run_daily_job
+from daymark.plans.job import JobPaths, run_daily_job, write_metric_tables
 from daymark.session import shared_dir
 from daymark.sinks import files as SK
 from daymark.sinks import warehouse as WH
@@ -269,18 +269,34 @@ def _staged_job(spark: SparkSession, sf_dir: str, key: str):
     )
 
 
-@register("stage_metrics", _counts_sql("rows", tables=_SQL_ORDER_TABLES))
+@register("stage_metrics", _counts_sql("rows"))
 def q_stage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows written per silver table, counted by Observations on the writes."""
-    result = _staged_job(spark, sf_dir, "stage_metrics")
-    return (
-        result.stages_frame(spark)
-        .where(F.col("stage") == "transform")
-        .select("table_name", "rows")
+    root = shared_dir(spark, "stage_metrics")
+    tables = build_metric_tables(
+        TB.purchases_table(spark, sf_dir), TB.events_table(spark, sf_dir),
+        TB.users_table(spark, sf_dir),
     )
+    paths = JobPaths(bronze=join_uri(root, "bronze"), silver=join_uri(root, "silver"), users="")
+    written = write_metric_tables(tables, paths)
+    rows = [(name, res.rows) for name, res in written.items()]
+    return spark.createDataFrame(rows, "table_name string, rows bigint")
+
+
+_SQL_JOB_DQ_VIOLATIONS = f"""
+(SELECT count(*) FILTER (WHERE order_id IS NULL) + count(*) FILTER (WHERE amount <= 0) FROM ({_SQL_ORDERS}) o)
++ (SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT)
+   FROM (SELECT user_id, count(*) AS n FROM ({_SQL_USERS}) u GROUP BY 1) g)"""
+
+_SQL_JOB_SUMMARY = f"""
+SELECT 'ingest' AS stage, 'orders' AS table_name, count(*) AS rows FROM orders
+UNION ALL SELECT 'ingest', 'events', count(*) FROM events
+UNION ALL SELECT 'quality', 'quarantine', {_SQL_JOB_DQ_VIOLATIONS}
+UNION ALL SELECT 'quality', 'gate', 2 * (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer)
+UNION ALL SELECT 'transform', table_name, rows FROM ({_counts_sql("rows", tables=_SQL_ORDER_TABLES)}) t"""
 
 
-@register("daily_job_summary")
+@register("daily_job_summary", _SQL_JOB_SUMMARY)
 def q_daily_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage record of an end-to-end run (ingest, quality, transform)."""
     result = _staged_job(spark, sf_dir, "daily_job_summary")
