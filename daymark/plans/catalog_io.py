@@ -301,3 +301,29 @@ def q_daily_job_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage record of an end-to-end run (ingest, quality, transform)."""
     result = _staged_job(spark, sf_dir, "daily_job_summary")
     return result.stages_frame(spark).select("stage", "table_name", "rows")
+
+
+# ---------------------------------------------------------------------------
+# Incremental ingest (Structured Streaming, availableNow).
+# ---------------------------------------------------------------------------
+
+from daymark.streaming.ingest import ingest_stream  # noqa: E402
+
+
+@register("stream_bronze_orders", _SQL_SCAN_ORDERS)
+def q_stream_bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw order files → bronze by a file-source stream run to completion."""
+    root = shared_dir(spark, "stream_bronze_orders")
+    raw = ST.stage_orders_csv(spark, sf_dir, root)
+    bronze = join_uri(root, "bronze")
+    ingest_stream(spark, "orders", raw, bronze, name_glob="*.csv")
+    return B.read_bronze_orders(spark, bronze).select(*_ORDER_COLS)
+
+
+@register("stream_bronze_events", _SQL_EVENTS)
+def q_stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = shared_dir(spark, "stream_bronze_events")
+    raw = ST.stage_events_ndjson(spark, sf_dir, root)
+    bronze = join_uri(root, "bronze")
+    ingest_stream(spark, "events", raw, bronze, name_glob="*.json")
+    return B.read_bronze_events(spark, bronze).select(*_EVENT_COLS)
