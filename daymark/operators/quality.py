@@ -190,6 +190,16 @@ def rule_summary(tables: Mapping[str, DataFrame], rules: Iterable[Rule]) -> Data
     )
 
 
+def run_summary(summary: DataFrame) -> DataFrame:
+    """One row for the run: rules_run, failed_rules, violations, passed."""
+    return summary.agg(
+        F.count(F.lit(1)).alias("rules_run"),
+        F.count_if(~F.col("ok")).alias("failed_rules"),
+        F.coalesce(F.sum("violations"), F.lit(0).cast("long")).alias("violations"),
+        F.coalesce(F.bool_and("ok"), F.lit(True)).alias("passed"),
+    )
+
+
 def gate(summary: DataFrame) -> list[tuple[str, str, int]]:
     """Collect the (per-rule, bounded) summary; raise if any rule failed."""
     rows = summary.collect()

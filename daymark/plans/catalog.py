@@ -316,5 +316,17 @@ def q_dq_rule_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.rule_summary(dq_tables(spark, sf_dir), DQ_RULES)
 
 
+@register(
+    "dq_run_summary",
+    f"""
+SELECT count(*) AS rules_run, count(*) FILTER (WHERE NOT ok) AS failed_rules,
+       CAST(coalesce(sum(violations), 0) AS BIGINT) AS violations,
+       coalesce(bool_and(ok), true) AS passed
+FROM ({_SQL_RULE_SUMMARY}) r""",
+)
+def q_dq_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.run_summary(DQ.rule_summary(dq_tables(spark, sf_dir), DQ_RULES))
+
+
 # Round trips register themselves on import (they reuse the SQL above).
 from daymark.plans import catalog_io  # noqa: E402,F401

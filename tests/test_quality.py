@@ -99,3 +99,11 @@ def test_unique_on_hot_key_is_exact(spark):
     )
     bad = DQ.violations(df, DQ.Rule("t", "k", "unique"))
     assert bad.count() == 1000
+
+
+def test_run_summary(make_orders, make_users):
+    o = make_orders([("A1", 1, 1.0, None), ("A2", 2, 0.0, None)])
+    u = make_users([(1, "a"), (1, "b")])
+    summary = DQ.rule_summary({"orders": o, "users": u}, DQ.DEFAULT_RULES)
+    r = DQ.run_summary(summary).collect()[0]
+    assert (r.rules_run, r.failed_rules, r.violations, r.passed) == (3, 2, 3, False)
