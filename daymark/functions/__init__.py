@@ -1,6 +1,6 @@
 """Column-expression helpers (JVM-side built-ins only, no UDFs)."""
 
-from daymark.functions.money import money, money_out, money_sum
+from daymark.functions.money import minor_units, money, money_out, money_sum
 from daymark.functions.ratio import conversion_rate
 from daymark.functions.temporal import (
     day_of,
@@ -15,6 +15,7 @@ __all__ = [
     "conversion_rate",
     "day_of",
     "lookback_bounds",
+    "minor_units",
     "money",
     "money_out",
     "money_sum",

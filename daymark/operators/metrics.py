@@ -17,12 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions.money import MONEY_SCALE, money, money_out
+from daymark.functions.money import MONEY_SCALE, minor_units, money_out
 from daymark.functions.ratio import conversion_rate
 from daymark.functions.temporal import day_of
 from daymark.operators.joins import lookup_join
 
-_AMOUNT_DEC = "_amount_dec"
+_MINOR = "_amount_minor"
 
 
 def _orders_by_day(orders: DataFrame, scale: int) -> DataFrame:
@@ -30,7 +30,7 @@ def _orders_by_day(orders: DataFrame, scale: int) -> DataFrame:
         day_of("order_ts").alias("order_date"),
         "order_id",
         "user_id",
-        money("amount", scale).alias(_AMOUNT_DEC),
+        minor_units("amount", scale).alias(_MINOR),
     )
 
 
@@ -46,24 +46,24 @@ def daily_orders(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
         .agg(
             F.countDistinct("order_id").alias("orders"),
             F.countDistinct("user_id").alias("buyers"),
-            money_out(F.sum(_AMOUNT_DEC), scale).alias("revenue"),
+            money_out(F.sum(_MINOR), scale).alias("revenue"),
         )
     )
 
 
 def revenue_by_day_user(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
-    """(order_date, user_id) → exact DECIMAL revenue; the map side combines."""
+    """(order_date, user_id) → exact revenue in minor units; the map side combines."""
     return (
         _orders_by_day(orders, scale)
         .groupBy("order_date", "user_id")
-        .agg(F.sum(_AMOUNT_DEC).alias(_AMOUNT_DEC))
+        .agg(F.sum(_MINOR).alias(_MINOR))
     )
 
 
 def daily_revenue(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     """Per day and user: summed amount."""
     return revenue_by_day_user(orders, scale).select(
-        "order_date", "user_id", money_out(_AMOUNT_DEC, scale).alias("amount")
+        "order_date", "user_id", money_out(_MINOR, scale).alias("amount")
     )
 
 
@@ -127,13 +127,13 @@ def daily_revenue_by_channel(
         per_user = revenue_by_day_user(orders, scale)
     else:
         per_user = revenue.select(
-            "order_date", "user_id", money("amount", scale).alias(_AMOUNT_DEC)
+            "order_date", "user_id", minor_units("amount", scale).alias(_MINOR)
         )
     joined = lookup_join(
         per_user, users.select("user_id", "channel"), "user_id", "left", broadcast_users
     )
     return joined.groupBy("order_date", "channel").agg(
-        money_out(F.sum(_AMOUNT_DEC), scale).alias("revenue")
+        money_out(F.sum(_MINOR), scale).alias("revenue")
     )
 
 
