@@ -23,6 +23,7 @@ from daymark.functions.temporal import day_of
 from daymark.operators.joins import lookup_join
 
 _MINOR = "_amount_minor"
+MINOR_COLUMN = _MINOR
 
 
 def _orders_by_day(orders: DataFrame, scale: int) -> DataFrame:
@@ -62,9 +63,12 @@ def revenue_by_day_user(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFram
 
 def daily_revenue(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     """Per day and user: summed amount."""
-    return revenue_by_day_user(orders, scale).select(
-        "order_date", "user_id", money_out(_MINOR, scale).alias("amount")
-    )
+    return daily_revenue_from_minor(revenue_by_day_user(orders, scale), scale)
+
+
+def daily_revenue_from_minor(per_user: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
+    """daily_revenue from a ``revenue_by_day_user`` frame (minor units)."""
+    return per_user.select("order_date", "user_id", money_out(_MINOR, scale).alias("amount"))
 
 
 def daily_buyers(orders: DataFrame) -> DataFrame:
@@ -90,6 +94,23 @@ def active_user_days(events: DataFrame) -> DataFrame:
     return _active_pairs(events).distinct()
 
 
+def daily_active_users_from_pairs(pairs: DataFrame) -> DataFrame:
+    """daily_active_users from distinct (event_date, user_id) pairs."""
+    return pairs.groupBy("event_date").agg(F.count("user_id").alias("dau"))
+
+
+def daily_active_users_by_channel_from_pairs(
+    pairs: DataFrame, users: DataFrame, broadcast_users: bool | None = None
+) -> DataFrame:
+    """Per day and channel from distinct (event_date, user_id) pairs."""
+    joined = lookup_join(
+        pairs, users.select("user_id", "channel"), "user_id", "left", broadcast_users
+    )
+    return joined.groupBy("event_date", "channel").agg(
+        F.countDistinct("user_id").alias("dau")
+    )
+
+
 def daily_active_users_by_channel(
     events: DataFrame, users: DataFrame, broadcast_users: bool | None = None
 ) -> DataFrame:
@@ -98,12 +119,8 @@ def daily_active_users_by_channel(
     The join input is the distinct day × user set, so a user with many
     events is one row per day: no key can be hot on the join.
     """
-    pairs = active_user_days(events)
-    joined = lookup_join(
-        pairs, users.select("user_id", "channel"), "user_id", "left", broadcast_users
-    )
-    return joined.groupBy("event_date", "channel").agg(
-        F.countDistinct("user_id").alias("dau")
+    return daily_active_users_by_channel_from_pairs(
+        active_user_days(events), users, broadcast_users
     )
 
 
@@ -113,22 +130,26 @@ def daily_revenue_by_channel(
     scale: int = MONEY_SCALE,
     broadcast_users: bool | None = None,
     revenue: DataFrame | None = None,
+    per_user_minor: DataFrame | None = None,
 ) -> DataFrame:
     """Per day and channel: revenue.
 
     Orders are first summed per (day, user) — exact for a sum, including the
     fan-out of a duplicated user — so the join sees one row per user-day and
-    a hot user cannot skew it.  ``revenue`` may be a written daily_revenue
-    table (order_date, user_id, amount) to skip re-reading the orders.
+    a hot user cannot skew it.  Instead of orders, ``revenue`` may be a
+    written daily_revenue table (order_date, user_id, amount) and
+    ``per_user_minor`` a written ``revenue_by_day_user`` frame.
     """
-    if revenue is None:
-        if orders is None:
-            raise ValueError("need orders or a daily revenue table")
-        per_user = revenue_by_day_user(orders, scale)
-    else:
+    if per_user_minor is not None:
+        per_user = per_user_minor.select("order_date", "user_id", _MINOR)
+    elif revenue is not None:
         per_user = revenue.select(
             "order_date", "user_id", minor_units("amount", scale).alias(_MINOR)
         )
+    elif orders is not None:
+        per_user = revenue_by_day_user(orders, scale)
+    else:
+        raise ValueError("need orders, a daily revenue table or per-user revenue")
     joined = lookup_join(
         per_user, users.select("user_id", "channel"), "user_id", "left", broadcast_users
     )
@@ -137,6 +158,23 @@ def daily_revenue_by_channel(
     )
 
 
+def buyers_from_revenue(revenue: DataFrame) -> DataFrame:
+    """Per day: non-NULL buyers, from a daily_revenue table (one row per buyer)."""
+    return revenue.groupBy("order_date").agg(F.count("user_id").alias("buyers"))
+
+
+def conversion_from(dau: DataFrame, buyers: DataFrame, round_to: int | None = 4) -> DataFrame:
+    """Join per-day dau (event_date, dau) with per-day buyers (order_date, buyers)."""
+    joined = dau.join(buyers, dau["event_date"] == buyers["order_date"], "left")
+    filled = F.coalesce(buyers["buyers"], F.lit(0).cast("long"))
+    return joined.select(
+        dau["event_date"].alias("date"),
+        dau["dau"],
+        filled.alias("buyers"),
+        conversion_rate(filled, dau["dau"], round_to).alias("conv_rate"),
+    )
+
+
 def daily_conversion(
     events: DataFrame, orders: DataFrame, round_to: int | None = 4
 ) -> DataFrame:
@@ -147,16 +185,7 @@ def daily_conversion(
     may broadcast is bounded by the number of distinct days; otherwise both
     are already hash-partitioned by day and the join adds no exchange.
     """
-    dau = daily_active_users(events)
-    buyers = daily_buyers(orders)
-    joined = dau.join(buyers, dau["event_date"] == buyers["order_date"], "left")
-    filled = F.coalesce(buyers["buyers"], F.lit(0).cast("long"))
-    return joined.select(
-        dau["event_date"].alias("date"),
-        dau["dau"],
-        filled.alias("buyers"),
-        conversion_rate(filled, dau["dau"], round_to).alias("conv_rate"),
-    )
+    return conversion_from(daily_active_users(events), daily_buyers(orders), round_to)
 
 
 METRICS = (

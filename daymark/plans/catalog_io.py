@@ -293,6 +293,8 @@ SELECT 'ingest' AS stage, 'orders' AS table_name, count(*) AS rows FROM orders
 UNION ALL SELECT 'ingest', 'events', count(*) FROM events
 UNION ALL SELECT 'quality', 'quarantine', {_SQL_JOB_DQ_VIOLATIONS}
 UNION ALL SELECT 'quality', 'gate', 2 * (SELECT count(*) FROM orders) + (SELECT count(*) FROM customer)
+UNION ALL SELECT 'transform', 'revenue_by_day_user', count(*) FROM (SELECT DISTINCT CAST(o_orderdate AS DATE), o_custkey FROM orders) r
+UNION ALL SELECT 'transform', 'active_user_days', count(*) FROM (SELECT DISTINCT CAST(ts AS DATE), user_id FROM events) p
 UNION ALL SELECT 'transform', table_name, rows FROM ({_counts_sql("rows", tables=_SQL_ORDER_TABLES)}) t"""
 
 

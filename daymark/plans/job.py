@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from daymark.functions.temporal import parse_run_date
+from daymark.operators import metrics as M
 from daymark.operators import quality as DQ
+from daymark.operators.joins import fits_broadcast
 from daymark.plans import bronze as B
 from daymark.plans.daily import MetricTable, build_metric_tables, restrict_days
 from daymark.sinks.files import WriteResult, write_flat, write_partitioned
@@ -117,6 +119,7 @@ def run_daily_job(
     raw_orders_glob: str | None = None,
     raw_events_glob: str | None = None,
     do_publish: bool = False,
+    reuse_intermediates: bool = True,
 ) -> JobResult:
     run_id = uuid.uuid4().hex[:12]
     day = parse_run_date(run_date)
@@ -169,15 +172,55 @@ def run_daily_job(
 
     # 3. the six silver tables, dynamic overwrite of the run's days only.
     tables = build_metric_tables(orders, events, users, day, days_back)
-    outputs = {}
-    for name, t in tables.items():
+    outputs: dict[str, WriteResult] = {}
+
+    def write(name: str, df: DataFrame) -> None:
+        t = tables[name]
         t0 = time.time()
         outputs[name] = write_partitioned(
-            t.df, paths.output(name), [t.partition_col], fmt=silver_format,
+            df, paths.output(name), [t.partition_col], fmt=silver_format,
             layout=t.layout, tie_cols=t.tie_cols,
         )
         record("transform", name, outputs[name].rows, t0)
 
+    if reuse_intermediates:
+        # Orders are scanned twice (distinct orders; revenue per buyer-day) and
+        # events once (distinct user-days).  The two per-day-and-user results
+        # are written once as flat work tables — lineage cut, few files — and
+        # the other tables are derived from them instead of re-reading facts.
+        work = join_uri(paths.silver, "_work", f"run_id={run_id}")
+        write("daily_orders", tables["daily_orders"].df)
+        window_orders = restrict_days(orders, "order_ts", day, days_back)
+        window_events = restrict_days(events, "ts", day, days_back)
+        t0 = time.time()
+        res = write_flat(M.revenue_by_day_user(window_orders), join_uri(work, "revenue"), fmt="parquet")
+        record("transform", "revenue_by_day_user", res.rows, t0)
+        per_user = spark.read.parquet(join_uri(work, "revenue"))
+        t0 = time.time()
+        res = write_flat(M.active_user_days(window_events), join_uri(work, "pairs"), fmt="parquet")
+        record("transform", "active_user_days", res.rows, t0)
+        pairs = spark.read.parquet(join_uri(work, "pairs"))
+
+        users_small = fits_broadcast(users.select("user_id", "channel"))
+        dau = M.daily_active_users_from_pairs(pairs)
+        buyers = M.buyers_from_revenue(per_user)
+        write("daily_revenue", M.daily_revenue_from_minor(per_user))
+        write("daily_active_users", dau)
+        write(
+            "daily_active_users_by_channel",
+            M.daily_active_users_by_channel_from_pairs(pairs, users, users_small),
+        )
+        write(
+            "daily_revenue_by_channel",
+            M.daily_revenue_by_channel(
+                None, users, broadcast_users=users_small, per_user_minor=per_user
+            ),
+        )
+        write("daily_conversion", M.conversion_from(dau, buyers))
+    else:
+        for name, t in tables.items():
+            write(name, t.df)
+
     # 4. publish the written tables.
     if do_publish and paths.publish:
         t0 = time.time()

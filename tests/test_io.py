@@ -228,3 +228,16 @@ def test_job_end_to_end_and_run_date(spark, raw_dir, tmp_path):
     assert back.count() == 3
     stages = spark.read.parquet(str(tmp_path / "silver" / "_job" / "stage_metrics"))
     assert stages.select("run_id").distinct().count() == 2
+
+
+def test_job_reuse_of_intermediates_gives_same_tables(spark, raw_dir, tmp_path):
+    base = _job_paths(tmp_path, raw_dir)
+    other = JobPaths(**{**base.__dict__, "silver": str(tmp_path / "silver2"),
+                        "bronze": str(tmp_path / "bronze2")})
+    run_daily_job(spark, base, reuse_intermediates=True)
+    run_daily_job(spark, other, reuse_intermediates=False)
+    for name in ("daily_orders", "daily_revenue", "daily_active_users",
+                 "daily_active_users_by_channel", "daily_revenue_by_channel", "daily_conversion"):
+        a = spark.read.parquet(str(tmp_path / "silver" / name))
+        b = spark.read.parquet(str(tmp_path / "silver2" / name)).select(*a.columns)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
