@@ -10,11 +10,12 @@ failed, before anything is published.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daymark.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, prepare_dimension
@@ -202,8 +203,108 @@ def run_summary(summary: DataFrame) -> DataFrame:
 
 def gate(summary: DataFrame) -> list[tuple[str, str, int]]:
     """Collect the (per-rule, bounded) summary; raise if any rule failed."""
-    rows = summary.collect()
-    failures = [(r["table_name"], r["rule"], int(r["violations"])) for r in rows if not r["ok"]]
+    rows = [
+        (r["table_name"], r["rule"], int(r["rows_checked"]), int(r["violations"]))
+        for r in summary.collect()
+    ]
+    return gate_results(rows)
+
+
+def gate_results(results: Sequence[tuple[str, str, int, int]]) -> list[tuple[str, str, int]]:
+    """(table, rule, rows_checked, violations) records → raise if any failed."""
+    failures = [(t, r, v) for t, r, _, v in results if v]
     if failures:
         raise DataQualityError(failures)
-    return [(r["table_name"], r["rule"], int(r["rows_checked"])) for r in rows]
+    return [(t, r, n) for t, r, n, _ in results]
+
+
+def _json_row(df: DataFrame) -> Column:
+    return F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+
+
+def observed_quarantine(
+    tables: Mapping[str, DataFrame], rules: Iterable[Rule]
+) -> tuple[DataFrame, Callable[[], list[tuple[str, str, int, int]]]]:
+    """Quarantine rows plus the per-rule summary from the same single pass.
+
+    Row rules of one table share one scan: rows failing any rule are kept
+    and exploded into one record per failing rule, while an ``Observation``
+    on the scan counts the rows checked and each rule's violations.  A unique
+    rule counts its checked rows and flagged rows the same way.  Write (or
+    otherwise act on) the returned frame once, then call the returned
+    function for (table, rule, rows_checked, violations) records.
+    """
+    rules = list(rules)
+    parts: list[DataFrame] = []
+    readers: list[Callable[[], list[tuple[str, str, int, int]]]] = []
+    by_table: dict[str, list[Rule]] = {}
+    for r in rules:
+        if r.check == "unique":
+            # Counts come from one aggregate over the key (an Observation
+            # inside the semi-join would vanish when AQE prunes a join with
+            # an empty duplicate set); the same numbers pick the join side.
+            df = tables[r.table]
+            counts = df.groupBy(F.col(r.column).alias("_dup_key")).agg(
+                F.count(F.lit(1)).alias("_dup_n")
+            )
+            dup = F.col("_dup_n") > 1
+            stats = counts.agg(
+                F.coalesce(F.sum("_dup_n"), F.lit(0)).alias("rows"),
+                F.coalesce(F.sum(F.when(dup, F.col("_dup_n"))), F.lit(0)).alias("bad"),
+                F.count_if(dup).alias("keys"),
+            ).collect()[0]
+            readers.append(
+                lambda r=r, st=stats: [(r.table, r.label, int(st["rows"]), int(st["bad"]))]
+            )
+            if stats["bad"]:
+                dups = prepare_dimension(
+                    counts.where(dup).select("_dup_key"),
+                    broadcast=stats["keys"] <= DEFAULT_MAX_BROADCAST_ROWS,
+                )
+                bad = df.join(dups, df[r.column].eqNullSafe(dups["_dup_key"]), "left_semi")
+                parts.append(bad.select(
+                    F.lit(r.table).alias("table_name"), F.lit(r.label).alias("rule"),
+                    _json_row(df).alias("row_json"),
+                ))
+        else:
+            by_table.setdefault(r.table, []).append(r)
+    for table, rs in by_table.items():
+        df = tables[table]
+        fails = [_failing(F.col(r.column), r.check) for r in rs]
+        obs = Observation(f"dq_{uuid.uuid4().hex[:10]}")
+        observed = df.observe(
+            obs,
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count_if(f).alias(f"v{i}") for i, f in enumerate(fails)],
+        )
+        bad = observed.where(reduce(lambda a, b: a | b, fails))
+        labels = F.array_compact(F.array(*[
+            F.when(f, F.lit(r.label)) for f, r in zip(fails, rs)
+        ]))
+        parts.append(bad.select(
+            F.lit(table).alias("table_name"), F.explode(labels).alias("rule"),
+            _json_row(df).alias("row_json"),
+        ))
+        def read(table=table, rs=rs, obs=obs, df=df, fails=fails):
+            try:
+                got = obs.get
+            except Exception:  # noqa: BLE001 - branch pruned (empty input): count directly
+                got = df.agg(
+                    F.count(F.lit(1)).alias("rows"),
+                    *[F.count_if(f).alias(f"v{i}") for i, f in enumerate(fails)],
+                ).collect()[0].asDict()
+            return [(table, r.label, int(got["rows"]), int(got[f"v{i}"])) for i, r in enumerate(rs)]
+
+        readers.append(read)
+    if not readers:
+        raise ValueError("no rules")
+    if parts:
+        frame = reduce(DataFrame.unionByName, parts)
+    else:
+        first = next(iter(tables.values()))
+        frame = first.sparkSession.createDataFrame([], "table_name string, rule string, row_json string")
+
+    def results() -> list[tuple[str, str, int, int]]:
+        return [rec for read in readers for rec in read()]
+
+    return frame, results

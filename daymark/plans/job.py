@@ -158,14 +158,16 @@ def run_daily_job(
     }
     used = [r for r in rules if r.table in dq_tables]
     if used:
+        # One pass: the quarantine write also yields the per-rule counts.
+        frame, results = DQ.observed_quarantine(dq_tables, used)
         q = write_flat(
-            DQ.quarantine(dq_tables, used),
+            frame,
             join_uri(paths.silver, "_quality", "quarantine", f"run_id={run_id}"),
             fmt="parquet",
         )
         record("quality", "quarantine", q.rows, t0)
         t0 = time.time()
-        checked = DQ.gate(DQ.rule_summary(dq_tables, used))
+        checked = DQ.gate_results(results())
         record("quality", "gate", sum(n for _, _, n in checked), t0)
     else:
         checked = []

@@ -107,3 +107,34 @@ def test_run_summary(make_orders, make_users):
     summary = DQ.rule_summary({"orders": o, "users": u}, DQ.DEFAULT_RULES)
     r = DQ.run_summary(summary).collect()[0]
     assert (r.rules_run, r.failed_rules, r.violations, r.passed) == (3, 2, 3, False)
+
+
+def test_observed_quarantine_matches_separate_passes(spark, make_orders, make_users):
+    o = make_orders([
+        (None, 1, -1.0, None),             # fails two rules → two records
+        ("A2", 2, 0.0, None),
+        ("A3", 3, 5.0, None),
+    ])
+    u = make_users([(1, "a"), (1, "b"), (None, "c"), (None, "d"), (2, "e")])
+    tables = {"orders": o, "users": u}
+    frame, results = DQ.observed_quarantine(tables, DQ.DEFAULT_RULES)
+    got = sorted((r.table_name, r.rule, r.row_json) for r in frame.collect())
+    want = sorted((r.table_name, r.rule, r.row_json) for r in DQ.quarantine(tables, DQ.DEFAULT_RULES).collect())
+    assert got == want and len(got) == 7
+    summary = {(r.table_name, r.rule): (r.rows_checked, r.violations)
+               for r in DQ.rule_summary(tables, DQ.DEFAULT_RULES).collect()}
+    assert {(t, r): (n, v) for t, r, n, v in results()} == summary
+    with pytest.raises(DQ.DataQualityError):
+        DQ.gate_results(results())
+
+
+def test_observed_quarantine_on_empty_input(spark, make_orders, make_users):
+    frame, results = DQ.observed_quarantine(
+        {"orders": make_orders([]), "users": make_users([])}, DQ.DEFAULT_RULES
+    )
+    assert frame.count() == 0
+    assert sorted(results()) == [
+        ("orders", "gt_zero(amount)", 0, 0),
+        ("orders", "not_null(order_id)", 0, 0),
+        ("users", "unique(user_id)", 0, 0),
+    ]
