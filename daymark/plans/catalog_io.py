@@ -329,3 +329,25 @@ def q_stream_bronze_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = join_uri(root, "bronze")
     ingest_stream(spark, "events", raw, bronze, name_glob="*.json")
     return B.read_bronze_events(spark, bronze).select(*_EVENT_COLS)
+
+
+# ---------------------------------------------------------------------------
+# P4: run-date pruning of bronze by the date each raw file carries.
+# ---------------------------------------------------------------------------
+
+BRONZE_RUN_DATE = "2024-01-15"
+
+
+@register(
+    "bronze_events_run_date",
+    f"{_SQL_EVENTS} WHERE CAST(ts AS DATE) = DATE '{BRONZE_RUN_DATE}'",
+)
+def q_bronze_events_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only the run date's bronze partitions are read (file_date pruning),
+    then the row date decides."""
+    root = shared_dir(spark, "bronze_events_run_date")
+    raw = ST.stage_events_ndjson(spark, sf_dir, root)
+    bronze = join_uri(root, "bronze")
+    B.ingest_events(spark, raw, bronze, name_glob="*.json")
+    events = B.read_bronze_events(spark, bronze, BRONZE_RUN_DATE, late_days=0)
+    return restrict_days(events, "ts", BRONZE_RUN_DATE).select(*_EVENT_COLS)
