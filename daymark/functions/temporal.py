@@ -24,18 +24,26 @@ def parse_run_date(value: str | dt.date | dt.datetime | None) -> dt.date | None:
         raise ValueError(f"run date must be YYYY-MM-DD, got {value!r}") from exc
 
 
+# Fixed value: a trailing zone designator (Z, +hh:mm, +hhmm, +hh).
+ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+
+
 def parse_timestamp(col: str | Column, data_type: T.DataType | None = None) -> Column:
     """Text → wall-clock TIMESTAMP_NTZ; junk becomes NULL instead of failing.
 
-    Text with an offset is moved to the session time zone first, text without
-    one is read as session-zone wall-clock time.  NTZ input passes through.
+    Text without a zone is taken as written (no time-zone arithmetic, so no
+    DST gap can move it); text with an offset is converted to the session
+    time zone's wall clock.  Timestamp input passes through.
     """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(data_type, T.TimestampNTZType):
         return c
     if isinstance(data_type, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
-    return F.try_to_timestamp(c).cast("timestamp_ntz")
+    text = F.trim(c)
+    return F.when(
+        text.rlike(ZONE_SUFFIX), F.try_to_timestamp(text).cast("timestamp_ntz")
+    ).otherwise(text.try_cast("timestamp_ntz"))
 
 
 def day_of(col: str | Column) -> Column:

@@ -63,3 +63,21 @@ def test_smoke_generators(spark):
     assert range_frame(spark, 1000).count() == 1000
     df = literal_rows(spark, [(1, "Alice"), (2, "Bob"), (3, "Charlie")], ["id", "name"])
     assert df.count() == 3 and df.columns == ["id", "name"]
+
+
+def test_parse_timestamp_forms(spark):
+    import datetime as dt
+
+    from daymark.functions.temporal import parse_timestamp
+
+    df = spark.createDataFrame(
+        [("2024-01-01 10:00:00",), ("2024-01-01T23:30:00+05:00",), ("2024-03-31 02:30:00",),
+         ("x",), (None,), ("2024-01-02 08:00:00.123456",), ("2024-01-02T08:00:00Z",)],
+        "s string",
+    )
+    got = [r[0] for r in df.select(parse_timestamp("s")).collect()]
+    assert got == [
+        dt.datetime(2024, 1, 1, 10, 0), dt.datetime(2024, 1, 1, 18, 30),
+        dt.datetime(2024, 3, 31, 2, 30), None, None,
+        dt.datetime(2024, 1, 2, 8, 0, 0, 123456), dt.datetime(2024, 1, 2, 8, 0),
+    ]
