@@ -164,3 +164,37 @@ def test_properties_revenue_totals_agree(spark):
         assert len(sums) == len(per_day)
         for r in sums:
             assert abs(r["s"] - per_day[r["order_date"]]) < 1e-6
+
+
+def test_shuffle_path_equals_broadcast_path_with_hot_user(spark):
+    """One user holds a third of the orders; both join strategies agree."""
+    from pyspark.sql import functions as F
+
+    from daymark.operators import quality as DQ
+
+    base = spark.range(0, 3000)
+    orders = base.select(
+        F.col("id").cast("string").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(42)).otherwise(F.col("id") % 97).alias("user_id"),
+        (F.col("id") % 50 + 0.25).alias("amount"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 5 as int))").alias("order_ts"),
+    )
+    events = orders.select(F.col("order_id").cast("long").alias("event_id"), "user_id",
+                           F.lit("view").alias("event_type"), F.col("order_ts").alias("ts"))
+    users = spark.range(0, 100).select(
+        F.col("id").alias("user_id"), F.concat(F.lit("c"), (F.col("id") % 4).cast("string")).alias("channel")
+    )
+    for fn, args in [
+        (M.daily_revenue_by_channel, (orders, users)),
+        (M.daily_active_users_by_channel, (events, users)),
+    ]:
+        a = fn(*args, broadcast_users=True)
+        b = fn(*args, broadcast_users=False)
+        a.collect(), b.collect()
+        assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in b._jdf.queryExecution().executedPlan().toString()
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    rule = DQ.Rule("orders", "user_id", "unique")
+    x = DQ.violations(orders, rule, broadcast_keys=True)
+    y = DQ.violations(orders, rule, broadcast_keys=False)
+    assert x.count() == y.count() == 3000
