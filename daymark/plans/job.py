@@ -39,6 +39,7 @@ class JobPaths:
     outputs: dict[str, str] = field(default_factory=dict)
     raw_orders: str | None = None
     raw_events: str | None = None
+    export: str | None = None          # flat header-CSV copy of every table
 
     @property
     def orders_source(self) -> str | None:
@@ -223,7 +224,15 @@ def run_daily_job(
         for name, t in tables.items():
             write(name, t.df)
 
-    # 4. publish the written tables.
+    # 4. flat CSV export of all six tables (written by the executors).
+    if paths.export:
+        for name in tables:
+            t0 = time.time()
+            written = spark.read.format(silver_format).load(paths.output(name))
+            res = write_flat(written, join_uri(paths.export, name), fmt="csv")
+            record("export", name, res.rows, t0)
+
+    # 5. publish the written tables.
     if do_publish and paths.publish:
         t0 = time.time()
         written = {

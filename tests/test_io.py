@@ -215,8 +215,13 @@ def test_job_end_to_end_and_run_date(spark, raw_dir, tmp_path):
         run_daily_job(spark, bad)
     assert not os.path.exists(tmp_path / "silver" / "daily_orders")   # gate stopped the run
 
+    paths.export = str(tmp_path / "export")
     res = run_daily_job(spark, paths)
     assert res.outputs["daily_orders"].rows == 3            # 01-01, 01-02 and the NULL day
+    exported = spark.read.option("header", True).csv(str(tmp_path / "export" / "daily_revenue"))
+    assert exported.count() == res.outputs["daily_revenue"].rows
+    assert {s.table_name for s in res.stages if s.stage == "export"} == set(res.outputs)
+    paths.export = None
     conv = spark.read.parquet(str(tmp_path / "silver" / "daily_conversion"))
     assert sorted((r.date, r.dau, r.buyers) for r in conv.collect()) == [
         (d("2024-01-01"), 2, 3), (d("2024-01-02"), 1, 1)
