@@ -52,6 +52,35 @@ def daily_orders(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     )
 
 
+def distinct_orders_by_day(orders: DataFrame) -> DataFrame:
+    """Per day: distinct order ids (one distinct count, no expand)."""
+    return (
+        orders.select(day_of("order_ts").alias("order_date"), "order_id")
+        .groupBy("order_date")
+        .agg(F.countDistinct("order_id").alias("orders"))
+    )
+
+
+def daily_orders_from(
+    order_counts: DataFrame, per_user_minor: DataFrame, scale: int = MONEY_SCALE
+) -> DataFrame:
+    """daily_orders from distinct orders per day and a ``revenue_by_day_user``
+    frame: buyers are its non-NULL users, revenue its sum.  Both sides hold
+    the same days (the NULL day included, hence the null-safe join)."""
+    per_day = per_user_minor.groupBy("order_date").agg(
+        F.count("user_id").alias("buyers"), F.sum(_MINOR).alias(_MINOR)
+    )
+    joined = order_counts.join(
+        per_day, order_counts["order_date"].eqNullSafe(per_day["order_date"]), "inner"
+    )
+    return joined.select(
+        order_counts["order_date"],
+        order_counts["orders"],
+        per_day["buyers"],
+        money_out(per_day[_MINOR], scale).alias("revenue"),
+    )
+
+
 def revenue_by_day_user(orders: DataFrame, scale: int = MONEY_SCALE) -> DataFrame:
     """(order_date, user_id) → exact revenue in minor units; the map side combines."""
     return (

@@ -198,3 +198,19 @@ def test_shuffle_path_equals_broadcast_path_with_hot_user(spark):
     x = DQ.violations(orders, rule, broadcast_keys=True)
     y = DQ.violations(orders, rule, broadcast_keys=False)
     assert x.count() == y.count() == 3000
+
+
+def test_daily_orders_from_work_tables_matches(make_orders):
+    o = make_orders([
+        ("A1", 1, 5.0, ts("2024-01-01 10:00:00")),
+        ("A1", 1, 7.0, ts("2024-01-01 11:00:00")),
+        ("A2", None, 3.0, ts("2024-01-01 12:00:00")),
+        (None, 2, 1.0, ts("2024-01-02 12:00:00")),
+        ("A4", 2, 2.0, None),
+    ])
+    direct = rows(M.daily_orders(o), "order_date", "orders", "buyers", "revenue")
+    derived = rows(
+        M.daily_orders_from(M.distinct_orders_by_day(o), M.revenue_by_day_user(o)),
+        "order_date", "orders", "buyers", "revenue",
+    )
+    assert direct == derived and len(direct) == 3
