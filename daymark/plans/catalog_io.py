@@ -255,7 +255,7 @@ def q_gated_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SK.read_back(spark, out, S.DAILY_CONVERSION)
 
 
-def _staged_job(spark: SparkSession, sf_dir: str, key: str):
+def _staged_job(spark: SparkSession, sf_dir: str, key: str, **job_args):
     root = shared_dir(spark, key)
     orders = ST.stage_orders_csv(spark, sf_dir, root)
     events = ST.stage_events_ndjson(spark, sf_dir, root)
@@ -265,7 +265,7 @@ def _staged_job(spark: SparkSession, sf_dir: str, key: str):
         silver=join_uri(root, "silver"), users=join_uri(users, "*.csv"),
     )
     return run_daily_job(
-        spark, paths, raw_orders_glob="*.csv", raw_events_glob="*.json"
+        spark, paths, raw_orders_glob="*.csv", raw_events_glob="*.json", **job_args
     )
 
 
@@ -351,3 +351,49 @@ def q_bronze_events_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     B.ingest_events(spark, raw, bronze, name_glob="*.json")
     events = B.read_bronze_events(spark, bronze, BRONZE_RUN_DATE, late_days=0)
     return restrict_days(events, "ts", BRONZE_RUN_DATE).select(*_EVENT_COLS)
+
+
+# ---------------------------------------------------------------------------
+# G2 + G3 inside the job: one run date with a look-back window.
+# ---------------------------------------------------------------------------
+
+JOB_RUN_DATE = "2024-01-15"
+JOB_DAYS_BACK = 7
+_IN_WINDOW = (
+    f"BETWEEN DATE '{JOB_RUN_DATE}' - INTERVAL {JOB_DAYS_BACK - 1} DAY AND DATE '{JOB_RUN_DATE}'"
+)
+_SQL_WIN_ORDERS = f"SELECT * FROM ({_SQL_ORDERS}) o WHERE CAST(order_ts AS DATE) {_IN_WINDOW}"
+_SQL_WIN_EVENTS = f"SELECT * FROM events WHERE CAST(ts AS DATE) {_IN_WINDOW}"
+_SQL_WIN_PAIRS = f"SELECT DISTINCT CAST(ts AS DATE) AS event_date, user_id FROM ({_SQL_WIN_EVENTS}) e"
+_SQL_WIN_PER_USER = (
+    f"SELECT DISTINCT CAST(order_ts AS DATE) AS order_date, user_id FROM ({_SQL_WIN_ORDERS}) o"
+)
+
+_SQL_JOB_RUN_DATE = f"""
+SELECT 'ingest' AS stage, 'orders' AS table_name, count(*) AS rows FROM orders
+UNION ALL SELECT 'ingest', 'events', count(*) FROM events
+UNION ALL SELECT 'quality', 'quarantine',
+  (SELECT count(*) FILTER (WHERE order_id IS NULL) + count(*) FILTER (WHERE amount <= 0) FROM ({_SQL_WIN_ORDERS}) o)
+  + (SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT)
+     FROM (SELECT user_id, count(*) AS n FROM ({_SQL_USERS}) u GROUP BY 1) g)
+UNION ALL SELECT 'quality', 'gate', 2 * (SELECT count(*) FROM ({_SQL_WIN_ORDERS}) o) + (SELECT count(*) FROM customer)
+UNION ALL SELECT 'transform', 'revenue_by_day_user', count(*) FROM ({_SQL_WIN_PER_USER}) r
+UNION ALL SELECT 'transform', 'active_user_days', count(*) FROM ({_SQL_WIN_PAIRS}) p
+UNION ALL SELECT 'transform', 'daily_orders', count(DISTINCT CAST(order_ts AS DATE)) FROM ({_SQL_WIN_ORDERS}) o
+UNION ALL SELECT 'transform', 'daily_revenue', count(*) FROM ({_SQL_WIN_PER_USER}) r
+UNION ALL SELECT 'transform', 'daily_active_users', count(DISTINCT event_date) FROM ({_SQL_WIN_PAIRS}) p
+UNION ALL SELECT 'transform', 'daily_active_users_by_channel', count(*) FROM (
+  SELECT DISTINCT p.event_date, u.channel FROM ({_SQL_WIN_PAIRS}) p LEFT JOIN ({_SQL_USERS}) u ON p.user_id = u.user_id) c
+UNION ALL SELECT 'transform', 'daily_revenue_by_channel', count(*) FROM (
+  SELECT DISTINCT r.order_date, u.channel FROM ({_SQL_WIN_PER_USER}) r LEFT JOIN ({_SQL_USERS}) u ON r.user_id = u.user_id) c
+UNION ALL SELECT 'transform', 'daily_conversion', count(DISTINCT event_date) FROM ({_SQL_WIN_PAIRS}) p"""
+
+
+@register("daily_job_run_date", _SQL_JOB_RUN_DATE)
+def q_daily_job_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job for one run date with a 7-day look-back: only the window's
+    rows are checked, aggregated and written (dynamic overwrite)."""
+    result = _staged_job(
+        spark, sf_dir, "daily_job_run_date", run_date=JOB_RUN_DATE, days_back=JOB_DAYS_BACK
+    )
+    return result.stages_frame(spark).select("stage", "table_name", "rows")
