@@ -23,7 +23,8 @@ from daymark.operators import quality as DQ
 from daymark.operators.joins import fits_broadcast
 from daymark.plans import bronze as B
 from daymark.plans.daily import MetricTable, build_metric_tables, restrict_days
-from daymark.sinks.files import WriteResult, write_flat, write_partitioned
+from daymark.schemas import OUTPUT_SCHEMAS
+from daymark.sinks.files import WriteResult, read_back, write_flat, write_partitioned
 from daymark.sinks.warehouse import publish
 from daymark.sources.csv import read_users_csv
 from daymark.sources.files import join_uri
@@ -174,7 +175,10 @@ def run_daily_job(
         checked = []
 
     # 3. the six silver tables, dynamic overwrite of the run's days only.
-    tables = build_metric_tables(orders, events, users, day, days_back)
+    users_small = fits_broadcast(users.select("user_id", "channel"))   # measured once
+    tables = build_metric_tables(
+        orders, events, users, day, days_back, broadcast_users=users_small
+    )
     outputs: dict[str, WriteResult] = {}
 
     def write(name: str, df: DataFrame) -> None:
@@ -209,7 +213,6 @@ def run_daily_job(
             "daily_orders",
             M.daily_orders_from(M.distinct_orders_by_day(window_orders), per_user),
         )
-        users_small = fits_broadcast(users.select("user_id", "channel"))
         dau = M.daily_active_users_from_pairs(pairs)
         buyers = M.buyers_from_revenue(per_user)
         write("daily_revenue", M.daily_revenue_from_minor(per_user))
@@ -233,7 +236,7 @@ def run_daily_job(
     if paths.export:
         for name in tables:
             t0 = time.time()
-            written = spark.read.format(silver_format).load(paths.output(name))
+            written = read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
             res = write_flat(written, join_uri(paths.export, name), fmt="csv")
             record("export", name, res.rows, t0)
 
@@ -241,7 +244,8 @@ def run_daily_job(
     if do_publish and paths.publish:
         t0 = time.time()
         written = {
-            name: spark.read.format(silver_format).load(paths.output(name)) for name in tables
+            name: read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
+            for name in tables
         }
         parts = {n: t.partition_col for n, t in tables.items()}
         layouts = {n: (t.layout, t.tie_cols) for n, t in tables.items()}

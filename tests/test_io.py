@@ -246,3 +246,17 @@ def test_job_reuse_of_intermediates_gives_same_tables(spark, raw_dir, tmp_path):
         a = spark.read.parquet(str(tmp_path / "silver" / name))
         b = spark.read.parquet(str(tmp_path / "silver2" / name)).select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_job_with_csv_silver_export_and_publish(spark, raw_dir, tmp_path):
+    paths = _job_paths(tmp_path, raw_dir)
+    paths.export = str(tmp_path / "export")
+    paths.publish = str(tmp_path / "published")
+    res = run_daily_job(spark, paths, silver_format="csv", do_publish=True)
+    back = SK.read_back(spark, str(tmp_path / "silver" / "daily_conversion"), S.DAILY_CONVERSION, fmt="csv")
+    assert sorted((r.date, r.dau, r.buyers) for r in back.collect()) == [
+        (d("2024-01-01"), 2, 3), (d("2024-01-02"), 1, 1)
+    ]
+    pub = spark.read.format("csv").option("header", True).load(str(tmp_path / "published" / "daily_orders"))
+    assert pub.count() == res.outputs["daily_orders"].rows
+    assert {s.stage for s in res.stages} >= {"ingest", "quality", "transform", "export", "publish"}
