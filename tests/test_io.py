@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
 
 import pytest
@@ -260,3 +261,21 @@ def test_job_with_csv_silver_export_and_publish(spark, raw_dir, tmp_path):
     pub = spark.read.format("csv").option("header", True).load(str(tmp_path / "published" / "daily_orders"))
     assert pub.count() == res.outputs["daily_orders"].rows
     assert {s.stage for s in res.stages} >= {"ingest", "quality", "transform", "export", "publish"}
+
+
+def test_cli_runs_job_and_fails_on_gate(spark, raw_dir, tmp_path, capsys):
+    from daymark.cli import main
+
+    cfg = tmp_path / "job.yaml"
+    cfg.write_text(
+        f"paths: {{raw: {raw_dir}, bronze: {tmp_path / 'b'}, silver: {tmp_path / 's'}, "
+        f"users: {tmp_path / 'ref' / 'users.csv'}}}\n"
+        "pipeline: {days_back: 1}\n"
+    )
+    assert main(["--config", str(cfg), "--run-date", "2024-01-01"]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert {x["stage"] for x in lines} >= {"ingest", "quality", "transform"}
+    assert all(x["run_date"] == "2024-01-01" for x in lines)
+    write(str(tmp_path / "ref" / "dup.csv"), "user_id,channel\n1,ads\n1,seo\n")
+    cfg.write_text(cfg.read_text().replace("users.csv", "dup.csv"))
+    assert main(["--config", str(cfg)]) == 1
