@@ -230,9 +230,10 @@ def observed_quarantine(
     Row rules of one table share one scan: rows failing any rule are kept
     and exploded into one record per failing rule, while an ``Observation``
     on the scan counts the rows checked and each rule's violations.  A unique
-    rule counts its checked rows and flagged rows the same way.  Write (or
-    otherwise act on) the returned frame once, then call the returned
-    function for (table, rule, rows_checked, violations) records.
+    rule's counts come from one small aggregate over its key (collected as one
+    row), which also decides the join side; its rows are added only when there
+    are duplicates.  Write (or otherwise act on) the returned frame once, then
+    call the returned function for (table, rule, rows_checked, violations).
     """
     rules = list(rules)
     parts: list[DataFrame] = []
@@ -285,6 +286,7 @@ def observed_quarantine(
             F.lit(table).alias("table_name"), F.explode(labels).alias("rule"),
             _json_row(df).alias("row_json"),
         ))
+
         def read(table=table, rs=rs, obs=obs, df=df, fails=fails):
             try:
                 got = obs.get
