@@ -397,3 +397,35 @@ def q_daily_job_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "daily_job_run_date", run_date=JOB_RUN_DATE, days_back=JOB_DAYS_BACK
     )
     return result.stages_frame(spark).select("stage", "table_name", "rows")
+
+
+# ---------------------------------------------------------------------------
+# S5, second form: files of different layouts, UNION ALL by name.
+# ---------------------------------------------------------------------------
+
+from daymark.sources.csv import concat_frames  # noqa: E402
+
+
+@register(
+    "concat_mixed_layouts",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_custkey AS user_id, o_totalprice AS amount,
+       o_orderdate AS order_ts, CAST(NULL AS VARCHAR) AS event_type FROM orders
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), user_id, CAST(NULL AS DOUBLE), ts, event_type FROM events""",
+)
+def q_concat_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order CSVs and event NDJSON in one frame: columns matched by name,
+    a column one layout lacks is NULL there."""
+    root = shared_dir(spark, "concat_mixed_layouts")
+    orders = read_orders_csv(spark, ST.stage_orders_csv(spark, sf_dir, root)).select(*_ORDER_COLS)
+    raw_events = read_ndjson(
+        spark, ST.stage_events_ndjson(spark, sf_dir, root), recursive=True, name_glob="*.json"
+    )
+    events = typed_events(raw_events).select(
+        F.col("event_id").cast("string").alias("order_id"),
+        "user_id",
+        F.col("ts").alias("order_ts"),
+        "event_type",
+    )
+    return concat_frames([orders, events])
