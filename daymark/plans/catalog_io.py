@@ -429,3 +429,16 @@ def q_concat_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type",
     )
     return concat_frames([orders, events])
+
+
+@register(
+    "sink_warehouse_text",
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS event_date, "
+    "CAST(count(DISTINCT user_id) AS VARCHAR) AS dau FROM events GROUP BY CAST(ts AS DATE)",
+)
+def q_sink_warehouse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Warehouse refresh with every column stored as text."""
+    path = shared_dir(spark, "sink_warehouse_text")
+    table = "fact_daily_active_users_text_" + path.rsplit("-", 1)[-1]
+    dau = M.daily_active_users(TB.events_table(spark, sf_dir))
+    return WH.refresh_catalog_table(spark, dau, table, path, text_columns=True)
