@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from daymark.functions.temporal import parse_run_date
+from daymark.functions.temporal import lookback_bounds, parse_run_date
 from daymark.operators import metrics as M
 from daymark.operators import quality as DQ
 from daymark.operators.joins import fits_broadcast
@@ -27,7 +27,7 @@ from daymark.schemas import OUTPUT_SCHEMAS
 from daymark.sinks.files import WriteResult, read_back, write_flat, write_partitioned
 from daymark.sinks.warehouse import publish
 from daymark.sources.csv import read_users_csv
-from daymark.sources.files import join_uri
+from daymark.sources.files import join_uri, raw_window_pattern
 
 
 @dataclass
@@ -130,19 +130,26 @@ def run_daily_job(
     def record(stage: str, table: str, rows: int | None, t0: float) -> None:
         stages.append(StageRecord(run_id, stage, table, day, rows, round(time.time() - t0, 3)))
 
-    # 1. raw → bronze (the file's date picks raw files only when no lookback
-    #    is asked for; otherwise every file is scanned and the row date rules).
-    pick = day if days_back == 1 and late_days == 0 else None
+    # 1. raw → bronze.  With a run date only the raw files dated in the
+    #    window (plus ``late_days`` of later files) are read — a daily run does
+    #    not re-read history; bronze already holds earlier files, and the row
+    #    date, not the file date, decides which day a row counts for.
+    orders_glob, events_glob = raw_orders_glob, raw_events_glob
+    if day is not None:
+        first, last = lookback_bounds(day, days_back)
+        last = last + dt.timedelta(days=late_days or 0)
+        orders_glob = orders_glob or raw_window_pattern("orders", first, last, "csv")
+        events_glob = events_glob or raw_window_pattern("events", first, last, "ndjson")
     if paths.orders_source:
         t0 = time.time()
         res = B.ingest_orders(
-            spark, paths.orders_source, paths.bronze, pick, raw_orders_glob, allow_empty
+            spark, paths.orders_source, paths.bronze, None, orders_glob, allow_empty
         )
         record("ingest", "orders", res.rows, t0)
     if paths.events_source:
         t0 = time.time()
         res = B.ingest_events(
-            spark, paths.events_source, paths.bronze, pick, raw_events_glob, allow_empty
+            spark, paths.events_source, paths.bronze, None, events_glob, allow_empty
         )
         record("ingest", "events", res.rows, t0)
 

@@ -57,6 +57,17 @@ def raw_pattern(kind: str, run_date: str | dt.date | None = None, ext: str = "cs
     return f"{kind}_{day.isoformat() if day else '*'}.{ext}"
 
 
+def raw_window_pattern(
+    kind: str, first: dt.date, last: dt.date, ext: str = "csv"
+) -> str:
+    """``orders_{2024-01-09,...,2024-01-15}.csv``: the raw files of a date window."""
+    if last < first:
+        raise ValueError("empty window")
+    days = [(first + dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+    body = days[0] if len(days) == 1 else "{" + ",".join(days) + "}"
+    return f"{kind}_{body}.{ext}"
+
+
 def with_provenance(df: DataFrame) -> DataFrame:
     """Add ``source_file`` (base name) and ``file_date`` (from name or folder).
 

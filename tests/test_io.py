@@ -279,3 +279,21 @@ def test_cli_runs_job_and_fails_on_gate(spark, raw_dir, tmp_path, capsys):
     write(str(tmp_path / "ref" / "dup.csv"), "user_id,channel\n1,ads\n1,seo\n")
     cfg.write_text(cfg.read_text().replace("users.csv", "dup.csv"))
     assert main(["--config", str(cfg)]) == 1
+
+
+def test_raw_window_pattern_reads_only_window_files(spark, raw_dir):
+    pat = FS.raw_window_pattern("orders", dt.date(2024, 1, 2), dt.date(2024, 1, 3))
+    assert pat == "orders_{2024-01-02,2024-01-03}.csv"
+    assert FS.raw_window_pattern("orders", dt.date(2024, 1, 2), dt.date(2024, 1, 2)) == "orders_2024-01-02.csv"
+    got = read_orders_csv(spark, raw_dir, recursive=True, name_glob=pat)
+    assert sorted(r.order_id for r in got.collect()) == ["B1", "B2"]
+
+
+def test_job_run_date_ingests_only_window_files(spark, raw_dir, tmp_path):
+    paths = _job_paths(tmp_path, raw_dir)
+    res = run_daily_job(spark, paths, run_date="2024-01-02", days_back=1)
+    ingested = {s.table_name: s.rows for s in res.stages if s.stage == "ingest"}
+    assert ingested == {"orders": 2, "events": 1}          # only the 01-02 files
+    res = run_daily_job(spark, paths, run_date="2024-01-02", days_back=2)
+    ingested = {s.table_name: s.rows for s in res.stages if s.stage == "ingest"}
+    assert ingested == {"orders": 5, "events": 4}          # both days' files
