@@ -25,7 +25,6 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 _LOCAL_FALLBACK: dict[str, str] = {}
-_CHECKPOINT_SET: dict[str, str] = {}
 
 
 def build_session(
@@ -77,26 +76,9 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return f"{checkpoint_root(spark)}/daymark/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make sure ``DataFrame.checkpoint()`` has a shared target."""
-    root = checkpoint_root(spark)
-    app = spark.sparkContext.applicationId
-    if _CHECKPOINT_SET.get(app) != root:
-        spark.sparkContext.setCheckpointDir(root)
-        _CHECKPOINT_SET[app] = root
-    return root
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that must touch the local disk (tests)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = [
     "DEFAULT_CONF",
     "build_session",
     "checkpoint_root",
     "shared_dir",
-    "ensure_checkpoint_dir",
-    "local_path",
 ]
