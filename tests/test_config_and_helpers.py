@@ -81,3 +81,18 @@ def test_parse_timestamp_forms(spark):
         dt.datetime(2024, 3, 31, 2, 30), None, None,
         dt.datetime(2024, 1, 2, 8, 0, 0, 123456), dt.datetime(2024, 1, 2, 8, 0),
     ]
+
+
+def test_checkpoint_root_requires_shared_folder_on_a_cluster(spark, monkeypatch):
+    from pyspark import SparkConf
+
+    import daymark.session as SS
+
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: SparkConf(loadDefaults=False))
+    monkeypatch.setattr(SS, "_LOCAL_FALLBACK", {})
+    monkeypatch.setattr(SS, "_is_local", lambda s: False)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        SS.checkpoint_root(spark)
+    monkeypatch.setattr(SS, "_is_local", lambda s: True)
+    root = SS.checkpoint_root(spark)
+    assert root and SS.checkpoint_root(spark) == root       # one private folder per app
