@@ -58,3 +58,57 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32("decoded").alias("decoded_crc32"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@_query("op1_mix_sources")
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.mix import mix_sources
+
+    mixed = mix_sources(_table(spark, sf_dir, "documents")).documents
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+# The level of the water-filling is found by trying each source, in order of
+# cap by weight, as the last that is capped.
+ORACLE_SQL["op1_mix_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+  FROM documents),
+s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) AS place
+  FROM d GROUP BY source),
+w AS (SELECT *, CASE (place - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s),
+r AS (
+  SELECT *, coalesce(sum(2 * source_size) OVER o, 0) AS full_before,
+         sum(weight) OVER (ORDER BY 2.0 * source_size / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_from,
+         1.5 * sum(source_size) OVER () AS budget
+  FROM w WINDOW o AS (ORDER BY 2.0 * source_size / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lv AS (
+  SELECT (budget - full_before) / open_from AS level FROM r
+  WHERE 2.0 * source_size / weight > (budget - full_before) / open_from
+  ORDER BY 2.0 * source_size / weight, place LIMIT 1),
+t AS (SELECT r.*, least(CAST(2 * source_size AS DOUBLE), coalesce(level, 0) * weight) AS target FROM r LEFT JOIN lv ON true),
+c AS (
+  SELECT d.*, t.source_size, t.place, t.target, t.budget,
+         sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size) AS sent
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (
+  SELECT c.*, epoch, (source_size * (epoch - 1) + sent) / target AS finish
+  FROM c, (VALUES (1), (2)) v(epoch) WHERE target > 0),
+p AS (
+  SELECT *, sum(size) OVER (ORDER BY finish, place, epoch, sent, k ROWS UNBOUNDED PRECEDING) AS position FROM e),
+n AS (SELECT doc_id, count(*) AS copies FROM p WHERE position <= budget GROUP BY doc_id)
+SELECT c.doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(coalesce(copies, 0) * size AS BIGINT) AS taken
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
+@_query("op5_shard_bytes")
+def op5_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.shards import shard_documents
+
+    sharded = shard_documents(_table(spark, sf_dir, "documents"))
+    return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
