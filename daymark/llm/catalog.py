@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm import ship_package
 from daymark.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,7 +16,11 @@ ORACLE_SQL: dict[str, str] = {}
 
 def _query(name: str):
     def add(f):
-        QUERIES[name] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
         return f
 
     return add
@@ -112,3 +117,38 @@ def op5_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sharded = shard_documents(_table(spark, sf_dir, "documents"))
     return sharded.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.jaccard import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
+# Sets are compared as classes of equal sets; a pair of similarity 0.8 shares
+# one of the rarest n - ceil(0.8 n) + 1 shingles of each set.
+ORACLE_SQL["op3_jaccard_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i+4], ' ')) END)) AS sh
+  FROM w),
+c AS (SELECT min(doc_id) AS c, sh, len(sh) AS n FROM s WHERE len(sh) > 0 GROUP BY sh),
+t AS (SELECT c, n, unnest(sh) AS x FROM c),
+f AS (SELECT *, count(*) OVER (PARTITION BY x) AS df FROM t),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY df, x) AS place FROM f),
+p AS (SELECT c, n, x FROM r WHERE place <= n - (80 * n + 99) // 100 + 1 AND df > 1),
+q AS (SELECT DISTINCT a.c AS a, b.c AS b FROM p a JOIN p b ON a.x = b.x AND a.c < b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+v AS (SELECT q.a, q.b, len(list_intersect(x.sh, y.sh)) AS i, x.n + y.n AS n FROM q JOIN c x ON x.c = q.a JOIN c y ON y.c = q.b),
+l AS (SELECT a, b FROM v WHERE 100 * i >= 80 * (n - i)),
+g AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+k AS (SELECT c AS node, c AS root FROM c UNION SELECT g.b, k.root FROM k JOIN g ON g.a = k.node WHERE k.root < g.b),
+m AS (SELECT node, min(root) AS root FROM k GROUP BY node)
+SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(m.root, s.doc_id) AS component_id
+FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.node = c.c
+"""

@@ -106,7 +106,7 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     keep = np.arange(n) + SHINGLE <= np.repeat(at[1:], n_words)
     for row in np.flatnonzero((n_words > 0) & (n_words < SHINGLE)):
         own = words[at[row] : at[row + 1]]
-        hashed[at[row]] = (own * _MULT[: len(own)]).sum(dtype=np.uint64) + _SHORT[len(own)]
+        hashed[at[row]] = np.append(own * _MULT[: len(own)], _SHORT[len(own)]).sum(dtype=np.uint64)
         keep[at[row]] = True
     counts = np.where(n_words >= SHINGLE, n_words - SHINGLE + 1, (n_words > 0).astype(int))
     hashed = mix64(hashed[keep])
