@@ -51,11 +51,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A text that holds the mark character itself decodes to a space there.
     """
-    from daymark.llm.sentencepiece import decode_documents, encode_documents, load_model
+    from daymark.llm.sentencepiece import encode_documents, load_model
 
     model = load_model(_tokenizer_file("piece_bpe_32k.model"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = decode_documents(encode_documents(docs, model), model)
+    both = encode_documents(docs, model, decoded_col="decoded")
     return both.select(
         "doc_id",
         F.size("piece_ids").cast("long").alias("n_pieces"),
@@ -152,3 +152,27 @@ m AS (SELECT node, min(root) AS root FROM k GROUP BY node)
 SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(m.root, s.doc_id) AS component_id
 FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN m ON m.node = c.c
 """
+
+
+@_query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.labelled import in_fold, labelled_sample
+    from daymark.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    model = fit_toxicity(labelled_sample(docs.select("doc_id", "text"), labels, "toxic", ~held_out, 5000))
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.labelled import in_fold, labelled_sample
+    from daymark.llm.quality import fit_quality, score_quality
+
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = in_fold(F.col("doc_id"), 5, 0)
+    model = fit_quality(labelled_sample(docs.select("doc_id", "text"), labels, "quality", ~held_out, 3000))
+    scored = score_quality(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

@@ -16,25 +16,25 @@ word are kept, only the cells below the branch are computed anew.
   the sentencepiece library.
 
 Encoding reads each document once, in the task that scanned it: there is no
-shuffle, and memory is bounded by a block of text and a bounded word cache.
+shuffle, and memory is bounded by a block of text and a bounded cache of words.
 """
 
 from __future__ import annotations
 
-import contextlib
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from daymark.llm.units import UnitCache
 from daymark.llm.words import pieces as row_blocks
 
 MARK = "▁"
-CACHE_WORDS = 400_000
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -54,8 +54,8 @@ def load_model(path: str) -> PieceModel:
     """Read a model file on the driver; the tables (one entry per id) go to tasks.
 
     Models with user-defined symbols, white space as a suffix, removal of
-    extra white space or a character map are refused: encoding them needs
-    other rules than the ones above.
+    extra white space, a character map, pieces over several words or no byte
+    fallback are refused: encoding them needs other rules than the ones above.
     """
     from sentencepiece import sentencepiece_model_pb2 as pb
 
@@ -68,8 +68,10 @@ def load_model(path: str) -> PieceModel:
         raise ValueError(f"{path}: only unigram and BPE models without text rewriting are supported")
     if trainer.treat_whitespace_as_suffix or not norm.escape_whitespaces or any(p.type == 4 for p in proto.pieces):
         raise ValueError(f"{path}: marks at word ends and user-defined symbols are not supported")
-    if any(MARK in p.piece.lstrip(MARK) for p in proto.pieces if p.type == 1):
-        raise ValueError(f"{path}: it has pieces that cross words")
+    if any(MARK in p.piece.lstrip(MARK) or "\n" in p.piece for p in proto.pieces if p.type == 1):
+        raise ValueError(f"{path}: it has pieces that cross words or lines")
+    if sum(p.type == 6 for p in proto.pieces) != 256:
+        raise ValueError(f"{path}: only models with byte fallback are supported")
     return PieceModel(
         kind,
         tuple(p.piece for p in proto.pieces),
@@ -80,31 +82,29 @@ def load_model(path: str) -> PieceModel:
     )
 
 
-@dataclass
 class Encoder:
-    """Encodes marked words; one per Python worker and model."""
+    """Encodes and decodes texts; one per Python worker and model."""
 
-    model: PieceModel
-    cache: dict[str, bytes] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        m = self.model
+    def __init__(self, model: PieceModel) -> None:
+        m = self.model = model
         normal = [(p, i) for i, (p, t) in enumerate(zip(m.pieces, m.types)) if t in (1, 5)]
         self.ids = dict(normal)
         self.score = {p: m.scores[i] for p, i in normal}
         self.longest = max((len(p) for p in self.ids), default=1)
-        self.bytes = [m.pieces.index(f"<0x{b:02X}>") if f"<0x{b:02X}>" in m.pieces else -1 for b in range(256)]
-        self.unk = m.types.index(2)
+        self.bytes = [m.pieces.index(f"<0x{b:02X}>") for b in range(256)]
         self.unk_score = min((m.scores[i] for _, i in normal), default=0.0) - 10.0
         self.pairs: dict[tuple[str, str], bool] = {}
         self.whole: dict[str, bool] = {}
-        self.plain = {i: p for p, i in normal}
-        self.plain |= {i: chr(b) for b, i in enumerate(self.bytes[:128]) if i >= 0}
-        self.line_alone = not any("\n" in p for p in self.ids)
-
-    def fallback(self, char: str) -> list[int]:
-        own = [self.bytes[b] for b in char.encode()]
-        return own if min(own) >= 0 else [self.unk]
+        self.cache = UnitCache(self.encode_units)
+        # For decoding: what each id spells, and which ids need their neighbours.
+        surface = [p.replace(MARK, " ").encode() if t in (1, 5) else b"" for p, t in zip(m.pieces, m.types)]
+        self.needs_care = np.array([t not in (1, 5) for t in m.types])
+        for b, i in enumerate(self.bytes):
+            surface[i] = bytes([b])
+            self.needs_care[i] = b >= 0x80
+        self.marked = np.array([t in (1, 5) and p.startswith(MARK) for p, t in zip(m.pieces, m.types)])
+        self.spelled = np.frombuffer(b"".join(surface), np.uint8)
+        self.spelled_at = np.concatenate([[0], np.cumsum([len(x) for x in surface])])
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition: best-scored neighbours merge first, then the leftmost."""
@@ -166,8 +166,9 @@ class Encoder:
                     best = (start, piece, cells[start][2] + s)
             cells.append(best)
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode distinct words in sorted order: a depth-first walk of their trie."""
+    def learn(self, words: Iterable[str]) -> dict[str, np.ndarray]:
+        """Ids of distinct words, found in sorted order: a depth-first walk of their trie."""
+        known = {}
         extend = self.bpe_cells if self.model.kind == "bpe" else self.unigram_cells
         previous, cells = "", [(0, "", 0.0)]
         for word in sorted(words):
@@ -184,60 +185,58 @@ class Encoder:
                     chain.append(cells[end][1])
                     end = cells[end][0]
                 chain.reverse()
-            out: list[int] = []
+            ids: list[int] = []
             for piece in chain:
                 own = self.ids.get(piece)
-                if own is not None:
-                    out.append(own)
-                    continue
-                spelled = self.fallback(piece)
-                # Neighbouring unknown characters are one unknown piece.
-                if spelled != [self.unk] or out[-1:] != [self.unk]:
-                    out += spelled
-            self.cache[word] = np.array(out, dtype="<i4").tobytes()
+                ids += [own] if own is not None else [self.bytes[b] for b in piece.encode()]
+            known[word] = np.array(ids, dtype=np.int32)
+        return known
 
     def words(self, text: str) -> list[str]:
         """The marked words of a text; joined, they are the normalised text."""
-        if not text:
-            return []
+        prefix = MARK if self.model.dummy_prefix and text else ""
+        lines = (prefix + text.replace(" ", MARK)).split("\n")
+        return [w for i, line in enumerate(lines) for w in _RUNS.findall("\n" * (i > 0) + line)]
+
+    def encode_units(self, units: list[bytes], plain: np.ndarray) -> list[np.ndarray]:
+        """Ids of single marked words (plain) or of whole texts."""
         prefix = MARK if self.model.dummy_prefix else ""
-        if MARK in text or not prefix or not self.line_alone:
-            return _RUNS.findall(prefix + text.replace(" ", MARK))
-        own = text.replace("\n", " \n").split(" ")
-        if "" in own or " \n" in text:
-            marked = (prefix + text.replace(" ", MARK)).replace("\n", "\0\n") if "\0" not in text else None
-            if marked is None:
-                return _RUNS.findall(prefix + text.replace(" ", MARK))
-            return [w for run in _RUNS.findall(marked) for w in run.split("\0") if w]
-        return [w if w[0] == "\n" else MARK + w for w in own]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        rows = [self.words(t) if t else [] for t in texts]
-        missing = {w for row in rows for w in row if w not in self.cache}
-        if missing and len(self.cache) + len(missing) > CACHE_WORDS:
-            self.cache.clear()
-            missing = {w for row in rows for w in row}
-        self.learn(missing)
-        known = self.cache
-        if self.bytes[0] < 0:  # unknown pieces that meet across words stay one piece
-            return [self._join_unknown([known[w] for w in row]) for row in rows]
-        return [b"".join([known[w] for w in row]) for row in rows]
-
-    def _join_unknown(self, parts: list[bytes]) -> bytes:
-        ids = np.frombuffer(b"".join(parts), "<i4")
-        if len(ids) < 2:
-            return ids.tobytes()
-        again = (ids[1:] == self.unk) & (ids[:-1] == self.unk)
-        return ids[np.concatenate([[True], ~again])].tobytes()
+        rows = []
+        for unit, is_word in zip(units, plain):
+            text = unit.decode()
+            if not is_word:
+                rows.append(self.words(text))
+            elif text[0] == " ":
+                rows.append([MARK + text[1:]])
+            else:
+                rows.append([text if text[0] == "\n" else prefix + text])
+        known = self.learn({w for row in rows for w in row})
+        return [known[row[0]] if len(row) == 1 else np.concatenate([known[w] for w in row]) for row in rows]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All piece ids of the texts in a row, and the n+1 offsets of the texts in them."""
+        return self.cache.encode(texts)
+
+    def decode_all(self, ids: np.ndarray, off: np.ndarray) -> list[str]:
+        """The text of each list of ids."""
+        begin = self.spelled_at[ids]
+        size = self.spelled_at[ids + 1] - begin
+        stop = np.cumsum(size)
+        data = self.spelled[np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)].tobytes()
+        at = np.concatenate([[0], stop])[off]
+        care = np.concatenate([[0], np.cumsum(self.needs_care[ids])])[off]
+        out = []
+        for row in range(len(off) - 1):
+            if care[row + 1] > care[row]:
+                out.append(self.decode(ids[off[row] : off[row + 1]].tolist()))
+                continue
+            drop = self.model.dummy_prefix and off[row + 1] > off[row] and bool(self.marked[ids[off[row]]])
+            out.append(data[at[row] + drop : at[row + 1]].decode())
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: bytes joined as UTF-8, marks to spaces, the prefix mark dropped."""
         m, out, raw, first = self.model, [], bytearray(), True
-        with contextlib.suppress(KeyError):  # no id that needs its neighbours
-            text = "".join([self.plain[i] for i in ids])
-            drop = m.dummy_prefix and len(ids) > 0 and m.types[ids[0]] != 6 and text.startswith(MARK)
-            return text[drop:].replace(MARK, " ")
         for i in ids:
             kind, piece = m.types[i], m.pieces[i]
             if kind == 6:
@@ -271,22 +270,22 @@ def _encoder(model: PieceModel) -> Encoder:
     return _ENCODERS[key]
 
 
-def _id_lists(blobs: list[bytes]) -> pa.ListArray:
-    offsets = np.concatenate([[0], np.cumsum([len(b) // 4 for b in blobs])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(blobs), "<i4")))
-
-
 def encode_documents(
-    docs: DataFrame, model: PieceModel, *, text_col: str = "text", ids_col: str = "piece_ids"
+    docs: DataFrame, model: PieceModel, *, text_col: str = "text", ids_col: str = "piece_ids", decoded_col: str | None = None
 ) -> DataFrame:
     """All columns of ``docs`` plus ``ids_col``: the piece ids of each whole text.
 
+    With ``decoded_col``, also the text that these ids spell, from the same task.
+
     Null and empty texts get an empty list, repeated rows each get their own
     list, an empty table gives an empty table, an input column named like
-    ``ids_col`` is replaced.
+    a new one is replaced.
     """
-    kept = docs.drop(ids_col)
+    new = [ids_col, *([decoded_col] if decoded_col else [])]
+    kept = docs.drop(*new)
     schema = T.StructType([*kept.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False), False)])
+    if decoded_col:
+        schema = schema.add(decoded_col, T.StringType(), False)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,8 +293,10 @@ def encode_documents(
         for batch in batches:
             for lo, hi in row_blocks(batch.column(text_col), 2 << 20):
                 block = batch.slice(lo, hi - lo)
-                ids = _id_lists(encoder.encode(block.column(text_col).to_pylist()))
-                yield pa.RecordBatch.from_arrays([*block.columns, ids], [*block.schema.names, ids_col])
+                ids, off = encoder.encode(block.column(text_col))
+                lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))
+                more = [lists, pa.array(encoder.decode_all(ids, off), pa.string())] if decoded_col else [lists]
+                yield pa.RecordBatch.from_arrays([*block.columns, *more], [*block.schema.names, *new])
 
     return kept.mapInArrow(run, schema)
 
@@ -315,8 +316,13 @@ def decode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            texts = [encoder.decode(ids or ()) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out_col])
+            for lo in range(0, batch.num_rows, 500):
+                block = batch.slice(lo, 500)
+                lists = block.column(ids_col)
+                ids = lists.flatten().to_numpy(zero_copy_only=False)
+                sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                texts = encoder.decode_all(ids, np.concatenate([[0], np.cumsum(sizes)]))
+                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(texts, pa.string())], [*block.schema.names, out_col])
 
     return kept.mapInArrow(run, schema)
 

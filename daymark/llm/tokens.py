@@ -11,7 +11,6 @@ needed to find or to skip a document.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,21 +20,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from daymark.llm.units import UnitCache
 from daymark.llm.words import pieces as row_blocks
 
-CACHE_WORDS = 400_000
-_SPLIT = re.compile(r"(?<=\S) (?=\S)")
-_RARE = re.compile(r"\s\s| \Z|\A ")
 
-
-class WordCache:
-    """The tokenizer's ids of space-separated pieces of text, kept in a bounded cache.
+class TextEncoder:
+    """The tokenizer's ids of whole texts, through a cache of their words.
 
     The tokenizer must cut words as byte-level BPE does: a boundary lies
     before every space between two non-space characters, and before a line
-    break between two such characters, whatever stands around them.  So a text
-    may be cut there and its pieces encoded apart.  Texts with other white
-    space are cut at the former places only.
+    break between two such characters, whatever stands around them.  So a
+    plain text may be cut there and its units encoded apart, or many units in a
+    row; other texts are encoded whole.
     """
 
     def __init__(self, tokenizer_json: str) -> None:
@@ -43,41 +39,41 @@ class WordCache:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def cut(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if _RARE.search(text):
-            first, *rest = _SPLIT.split(text)
-            return [first, *(" " + w for w in rest)]
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return [first, *(w if w[0] == "\n" else " " + w for w in rest)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        rows = [self.cut(t) if t else [] for t in texts]
-        missing = list({w for row in rows for w in row if w not in self.known})
-        if missing and len(self.known) + len(missing) > CACHE_WORDS:
-            self.known.clear()
-            missing = list({w for row in rows for w in row})
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            for word, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[word] = np.array(e.ids, dtype="<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in row]) for row in rows]
-
-
-_CACHES: dict[int, WordCache] = {}
-
-
-def _cache(tokenizer_json: str) -> WordCache:
+        # Byte-level tokens spell each byte of the text as one character.
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.token_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.token_bytes[i] = len(token)
+        self.cache = UnitCache(self.encode_units)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+
+    def encode_units(self, units: list[bytes], plain: np.ndarray) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = [None] * len(units)
+        spaced = [i for i, u in enumerate(units) if u[0] in b" \n" and plain[i]]
+        for lo in range(0, len(spaced), 5000):
+            some = spaced[lo : lo + 5000]
+            ids = self._ids(b"".join([units[i] for i in some]).decode())
+            # Token lengths tell where each unit's ids end.
+            ends = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum([len(units[i]) for i in some])) + 1
+            for i, own in zip(some, np.split(ids, ends[:-1])):
+                out[i] = own
+        return [own if own is not None else self._ids(unit.decode()) for own, unit in zip(out, units)]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return self.cache.encode(texts)
+
+
+_ENCODERS: dict[int, TextEncoder] = {}
+
+
+def _encoder(tokenizer_json: str) -> TextEncoder:
     key = zlib.crc32(tokenizer_json.encode())
-    if key not in _CACHES:
-        _CACHES.clear()
-        _CACHES[key] = WordCache(tokenizer_json)
-    return _CACHES[key]
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = TextEncoder(tokenizer_json)
+    return _ENCODERS[key]
 
 
 def write_token_files(
@@ -106,23 +102,21 @@ def write_token_files(
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        cache = _cache(shared.value)
+        encoder = _encoder(shared.value)
         for batch in batches:
             for lo, hi in row_blocks(batch.column(1), 2 << 20):
-                blobs = [b + end for b in cache.encode(batch.column(1).slice(lo, hi - lo).to_pylist())]
-                n = np.array([len(b) // 4 for b in blobs], dtype=np.int64)
-                stops = np.cumsum(n)
-                offsets = pa.array(np.concatenate([[0], stops]).astype(np.int32))
-                ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(blobs), "<i4")))
+                ids, off = encoder.encode(batch.column(1).slice(lo, hi - lo))
+                ids = np.insert(ids, off[1:], end_id)
+                off = off + np.arange(hi - lo + 1)
+                lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(hi - lo, part, np.int32)), batch.column(0).slice(lo, hi - lo), pa.array(at + stops - n), pa.array(n), ids],
+                    [pa.array(np.full(hi - lo, part, np.int32)), batch.column(0).slice(lo, hi - lo), pa.array(at + off[:-1]), pa.array(np.diff(off)), lists],
                     ["part", id_col, "start_in_part", "n_tokens", "ids"],
                 )
-                at += int(stops[-1])
+                at += int(off[-1])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     encoded = (
@@ -174,4 +168,4 @@ def ids_crc32(tokens: DataFrame, *, ids_col: str = "ids", out_col: str = "ids_cr
     return tokens.select(*others, ids_col).mapInArrow(run, f"{schema}, {out_col} long")
 
 
-__all__ = ["WordCache", "write_token_files", "read_token_files", "ids_crc32"]
+__all__ = ["TextEncoder", "write_token_files", "read_token_files", "ids_crc32"]

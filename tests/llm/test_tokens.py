@@ -4,7 +4,7 @@ import random
 import re
 import zlib
 
-import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,11 +36,12 @@ def test_piece_ids_equal_the_library(spark):
     path = public_tokenizers.path("piece_bpe_32k.model")
     sp, model = sentencepiece.SentencePieceProcessor(model_file=path), S.load_model(path)
     texts = _hard()
-    rows = S.decode_documents(S.encode_documents(_frame(spark, texts), model), model).collect()
+    both = S.encode_documents(_frame(spark, texts), model, decoded_col="at_once")
+    rows = S.decode_documents(both, model).collect()
     assert len(rows) == len(texts)
     for r in rows:
         assert r.piece_ids == sp.encode(r.text or ""), repr(r.text)
-        assert r.decoded == sp.decode(r.piece_ids)
+        assert r.decoded == r.at_once == sp.decode(r.piece_ids)
         assert r.part == "x"
 
 
@@ -58,8 +59,9 @@ def test_unigram_viterbi_equals_the_library(tmp_path):
     sp = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "u.model"))
     encoder = S.Encoder(S.load_model(str(tmp_path / "u.model")))
     texts = ["the quick brown fox", "antidisestablishmentarianism of nations", "étions élevées", "a  b"]
-    for text, blob in zip(texts, encoder.encode(texts)):
-        ours, theirs = np.frombuffer(blob, "<i4").tolist(), sp.encode(text)
+    flat, off = encoder.encode(pa.array(texts))
+    for row, text in enumerate(texts):
+        ours, theirs = flat[off[row] : off[row + 1]].tolist(), sp.encode(text)
         total = lambda ids: sum(proto.pieces[i].score for i in ids)  # noqa: E731  ties may be cut either way
         assert total(ours) == pytest.approx(total(theirs), abs=1e-3)
         assert sp.decode(ours) == text
@@ -68,12 +70,9 @@ def test_unigram_viterbi_equals_the_library(tmp_path):
 def test_shared_prefixes_do_not_change_results():
     encoder = S.Encoder(S.load_model(public_tokenizers.path("piece_bpe_32k.model")))
     words = ["▁the", "▁then", "▁there", "▁thereby", "▁thermal", "▁a", "▁ab", "▁xyz"]
-    encoder.learn(words)
-    together = dict(encoder.cache)
+    together = encoder.learn(words)
     for w in words:
-        encoder.cache.clear()
-        encoder.learn([w])
-        assert encoder.cache[w] == together[w]
+        assert encoder.learn([w])[w].tolist() == together[w].tolist()
 
 
 def test_token_files_round_trip(spark):
