@@ -176,3 +176,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(labelled_sample(docs.select("doc_id", "text"), labels, "quality", ~held_out, 3000))
     scored = score_quality(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op9_neighbours")
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.neighbours import nearest
+
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
