@@ -216,7 +216,11 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec
     pairs = dealt.select(*keys, "vec_id", "vec").groupBy(*keys).cogroup(probed.select(*keys, "vec_id", "vec", "limit").groupBy(*keys))
     found = pairs.applyInPandas(scan, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.union(seeds).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    # Rows of the sample complete the few queries whose probed lists hold fewer than k rows within the threshold.
+    found.write.parquet(f"{root}/found")
+    found = spark.read.parquet(f"{root}/found")
+    full = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+    found = found.union(seeds.join(full, "query_id", "left_anti")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
