@@ -183,3 +183,34 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daymark.llm.neighbours import nearest
 
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query("op8_merkle_fingerprint")
+def op8_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.merkle import edit_likeness
+
+    return edit_likeness(_table(spark, sf_dir, "documents"))
+
+
+_MERKLE_TREE = r"""
+    list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)), lambda p: {{
+      'd': sha256('p' || p),
+      'r': list_transform(regexp_extract_all(p, '[ \t\x0B\f\r]*(?:[^ \t\x0B\f\r]+[ \t\x0B\f\r]*){{1,4}}|[ \t\x0B\f\r]+'), lambda x: left(md5(x), 6))}}))"""
+_MERKLE_SECTION = "sha256('s' || array_to_string(list_transform(s, lambda p: p.d), ''))"
+_MERKLE_PRINT = f"""
+    left(sha256('r' || array_to_string(list_transform({{0}}, lambda s: {_MERKLE_SECTION}), '')), 32) || '/' ||
+    array_to_string(list_transform({{0}}, lambda s: left({_MERKLE_SECTION}, 8) || ':' ||
+      array_to_string(list_transform(s, lambda p: left(p.d, 8) || '-' || array_to_string(p.r, '')), ',')), '/')"""
+_MERKLE_RUNS = "list_distinct(flatten(list_transform({0}, lambda s: flatten(list_transform(s, lambda p: p.r)))))"
+_MERKLE_ALIKE = "CASE WHEN left({0}, 32) = left({1}, 32) OR len({2}) + len({3}) = 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * len(list_intersect({2}, {3})) / (len({2}) + len({3})) END"
+ORACLE_SQL["op8_merkle_fingerprint"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n FROM documents),
+o AS (SELECT *, coalesce(lead(doc_id) OVER (ORDER BY doc_id), min(doc_id) OVER ()) AS next_id FROM d),
+e AS (SELECT o.*, left(o.text, CAST(o.n - o.n // 4 AS BIGINT)) || left(x.text, CAST(o.n // 4 AS BIGINT)) AS edited
+      FROM o JOIN d x ON x.doc_id = o.next_id),
+t AS (SELECT *, {_MERKLE_TREE.format("text")} AS t, {_MERKLE_TREE.format("edited")} AS et FROM e),
+p AS (SELECT *, {_MERKLE_PRINT.format("t")} AS f, {_MERKLE_PRINT.format("et")} AS ef, {_MERKLE_RUNS.format("t")} AS r, {_MERKLE_RUNS.format("et")} AS er FROM t)
+SELECT p.doc_id, p.n AS n_chars, sha256(p.edited) AS edited_sha256, p.f AS fingerprint, p.ef AS edited_fingerprint,
+  {_MERKLE_ALIKE.format("p.f", "p.ef", "p.r", "p.er")} AS near_edited, {_MERKLE_ALIKE.format("p.f", "x.f", "p.r", "x.r")} AS near_next
+FROM p JOIN p x ON x.doc_id = p.next_id
+"""
