@@ -12,11 +12,13 @@ token under every other order before their sets are compared.
   a token that no second class has goes no further.  Tokens in more than
   1/64 of the classes are known from the first scan; they rank last, and
   their rows are dealt by task, not by token.
+* A posting also tells the token's place in its set, which bounds what two sets
+  can have in common from their first shared token on (positional filter).
 * Links are found in rounds.  In a leader round every posting list compares
-  its members with one of them, so that a group of n near copies costs n
-  comparisons; the components so far are merged.  When a round merges nothing,
-  the pairs left, those of different components that share a prefix token,
-  are all compared, and only those.
+  its members with a few of them, so that the comparisons of a group of near
+  copies grow with its size; the components so far are merged.  In the last round the pairs
+  left, those of different components that share a prefix token, are all
+  compared, and only those.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ FLUSH_CLASSES = 60_000
 PART_TOKENS = 1_500_000
 HEAVY_SHARE = 64
 HEAVY_CLASS = 127
+LEADER_ROUNDS = 2
+LEADERS = 8
 _SEED = np.uint64(0x51ED270B27A1C9F5)
 
 
@@ -294,43 +298,43 @@ def jaccard_components(
         prefix[f"prefix{i}"] = F.slice(F.sort_array(_scrambled(i)), 1, F.col("take"))["k"]
     shared.withColumns(prefix).drop("take").write.parquet(f"{root}/active")
     active = spark.read.parquet(f"{root}/active")
-    active.select(F.explode("prefix1").alias("token"), "class", "n").write.parquet(f"{root}/postings0")
+    # left: the tokens from this one on, in the first order; tokens of no second class come first.
+    placed = active.select(F.posexplode("prefix1").alias("i", "token"), "class", F.col("n").cast("int"), F.expr("int(size(keys) - i)").alias("left"))
+    placed.drop("i").write.parquet(f"{root}/postings0")
 
     # Rounds.  labels: class -> least class of its component, for merged classes.
-    labels, turn, found = None, 0, True
-    links: list[DataFrame] = []
+    labels, links = None, None
     postings = spark.read.parquet(f"{root}/postings0").withColumn("label", F.col("class"))
-    fits = f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)"
-    while found is not None:
+    for turn in range(LEADER_ROUNDS + 1):
+        member = lambda i: F.struct(F.xxhash64("class", F.lit(turn * LEADERS + i)).alias("o"), F.col("class"), F.col("n"), F.col("left"), F.col("label"))  # noqa: B023,E731
         several = postings.groupBy("token").agg(
-            F.min(F.struct(F.xxhash64("class", F.lit(turn)).alias("o"), F.col("class"), F.col("n"), F.col("label"))).alias("b"),
-            F.min("label").alias("lo"),
-            F.max("label").alias("hi"),
+            F.min("label").alias("lo"), F.max("label").alias("hi"), *([F.min(member(i)).alias(f"b{i}") for i in range(LEADERS)] if turn < LEADER_ROUNDS else [])
         ).where("lo <> hi")
-        if found:
-            pairs = postings.alias("a").join(several.select("token", "b.class", "b.n", "b.label").alias("b"), "token")
+        if turn < LEADER_ROUNDS:
+            members = F.array_distinct(F.array(*[F.struct(*[F.col(f"b{i}.{c}") for c in ("class", "n", "left", "label")]) for i in range(LEADERS)]))
+            leaders = several.select("token", F.explode(members).alias("b")).select("token", "b.*")
+            pairs = postings.alias("a").join(leaders.alias("b"), "token").where("a.label <> b.label")
         else:
             mixed = postings.join(several.select("token"), "token", "left_semi")
-            groups = mixed.select("token", F.col("label").alias("other")).distinct()
-            wanted = mixed.join(groups, "token").where("label < other")
+            # One row per token and component: what its members could have in common with another set at most.
+            groups = mixed.groupBy("token", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("most"))
+            groups = groups.withColumnRenamed("label", "other")
+            wanted = mixed.join(groups, "token").where(f"label < other and 100 * n >= {percent} * low and 100 * high >= {percent} * n")
+            wanted = wanted.where(f"{100 + percent} * least(left, most) >= {percent} * (n + low)").drop("low", "high", "most")
             pairs = wanted.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.other") == F.col("b.label")))
-        pairs = pairs.where(f"a.label <> b.label and {fits}").select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).distinct()
+        pairs = pairs.where(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
+        pairs = pairs.where(f"{100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)")
+        pairs = pairs.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).distinct()
         _verified(pairs, active, percent, orders).write.parquet(f"{root}/links{turn}")
         new = spark.read.parquet(f"{root}/links{turn}")
-        any_new = bool(new.take(1))
-        last = not found
-        if any_new:
-            links.append(new)
-            edges = links[0]
-            for more in links[1:]:
-                edges = edges.union(more)
-            labels = connected_components(spark, edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            if not last:
-                merged = spark.read.parquet(f"{root}/postings0").join(labels, F.col("class") == F.col("node"), "left")
-                merged.select("token", "class", "n", F.coalesce("root", "class").alias("label")).write.parquet(f"{root}/postings{turn + 1}")
-                postings = spark.read.parquet(f"{root}/postings{turn + 1}")
-        turn += 1
-        found = None if last else any_new
+        if not new.take(1):
+            continue
+        links = new if links is None else links.union(new)
+        labels = connected_components(spark, links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if turn < LEADER_ROUNDS:
+            merged = spark.read.parquet(f"{root}/postings0").join(labels, F.col("class") == F.col("node"), "left")
+            merged.select("token", "class", "n", "left", F.coalesce("root", "class").alias("label")).write.parquet(f"{root}/postings{turn + 1}")
+            postings = spark.read.parquet(f"{root}/postings{turn + 1}")
 
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     if labels is None:
