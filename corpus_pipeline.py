@@ -5,13 +5,65 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymark.llm import ship_package
+from daymark.llm.catalog import tokenizer_file
+from daymark.llm.jaccard import jaccard_components
+from daymark.llm.labelled import labelled_sample
+from daymark.llm.mix import mix_sources
+from daymark.llm.sentencepiece import encode_documents, load_model
+from daymark.llm.spans import remove_repeated_passages
+from daymark.llm.toxicity import fit_toxicity, score_toxicity
 from daymark.session import shared_dir
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+TOXIC_AT = 0.3
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
-# Toxicity scores come from a trained model and piece ids from a tokenizer.
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a toxicity score below ``TOXIC_AT``; the lexicon is learned from
+    up to 5000 labelled documents of each class."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(labelled_sample(docs.select("doc_id", "text"), labels, "toxic", F.lit(True), 5000))
+    return score_toxicity(docs, model, score_col="__toxicity").where(F.col("__toxicity") < TOXIC_AT).select(*COLUMNS)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each component of near copies."""
+    away = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(away, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that occurred before; a document of which nothing is left goes."""
+    cut = remove_repeated_passages(docs).where("n_removed = 0 or n_removed < n_sentences")
+    n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice."""
+    taken = mix_sources(docs).documents.where("copies > 0").select("doc_id", F.col("source").alias("__source"), "copies").distinct()
+    same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["__source"])
+    met = docs.join(taken, same).select(*[docs[c] for c in COLUMNS], "copies")
+    return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixed documents with their piece ids."""
+    return encode_documents(docs, load_model(tokenizer_file("piece_bpe_32k.model")))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("near_copies", keep_one_of_near_copies),
+    ("repeated_passages", drop_repeated_passages),
+    ("mix", mix),
+    ("sentencepiece", encode),
+]
+
+# The toxicity lexicon is learned and the pieces come from a tokenizer.
 ORACLE_SQL = None
 
 

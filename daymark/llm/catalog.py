@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _tokenizer_file(name: str) -> str:
+def tokenizer_file(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -41,7 +41,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daymark.llm.tokens import ids_crc32, read_token_files, write_token_files
 
     path = shared_dir(spark, "op6")
-    write_token_files(_table(spark, sf_dir, "documents"), path, _tokenizer_file("byte_bpe_50k.json"))
+    write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
     return ids_crc32(read_token_files(spark, path))
 
 
@@ -53,7 +53,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from daymark.llm.sentencepiece import encode_documents, load_model
 
-    model = load_model(_tokenizer_file("piece_bpe_32k.model"))
+    model = load_model(tokenizer_file("piece_bpe_32k.model"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     both = encode_documents(docs, model, decoded_col="decoded")
     return both.select(
@@ -214,3 +214,12 @@ SELECT p.doc_id, p.n AS n_chars, sha256(p.edited) AS edited_sha256, p.f AS finge
   {_MERKLE_ALIKE.format("p.f", "p.ef", "p.r", "p.er")} AS near_edited, {_MERKLE_ALIKE.format("p.f", "x.f", "p.r", "x.r")} AS near_next
 FROM p JOIN p x ON x.doc_id = p.next_id
 """
+
+
+@_query("op4_sentence_spans")
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text without repeated passages, and what went."""
+    from daymark.llm.spans import remove_repeated_passages
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeated_passages(docs).select("doc_id", "text", "n_sentences", "n_removed", "removed")
