@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,13 +21,15 @@ def parse_run_date(value: str | dt.date | dt.datetime | None) -> dt.date | None:
         return value
     text = str(value).strip()
     try:
-        return dt.date.fromisoformat(text[:10]) if len(text) >= 10 else dt.date.fromisoformat(text)
+        if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text):
+            raise ValueError("not YYYY-MM-DD")
+        return dt.date.fromisoformat(text)
     except ValueError as exc:
         raise ValueError(f"run date must be YYYY-MM-DD, got {value!r}") from exc
 
 
-# Fixed value: a trailing zone designator (Z, +hh:mm, +hhmm, +hh).
-ZONE_SUFFIX = r"(Z|[+-]\d{2}(:?\d{2})?)$"
+# Fixed value: a time of day with a zone behind it (Z, UTC, +hh:mm, +hhmm, +hh, Region/City).
+ZONE_SUFFIX = r"\d:\d{2}(:\d{2}(\.\d+)?)?\s*([zZ]|UTC|GMT|[+-]\d{2}(:?\d{2})?|[A-Z]\w+(/[\w+-]+)+)$"
 
 
 def parse_timestamp(col: str | Column, data_type: T.DataType | None = None) -> Column:
@@ -41,8 +45,9 @@ def parse_timestamp(col: str | Column, data_type: T.DataType | None = None) -> C
     if isinstance(data_type, (T.TimestampType, T.DateType)):
         return c.cast("timestamp_ntz")
     text = F.trim(c)
+    zoned = F.regexp_replace(text, "z$", "Z")
     return F.when(
-        text.rlike(ZONE_SUFFIX), F.try_to_timestamp(text).cast("timestamp_ntz")
+        text.rlike(ZONE_SUFFIX), zoned.try_cast("timestamp").cast("timestamp_ntz")
     ).otherwise(text.try_cast("timestamp_ntz"))
 
 
@@ -68,3 +73,15 @@ def within_days(col: str | Column, run_date: dt.date, days_back: int) -> Column:
     first, last = lookback_bounds(run_date, days_back)
     d = day_of(col)
     return (d >= F.lit(first)) & (d <= F.lit(last))
+
+
+def on_days(col: str | Column, days: Sequence[dt.date]) -> Column:
+    """The calendar day is one of ``days``; their range reaches the scan."""
+    d = day_of(col)
+    days = sorted(set(days))
+    if not days:
+        return F.lit(False)
+    inside = (d >= F.lit(days[0])) & (d <= F.lit(days[-1]))
+    if len(days) == (days[-1] - days[0]).days + 1:
+        return inside
+    return inside & d.isin(*days)

@@ -1,6 +1,6 @@
 """Declarative data-quality rules evaluated on executors.
 
-Checks: ``not_null(col)``, ``gt_zero(col)`` (``col <= 0`` fails, NULL passes)
+Checks: ``not_null(col)``, ``gt_zero(col)`` (``col <= 0`` and NaN fail, NULL passes)
 and ``unique(col)`` (every member of a duplicated key fails, NULL keys are
 one group).  Results are DataFrames: the violating rows, a quarantine table
 (table, rule, row as JSON) and a per-rule summary.  ``gate`` is the only
@@ -69,7 +69,7 @@ def _failing(col: Column, check: str) -> Column:
     if check == "not_null":
         return col.isNull()
     if check == "gt_zero":
-        return col <= F.lit(0)
+        return (col <= F.lit(0)) | F.isnan(col.cast("double"))
     raise ValueError(check)
 
 

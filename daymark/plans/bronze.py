@@ -1,29 +1,48 @@
 """Raw → bronze ingest.
 
-Bronze is typed Parquet partitioned by ``file_date`` (the date a raw file
-carries in its name or folder) and ``source_file``.  Writes use dynamic
-partition overwrite, so re-ingesting a file replaces exactly that file's
-rows and nothing else.  Corrupt NDJSON lines are kept in the same table
-with ``_corrupt_record`` set — raw input is parsed once — and readers pick
-clean rows or the quarantine by a pushed-down ``IS NULL`` filter.
+Bronze has two tables per kind.  ``data`` is typed Parquet, appended by ingest:
+one folder per ingest, split by ``file_date`` (the date a raw file carries in
+its name or folder), written by the tasks that read the files, without a
+shuffle.  ``files`` has one row per raw file and ingest: its path below the raw
+root, its rows, and the range of days its rows have.  An ingest counts once its
+``files`` rows are written, and of a file that was ingested again only the last
+ingest counts, so a re-run replaces exactly what it reads.
+
+The rows' own days decide what belongs to a run date; a file's day range only
+tells which files can be left unread.  Lines that do not parse are kept in
+``data`` with ``_corrupt_record`` set — raw input is parsed once — and readers
+pick clean rows or the quarantine.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark import schemas as S
-from daymark.functions.temporal import lookback_bounds, parse_run_date
+from daymark.functions.temporal import day_of, lookback_bounds, parse_run_date
 from daymark.sinks.files import write_partitioned
 from daymark.sources.csv import read_csv, typed_orders
 from daymark.sources.files import join_uri, raw_pattern, with_provenance
 from daymark.sources.ndjson import read_ndjson, typed_events
 
-BRONZE_PARTITIONS = ("file_date", "source_file")
+DAY_COLUMNS = {"orders": "order_ts", "events": "ts"}
+_PROVENANCE = [T.StructField("source_file", T.StringType()), T.StructField("ingest_id", T.StringType()), T.StructField("file_date", T.DateType())]
+_CORRUPT = T.StructField(S.CORRUPT_COLUMN, T.StringType())
+DATA_SCHEMAS = {
+    "orders": T.StructType([*S.ORDERS.fields, _CORRUPT, *_PROVENANCE]),
+    "events": T.StructType([*S.EVENTS.fields, T.StructField("props", T.StringType()), _CORRUPT, *_PROVENANCE]),
+}
+FILES_SCHEMA = "source_file string, file_date date, rows long, corrupt long, first_day date, last_day date, ingested_at timestamp, ingest_id string"
+# Superseded (file, ingest) pairs that may be shipped to every executor.
+MAX_BROADCAST_FILES = 500_000
 
 
 @dataclass(frozen=True)
@@ -31,6 +50,9 @@ class IngestResult:
     kind: str
     path: str
     rows: int | None
+    ingest_id: str
+    days: tuple[dt.date, ...] = ()    # the days that the ingested rows have
+    corrupt: int = 0
 
 
 def raw_orders(
@@ -43,9 +65,10 @@ def raw_orders(
     """Typed orders with provenance from every matching file under ``raw_root``."""
     glob = name_glob or raw_pattern("orders", run_date, "csv")
     raw = read_csv(
-        spark, raw_root, S.ORDERS_RAW, recursive=True, name_glob=glob, allow_empty=allow_empty
+        spark, raw_root, S.ORDERS_RAW, recursive=True, name_glob=glob, allow_empty=allow_empty,
+        by_header=True, keep_corrupt=True,
     )
-    return typed_orders(with_provenance(raw))
+    return typed_orders(with_provenance(raw, raw_root))
 
 
 def raw_events(
@@ -60,7 +83,32 @@ def raw_events(
     raw = read_ndjson(
         spark, raw_root, S.EVENTS_RAW, recursive=True, name_glob=glob, allow_empty=allow_empty
     )
-    return typed_events(with_provenance(raw))
+    return typed_events(with_provenance(raw, raw_root))
+
+
+def write_ingest(df: DataFrame, path: str, kind: str, ingest_id: str | None = None) -> IngestResult:
+    """Write one ingest: its rows, then one row per file.  The same id again
+    replaces the ingest (a replayed micro-batch)."""
+    spark = df.sparkSession
+    ingest_id = ingest_id or f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    own = [f.name for f in DATA_SCHEMAS[kind].fields if f.name != "ingest_id"]
+    data = join_uri(path, "data", f"ingest_id={ingest_id}")
+    res = write_partitioned(df.select(*own), data, ["file_date"], dynamic=False, layout="none")
+    written = spark.read.schema(DATA_SCHEMAS[kind]).parquet(data)
+    day = day_of(DAY_COLUMNS[kind])
+    clean = F.col(S.CORRUPT_COLUMN).isNull()
+    files = written.groupBy("source_file", "file_date").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~clean).alias("corrupt"),
+        F.min(F.when(clean, day)).alias("first_day"),
+        F.max(F.when(clean, day)).alias("last_day"),
+    )
+    listed = join_uri(path, "files", f"ingest_id={ingest_id}")
+    files.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(listed)
+    # One row per distinct day.
+    days = written.where(clean).select(day.alias("day")).distinct().where("day IS NOT NULL").collect()
+    corrupt = spark.read.schema(FILES_SCHEMA).parquet(listed).agg(F.coalesce(F.sum("corrupt"), F.lit(0))).first()[0]
+    return IngestResult(kind, path, res.rows, ingest_id, tuple(sorted(r["day"] for r in days)), int(corrupt))
 
 
 def ingest_orders(
@@ -71,10 +119,8 @@ def ingest_orders(
     name_glob: str | None = None,
     allow_empty: bool = False,
 ) -> IngestResult:
-    path = join_uri(bronze_root, "orders")
     df = raw_orders(spark, raw_root, run_date, name_glob, allow_empty)
-    res = write_partitioned(df, path, BRONZE_PARTITIONS, fmt="parquet")
-    return IngestResult("orders", path, res.rows)
+    return write_ingest(df, join_uri(bronze_root, "orders"), "orders")
 
 
 def ingest_events(
@@ -85,26 +131,65 @@ def ingest_events(
     name_glob: str | None = None,
     allow_empty: bool = False,
 ) -> IngestResult:
-    path = join_uri(bronze_root, "events")
     df = raw_events(spark, raw_root, run_date, name_glob, allow_empty)
-    res = write_partitioned(df, path, BRONZE_PARTITIONS, fmt="parquet")
-    return IngestResult("events", path, res.rows)
+    return write_ingest(df, join_uri(bronze_root, "events"), "events")
+
+
+def bronze_files(spark: SparkSession, bronze_root: str, kind: str) -> DataFrame:
+    """Every listed (file, ingest), and whether it is the file's last ingest."""
+    try:
+        files = spark.read.schema(FILES_SCHEMA).parquet(join_uri(bronze_root, kind, "files"))
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        files = spark.createDataFrame([], FILES_SCHEMA)
+    last = files.groupBy("source_file").agg(F.max(F.struct("ingested_at", "ingest_id")).alias("last"))
+    met = files.join(last.withColumnRenamed("source_file", "__file"), F.col("source_file").eqNullSafe(F.col("__file")))
+    return met.select(*files.columns, (F.col("ingest_id") == F.col("last.ingest_id")).alias("current"))
 
 
-def _file_window(
-    df: DataFrame, run_date: str | dt.date | None, days_back: int, late_days: int | None
+def read_bronze(
+    spark: SparkSession,
+    bronze_root: str,
+    kind: str,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    """Optional partition pruning: files dated in the window plus ``late_days``.
+    """Rows of each file's last ingest, corrupt lines included.
 
-    Off by default (``late_days=None``): the row's own date decides, so a late
-    row in a later file is never lost.
+    With ``days`` only folders with a file whose day range meets them are read.
+    No ingest yet reads as no rows.
     """
+    files = bronze_files(spark, bronze_root, kind)
+    wanted = files.where("current")
+    if days is not None:
+        low, high = (min(days), max(days)) if days else (dt.date.max, dt.date.min)
+        wanted = wanted.where((F.col("first_day") <= F.lit(high)) & (F.col("last_day") >= F.lit(low)))
+    # One row per folder (ingest and file date).
+    folders = wanted.select("ingest_id", "file_date").distinct().collect()
+    schema = DATA_SCHEMAS[kind]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).parquet(join_uri(bronze_root, kind, "data"))
+    df = df.where(F.col("ingest_id").isin(sorted({r["ingest_id"] for r in folders})))
+    if days is not None:
+        dates = sorted({r["file_date"] for r in folders if r["file_date"]})
+        known = F.col("file_date").isin(dates) if dates else F.lit(False)
+        df = df.where(known | F.col("file_date").isNull() if any(r["file_date"] is None for r in folders) else known)
+    replaced = files.where("NOT current").select(F.col("ingest_id").alias("__ingest"), F.col("source_file").alias("__file"))
+    n = replaced.count()
+    if n:
+        side = F.broadcast(replaced) if n <= MAX_BROADCAST_FILES else replaced
+        same = (F.col("ingest_id") == F.col("__ingest")) & F.col("source_file").eqNullSafe(F.col("__file"))
+        df = df.join(side, same, "left_anti")
+    return df
+
+
+def _window(run_date: str | dt.date | None, days_back: int) -> list[dt.date] | None:
     day = parse_run_date(run_date)
-    if day is None or late_days is None:
-        return df
+    if day is None:
+        return None
     first, last = lookback_bounds(day, days_back)
-    last = last + dt.timedelta(days=late_days)
-    return df.where(F.col("file_date").between(F.lit(first), F.lit(last)))
+    return [first + dt.timedelta(days=i) for i in range((last - first).days + 1)]
 
 
 def read_bronze_orders(
@@ -112,10 +197,10 @@ def read_bronze_orders(
     bronze_root: str,
     run_date: str | dt.date | None = None,
     days_back: int = 1,
-    late_days: int | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    df = spark.read.parquet(join_uri(bronze_root, "orders"))
-    return _file_window(df, run_date, days_back, late_days).select(*S.ORDERS.fieldNames())
+    df = read_bronze(spark, bronze_root, "orders", days if days is not None else _window(run_date, days_back))
+    return df.where(F.col(S.CORRUPT_COLUMN).isNull()).select(*S.ORDERS.fieldNames())
 
 
 def read_bronze_events(
@@ -123,18 +208,21 @@ def read_bronze_events(
     bronze_root: str,
     run_date: str | dt.date | None = None,
     days_back: int = 1,
-    late_days: int | None = None,
+    days: Sequence[dt.date] | None = None,
 ) -> DataFrame:
-    df = spark.read.parquet(join_uri(bronze_root, "events"))
-    df = _file_window(df, run_date, days_back, late_days)
+    df = read_bronze(spark, bronze_root, "events", days if days is not None else _window(run_date, days_back))
     return df.where(F.col(S.CORRUPT_COLUMN).isNull()).select(*S.EVENTS.fieldNames())
 
 
-def read_bronze_quarantine(spark: SparkSession, bronze_root: str) -> DataFrame:
-    """Unparseable event lines: table_name, rule, row_json (+ provenance)."""
-    df = spark.read.parquet(join_uri(bronze_root, "events"))
+def read_bronze_quarantine(
+    spark: SparkSession, bronze_root: str, kind: str = "events", ingest_ids: Sequence[str] | None = None
+) -> DataFrame:
+    """Lines that do not parse: table_name, rule, row_json (+ provenance)."""
+    df = read_bronze(spark, bronze_root, kind)
+    if ingest_ids is not None:
+        df = df.where(F.col("ingest_id").isin(list(ingest_ids)))
     return df.where(F.col(S.CORRUPT_COLUMN).isNotNull()).select(
-        F.lit("events").alias("table_name"),
+        F.lit(kind).alias("table_name"),
         F.lit("parse").alias("rule"),
         F.col(S.CORRUPT_COLUMN).alias("row_json"),
         "source_file",

@@ -6,6 +6,8 @@ derived from the given tables, and returns a lazy read of what was written.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ from daymark.sinks import files as SK
 from daymark.sinks import warehouse as WH
 from daymark.sources import tables as TB
 from daymark.sources.csv import read_orders_csv, read_users_csv
-from daymark.sources.files import file_manifest, join_uri, with_provenance
+from daymark.sources.files import join_uri, with_provenance
 from daymark.sources.ndjson import read_ndjson, typed_events
 
 _SQL_SCAN_ORDERS = (
@@ -92,14 +94,6 @@ def q_raw_file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_file.groupBy("file_date").agg(F.sum("rows").alias("rows"))
 
 
-@register("raw_file_rows")
-def q_raw_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per raw file (file names are whatever the writer chose)."""
-    root = shared_dir(spark, "raw_file_rows")
-    path = ST.stage_orders_csv(spark, sf_dir, root)
-    return file_manifest(spark.read.schema(S.ORDERS_RAW).option("header", True).csv(path))
-
-
 @register("concat_order_files", f"{_SQL_SCAN_ORDERS}\nUNION ALL\n{_SQL_SCAN_PURCHASES}")
 def q_concat_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scan over two folders of order files (UNION ALL by name)."""
@@ -242,11 +236,11 @@ def q_publish_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return WH.outcomes_frame(spark, outcomes).select("table_name", "rows_written", "ok")
 
 
-@register("gated_publish", ORACLE_SQL["daily_conversion"])
+@register("gated_publish", ORACLE_SQL["daily_conversion_purchases"])
 def q_gated_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gate the job's rules on the inputs, then publish daily_conversion."""
     root = shared_dir(spark, "gated_publish")
-    orders = TB.orders_table(spark, sf_dir)
+    orders = TB.purchases_table(spark, sf_dir)
     users = TB.users_table(spark, sf_dir)
     DQ.gate(DQ.rule_summary({"orders": orders, "users": users}, DQ.DEFAULT_RULES))
     conv = M.daily_conversion(TB.events_table(spark, sf_dir), orders)
@@ -349,7 +343,7 @@ def q_bronze_events_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ST.stage_events_ndjson(spark, sf_dir, root)
     bronze = join_uri(root, "bronze")
     B.ingest_events(spark, raw, bronze, name_glob="*.json")
-    events = B.read_bronze_events(spark, bronze, BRONZE_RUN_DATE, late_days=0)
+    events = B.read_bronze_events(spark, bronze, BRONZE_RUN_DATE)
     return restrict_days(events, "ts", BRONZE_RUN_DATE).select(*_EVENT_COLS)
 
 
@@ -362,7 +356,7 @@ JOB_DAYS_BACK = 7
 _IN_WINDOW = (
     f"BETWEEN DATE '{JOB_RUN_DATE}' - INTERVAL {JOB_DAYS_BACK - 1} DAY AND DATE '{JOB_RUN_DATE}'"
 )
-_SQL_WIN_ORDERS = f"SELECT * FROM ({_SQL_ORDERS}) o WHERE CAST(order_ts AS DATE) {_IN_WINDOW}"
+_SQL_WIN_ORDERS = f"SELECT * FROM ({_SQL_PURCHASES}) o WHERE CAST(order_ts AS DATE) {_IN_WINDOW}"
 _SQL_WIN_EVENTS = f"SELECT * FROM events WHERE CAST(ts AS DATE) {_IN_WINDOW}"
 _SQL_WIN_PAIRS = f"SELECT DISTINCT CAST(ts AS DATE) AS event_date, user_id FROM ({_SQL_WIN_EVENTS}) e"
 _SQL_WIN_PER_USER = (
@@ -370,8 +364,8 @@ _SQL_WIN_PER_USER = (
 )
 
 _SQL_JOB_RUN_DATE = f"""
-SELECT 'ingest' AS stage, 'orders' AS table_name, count(*) AS rows FROM orders
-UNION ALL SELECT 'ingest', 'events', count(*) FROM events
+SELECT 'ingest' AS stage, 'orders' AS table_name, count(*) AS rows FROM ({_SQL_WIN_ORDERS}) o
+UNION ALL SELECT 'ingest', 'events', count(*) FROM ({_SQL_WIN_EVENTS}) e
 UNION ALL SELECT 'quality', 'quarantine',
   (SELECT count(*) FILTER (WHERE order_id IS NULL) + count(*) FILTER (WHERE amount <= 0) FROM ({_SQL_WIN_ORDERS}) o)
   + (SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT)
@@ -391,11 +385,19 @@ UNION ALL SELECT 'transform', 'daily_conversion', count(DISTINCT event_date) FRO
 
 @register("daily_job_run_date", _SQL_JOB_RUN_DATE)
 def q_daily_job_run_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job for one run date with a 7-day look-back: only the window's
-    rows are checked, aggregated and written (dynamic overwrite)."""
-    result = _staged_job(
-        spark, sf_dir, "daily_job_run_date", run_date=JOB_RUN_DATE, days_back=JOB_DAYS_BACK
+    """The job for one run date with a 7-day look-back on raw files named by day:
+    only the window's files are read, its rows checked, aggregated and written."""
+    root = shared_dir(spark, "daily_job_run_date")
+    raw = join_uri(root, "raw")
+    purchases = ST.raw_orders_frame(TB.purchases_table(spark, sf_dir)).withColumn("day", F.to_date("order_ts"))
+    ST.stage_named_files(purchases, raw, "csv", ST.names_by_day(purchases, "orders", "csv"), "day")
+    events = ST.raw_events_frame(spark, sf_dir)
+    ST.stage_named_files(events, raw, "json", ST.names_by_day(events, "events", "ndjson"), "day")
+    paths = JobPaths(
+        raw=raw, bronze=join_uri(root, "bronze"), silver=join_uri(root, "silver"),
+        users=join_uri(ST.stage_users_csv(spark, sf_dir, root), "*.csv"),
     )
+    result = run_daily_job(spark, paths, run_date=JOB_RUN_DATE, days_back=JOB_DAYS_BACK)
     return result.stages_frame(spark).select("stage", "table_name", "rows")
 
 
@@ -442,3 +444,102 @@ def q_sink_warehouse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "fact_daily_active_users_text_" + path.rsplit("-", 1)[-1]
     dau = M.daily_active_users(TB.events_table(spark, sf_dir))
     return WH.refresh_catalog_table(spark, dau, table, path, text_columns=True)
+
+
+# ---------------------------------------------------------------------------
+# K8, K9, Q4: lines that do not parse, and files of the same name.
+# ---------------------------------------------------------------------------
+
+
+@register(
+    "csv_parse_quarantine",
+    f"""
+SELECT 'orders' AS table_name, 'parse' AS rule, order_id || ',' || user_id || ',abc,2024-01-02 03:04:05' AS row_json
+FROM ({_SQL_SCAN_PURCHASES}) o WHERE user_id % 7 = 3""",
+)
+def q_csv_parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose amount is no number are kept as text, the others are clean."""
+    root = shared_dir(spark, "csv_parse_quarantine")
+    rows = TB.purchases_table(spark, sf_dir)
+    bad = F.col("user_id") % 7 == 3
+    staged = ST.raw_orders_frame(rows).select(
+        "order_id",
+        "user_id",
+        F.when(bad, "abc").otherwise(F.col("amount").cast("string")).alias("amount"),
+        F.when(bad, "2024-01-02 03:04:05").otherwise(F.col("order_ts")).alias("order_ts"),
+    )
+    staged.write.option("header", True).csv(join_uri(root, "raw"))
+    B.ingest_orders(spark, join_uri(root, "raw"), join_uri(root, "bronze"), name_glob="*.csv")
+    return B.read_bronze_quarantine(spark, join_uri(root, "bronze"), "orders").select("table_name", "rule", "row_json")
+
+
+@register(
+    "event_parse_quarantine",
+    """
+SELECT 'events' AS table_name, 'parse' AS rule, '{"event_id":' || event_id || ',"user_id":"none"}' AS row_json
+FROM events WHERE event_id % 50 = 7""",
+)
+def q_event_parse_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event lines whose user id is no number are kept as text."""
+    root = shared_dir(spark, "event_parse_quarantine")
+    good = F.to_json(F.struct("event_id", "user_id", "event_type", F.date_format("ts", ST.TS_TEXT).alias("ts")))
+    bad = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"user_id":"none"}'))
+    events = TB.read_table(spark, sf_dir, "events")
+    events.select(F.when(F.col("event_id") % 50 == 7, bad).otherwise(good)).write.text(join_uri(root, "raw"))
+    B.ingest_events(spark, join_uri(root, "raw"), join_uri(root, "bronze"), name_glob="*.txt")
+    return B.read_bronze_quarantine(spark, join_uri(root, "bronze"), "events").select("table_name", "rule", "row_json")
+
+
+@register("stream_same_file_names", f"{_SQL_SCAN_ORDERS}\nUNION ALL\n{_SQL_SCAN_PURCHASES}")
+def q_stream_same_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with files of equal names, streamed one file at a time: no row is lost."""
+    root = shared_dir(spark, "stream_same_file_names")
+    for name, rows in (("a", TB.orders_table(spark, sf_dir)), ("b", TB.purchases_table(spark, sf_dir))):
+        ST.stage_named_files(ST.raw_orders_frame(rows), join_uri(root, "raw", name), "csv", {None: "orders_2024-01-01.csv"})
+    ingest_stream(spark, "orders", join_uri(root, "raw"), join_uri(root, "bronze"), max_files_per_trigger=1)
+    return B.read_bronze_orders(spark, join_uri(root, "bronze")).select(*_ORDER_COLS)
+
+
+# ---------------------------------------------------------------------------
+# G1, G2, P4: the job on dated raw files, with rows that come in a later file.
+# ---------------------------------------------------------------------------
+
+_LATE_JOBS: dict[tuple[str, str], str] = {}
+
+
+def _late_job(spark: SparkSession, sf_dir: str) -> str:
+    """Silver folder of two runs: all of history from files named by day, which lack
+    every tenth purchase; then, with the defaults, the run date after the last
+    day, whose file brings those late rows.  Made once per application and tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _LATE_JOBS:
+        return _LATE_JOBS[key]
+    root = shared_dir(spark, "late_job")
+    raw = join_uri(root, "raw")
+    purchases = ST.raw_orders_frame(TB.purchases_table(spark, sf_dir)).withColumn("day", F.to_date("order_ts"))
+    late = F.col("order_id").cast("long") % 10 == 3
+    names = ST.names_by_day(purchases, "orders", "csv")
+    after = max(names) + dt.timedelta(days=1)
+    ST.stage_named_files(purchases.where(~late), raw, "csv", names, "day")
+    ST.stage_named_files(purchases.where(late).drop("day"), join_uri(raw, "next"), "csv", {None: f"orders_{after}.csv"})
+    users = ST.stage_users_csv(spark, sf_dir, root)
+    paths = JobPaths(
+        raw_orders=raw, raw_events=ST.stage_events_ndjson(spark, sf_dir, root), bronze=join_uri(root, "bronze"),
+        silver=join_uri(root, "silver"), users=join_uri(users, "*.csv"),
+    )
+    run_daily_job(spark, paths, raw_orders_glob="orders_{" + ",".join(map(str, names)) + "}.csv", raw_events_glob="*.json")
+    paths.raw_events = None
+    run_daily_job(spark, paths, run_date=after)
+    _LATE_JOBS[key] = paths.silver
+    return paths.silver
+
+
+def _job_query(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return SK.read_back(spark, join_uri(_late_job(spark, sf_dir), name), S.OUTPUT_SCHEMAS[name])
+
+    return query
+
+
+for _name, _sql in _SQL_PURCHASE_TABLES.items():
+    register(f"job_{_name}", _sql)(_job_query(_name))

@@ -15,19 +15,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.functions.temporal import lookback_bounds, parse_run_date
+from daymark.functions.temporal import lookback_bounds, on_days, parse_run_date
 from daymark.operators import metrics as M
 from daymark.operators import quality as DQ
 from daymark.operators.joins import fits_broadcast
 from daymark.plans import bronze as B
-from daymark.plans.daily import MetricTable, build_metric_tables, restrict_days
-from daymark.schemas import OUTPUT_SCHEMAS
-from daymark.sinks.files import WriteResult, read_back, write_flat, write_partitioned
+from daymark.plans.daily import MetricTable, build_metric_tables
+from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
+from daymark.sinks.files import WriteResult, drop_partitions, read_back, write_flat, write_partitioned
 from daymark.sinks.warehouse import publish
 from daymark.sources.csv import read_users_csv
-from daymark.sources.files import join_uri, raw_window_pattern
+from daymark.sources.files import join_uri, normalise_uri, raw_window_pattern
 
 
 @dataclass
@@ -42,6 +43,13 @@ class JobPaths:
     raw_events: str | None = None
     export: str | None = None          # flat header-CSV copy of every table
 
+    def __post_init__(self) -> None:
+        for name in ("bronze", "silver", "users", "raw", "publish", "raw_orders", "raw_events", "export"):
+            value = getattr(self, name)
+            if value:
+                setattr(self, name, normalise_uri(value))
+        self.outputs = {name: normalise_uri(path) for name, path in self.outputs.items()}
+
     @property
     def orders_source(self) -> str | None:
         return self.raw_orders or self.raw
@@ -88,10 +96,13 @@ class JobResult:
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
-    """users.csv (declared schema) or a Parquet users table."""
+    """users.csv (columns by its header) or a Parquet users table.
+
+    Lines that do not parse have ``_corrupt_record`` set.
+    """
     if path.endswith(".csv") or "*.csv" in path:
-        return read_users_csv(spark, path)
-    return spark.read.parquet(path).select("user_id", "channel")
+        return read_users_csv(spark, path, by_header=True, keep_corrupt=True).select("user_id", "channel", CORRUPT_COLUMN)
+    return spark.read.parquet(path).select("user_id", "channel", F.lit(None).cast("string").alias(CORRUPT_COLUMN))
 
 
 def write_metric_tables(
@@ -122,7 +133,17 @@ def run_daily_job(
     raw_events_glob: str | None = None,
     do_publish: bool = False,
     reuse_intermediates: bool = True,
+    max_parse_failures: int = 0,
 ) -> JobResult:
+    """Run the job for all of history, or for a run date.
+
+    A run date reads the raw files dated in its window (and up to
+    ``late_days`` later) and restates the window's days and every other day
+    that a row in those files belongs to, from all files that hold rows of
+    those days: a late row counts on its own day, whichever file brought it.
+    Lines that do not parse go to quarantine; more than ``max_parse_failures``
+    of them in the files this run read stop it at the gate.
+    """
     run_id = uuid.uuid4().hex[:12]
     day = parse_run_date(run_date)
     stages: list[StageRecord] = []
@@ -130,62 +151,80 @@ def run_daily_job(
     def record(stage: str, table: str, rows: int | None, t0: float) -> None:
         stages.append(StageRecord(run_id, stage, table, day, rows, round(time.time() - t0, 3)))
 
-    # 1. raw → bronze.  With a run date only the raw files dated in the
-    #    window (plus ``late_days`` of later files) are read — a daily run does
-    #    not re-read history; bronze already holds earlier files, and the row
-    #    date, not the file date, decides which day a row counts for.
+    # 1. raw → bronze.
     orders_glob, events_glob = raw_orders_glob, raw_events_glob
+    days: set[dt.date] | None = None
     if day is not None:
         first, last = lookback_bounds(day, days_back)
+        days = {first + dt.timedelta(days=i) for i in range((last - first).days + 1)}
         last = last + dt.timedelta(days=late_days or 0)
         orders_glob = orders_glob or raw_window_pattern("orders", first, last, "csv")
         events_glob = events_glob or raw_window_pattern("events", first, last, "ndjson")
-    if paths.orders_source:
-        t0 = time.time()
-        res = B.ingest_orders(
-            spark, paths.orders_source, paths.bronze, None, orders_glob, allow_empty
-        )
-        record("ingest", "orders", res.rows, t0)
-    if paths.events_source:
-        t0 = time.time()
-        res = B.ingest_events(
-            spark, paths.events_source, paths.bronze, None, events_glob, allow_empty
-        )
-        record("ingest", "events", res.rows, t0)
-
-    orders = B.read_bronze_orders(spark, paths.bronze, day, days_back, late_days)
-    events = B.read_bronze_events(spark, paths.bronze, day, days_back, late_days)
-    users = read_users(spark, paths.users)
+    ingested: list[B.IngestResult] = []
+    for kind, source, glob, ingest in (
+        ("orders", paths.orders_source, orders_glob, B.ingest_orders),
+        ("events", paths.events_source, events_glob, B.ingest_events),
+    ):
+        if source:
+            t0 = time.time()
+            ingested.append(ingest(spark, source, paths.bronze, None, glob, allow_empty))
+            record("ingest", kind, ingested[-1].rows, t0)
+    if days is not None:
+        days = days.union(*[r.days for r in ingested])
+
+    restated = sorted(days) if days is not None else None
+    orders = B.read_bronze_orders(spark, paths.bronze, days=restated)
+    events = B.read_bronze_events(spark, paths.bronze, days=restated)
+    if restated is not None:
+        orders, events = orders.where(on_days("order_ts", restated)), events.where(on_days("ts", restated))
+    # The users file is parsed once per run.
+    users_copy = join_uri(paths.silver, "_work", f"run_id={run_id}", "users")
+    source_users = read_users(spark, paths.users)
+    source_users.write.mode("overwrite").parquet(users_copy)
+    all_users = spark.read.schema(source_users.schema).parquet(users_copy)
+    users = all_users.where(F.col(CORRUPT_COLUMN).isNull()).select("user_id", "channel")
 
     # 2. quality on the rows this run uses; violations go to quarantine, the
     #    gate stops the run before anything is written to silver.
     t0 = time.time()
-    dq_tables = {
-        "orders": restrict_days(orders, "order_ts", day, days_back),
-        "events": restrict_days(events, "ts", day, days_back),
-        "users": users,
-    }
+    quarantine_path = join_uri(paths.silver, "_quality", "quarantine", f"run_id={run_id}")
+    parse = [
+        all_users.where(F.col(CORRUPT_COLUMN).isNotNull()).select(
+            F.lit("users").alias("table_name"), F.lit("parse").alias("rule"),
+            F.col(CORRUPT_COLUMN).alias("row_json"),
+        )
+    ]
+    parse += [
+        B.read_bronze_quarantine(spark, paths.bronze, r.kind, [r.ingest_id]).select("table_name", "rule", "row_json")
+        for r in ingested if r.corrupt
+    ]
+    dq_tables = {"orders": orders, "events": events, "users": users}
     used = [r for r in rules if r.table in dq_tables]
+    results = list
     if used:
         # One pass: the quarantine write also yields the per-rule counts.
         frame, results = DQ.observed_quarantine(dq_tables, used)
-        q = write_flat(
-            frame,
-            join_uri(paths.silver, "_quality", "quarantine", f"run_id={run_id}"),
-            fmt="parquet",
-        )
-        record("quality", "quarantine", q.rows, t0)
-        t0 = time.time()
-        checked = DQ.gate_results(results())
+        parse.append(frame)
+    frame = parse[0]
+    for more in parse[1:]:
+        frame = frame.unionByName(more)
+    q = write_flat(frame, quarantine_path, fmt="parquet")
+    record("quality", "quarantine", q.rows, t0)
+    t0 = time.time()
+    # One row per table.
+    kept = spark.read.schema("table_name string, rule string, row_json string").parquet(quarantine_path)
+    unparsed = {r["table_name"]: r["count"] for r in kept.where("rule = 'parse'").groupBy("table_name").count().collect()}
+    checked = results()
+    if sum(unparsed.values()) > max_parse_failures:
+        checked = [*checked, *((table, "parse", n, n) for table, n in sorted(unparsed.items()))]
+    checked = DQ.gate_results(checked)
+    if used:
         record("quality", "gate", sum(n for _, _, n in checked), t0)
-    else:
-        checked = []
 
     # 3. the six silver tables, dynamic overwrite of the run's days only.
-    users_small = fits_broadcast(users.select("user_id", "channel"))   # measured once
-    tables = build_metric_tables(
-        orders, events, users, day, days_back, broadcast_users=users_small
-    )
+    started = time.time()
+    users_small = fits_broadcast(users)   # measured once
+    tables = build_metric_tables(orders, events, users, broadcast_users=users_small)
     outputs: dict[str, WriteResult] = {}
 
     def write(name: str, df: DataFrame) -> None:
@@ -193,8 +232,11 @@ def run_daily_job(
         t0 = time.time()
         outputs[name] = write_partitioned(
             df, paths.output(name), [t.partition_col], fmt=silver_format,
-            layout=t.layout, tie_cols=t.tie_cols,
+            layout=t.layout, tie_cols=t.tie_cols, dynamic=days is not None,
         )
+        if restated is not None:
+            # A restated day that has no rows any more must not keep its old ones.
+            drop_partitions(spark, paths.output(name), t.partition_col, restated, older_than=started)
         record("transform", name, outputs[name].rows, t0)
 
     if reuse_intermediates:
@@ -205,20 +247,18 @@ def run_daily_job(
         # and revenue included, are derived from them instead of re-reading
         # the facts; no multi-distinct expand of the order rows.
         work = join_uri(paths.silver, "_work", f"run_id={run_id}")
-        window_orders = restrict_days(orders, "order_ts", day, days_back)
-        window_events = restrict_days(events, "ts", day, days_back)
         t0 = time.time()
-        res = write_flat(M.revenue_by_day_user(window_orders), join_uri(work, "revenue"), fmt="parquet")
+        res = write_flat(M.revenue_by_day_user(orders), join_uri(work, "revenue"), fmt="parquet")
         record("transform", "revenue_by_day_user", res.rows, t0)
         per_user = spark.read.parquet(join_uri(work, "revenue"))
         t0 = time.time()
-        res = write_flat(M.active_user_days(window_events), join_uri(work, "pairs"), fmt="parquet")
+        res = write_flat(M.active_user_days(events), join_uri(work, "pairs"), fmt="parquet")
         record("transform", "active_user_days", res.rows, t0)
         pairs = spark.read.parquet(join_uri(work, "pairs"))
 
         write(
             "daily_orders",
-            M.daily_orders_from(M.distinct_orders_by_day(window_orders), per_user),
+            M.daily_orders_from(M.distinct_orders_by_day(orders), per_user),
         )
         dau = M.daily_active_users_from_pairs(pairs)
         buyers = M.buyers_from_revenue(per_user)
@@ -254,6 +294,9 @@ def run_daily_job(
             name: read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
             for name in tables
         }
+        if restated is not None:
+            # Only the days this run restated are copied again.
+            written = {n: df.where(F.col(tables[n].partition_col).isin(restated)) for n, df in written.items()}
         parts = {n: t.partition_col for n, t in tables.items()}
         layouts = {n: (t.layout, t.tie_cols) for n, t in tables.items()}
         for o in publish(written, paths.publish, parts, fmt=silver_format, layouts=layouts):

@@ -39,10 +39,8 @@ def stage_users_csv(spark: SparkSession, sf_dir: str, root: str) -> str:
     return path
 
 
-def stage_events_ndjson(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """Events as NDJSON in ``day=<yyyy-MM-dd>`` folders; props as a nested object."""
-    path = join_uri(root, "raw", "events")
-    ev = TB.read_table(spark, sf_dir, "events").select(
+def raw_events_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TB.read_table(spark, sf_dir, "events").select(
         "event_id",
         "user_id",
         "event_type",
@@ -50,5 +48,30 @@ def stage_events_ndjson(spark: SparkSession, sf_dir: str, root: str) -> str:
         F.from_json("props", "map<string,bigint>").alias("props"),
         F.to_date("ts").alias("day"),
     )
-    ev.write.mode("overwrite").partitionBy("day").json(path)
+
+
+def stage_events_ndjson(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Events as NDJSON in ``day=<yyyy-MM-dd>`` folders; props as a nested object."""
+    path = join_uri(root, "raw", "events")
+    raw_events_frame(spark, sf_dir).write.mode("overwrite").partitionBy("day").json(path)
     return path
+
+
+def names_by_day(rows: DataFrame, kind: str, ext: str) -> dict:
+    """``<kind>_<day>.<ext>`` for every day of the rows (one row per day)."""
+    return {r["day"]: f"{kind}_{r['day']}.{ext}" for r in rows.select("day").distinct().orderBy("day").collect()}
+
+
+def stage_named_files(rows: DataFrame, folder: str, fmt: str, names: dict, column: str | None = None) -> None:
+    """Write files with given names: one per value of ``column``, or one for all."""
+    spark = rows.sparkSession
+    work = join_uri(folder, "_work")
+    out = rows.repartition(column).write.partitionBy(column) if column else rows.coalesce(1).write
+    out.format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(work)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(work).getFileSystem(spark._jsc.hadoopConfiguration())
+    for value, name in names.items():
+        source = join_uri(work, f"{column}={value}") if column else work
+        for status in fs.globStatus(hadoop.Path(join_uri(source, "part-*"))):
+            fs.rename(status.getPath(), hadoop.Path(join_uri(folder, name)))
+    fs.delete(hadoop.Path(work), True)

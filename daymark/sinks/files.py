@@ -8,6 +8,7 @@ evaluation of the plan.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -157,6 +158,27 @@ def write_flat(
     return WriteResult(path, _rows(obs))
 
 
+def drop_partitions(spark, path: str, column: str, values: Sequence[dt.date], older_than: float) -> list[str]:
+    """Delete the folders of those ``values`` that were last written before ``older_than``.
+
+    After a dynamic overwrite of a set of days these are the days for which the
+    new result has no rows.  Folders are looked up one by one: as many as there
+    are days in the run.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for value in values:
+        folder = hadoop.Path(f"{path.rstrip('/')}/{column}={value.isoformat()}")
+        if not fs.exists(folder):
+            continue
+        newest = max((f.getModificationTime() for f in fs.listStatus(folder) if f.isFile()), default=0)
+        if newest < int(older_than * 1000):
+            fs.delete(folder, True)
+            dropped.append(value.isoformat())
+    return dropped
+
+
 def read_back(
     spark, path: str, schema: T.StructType, fmt: str = "parquet", header: bool = True
 ) -> DataFrame:

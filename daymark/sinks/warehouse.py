@@ -107,7 +107,7 @@ def publish(
                 res = write_flat(df, target, fmt=fmt)
             outcomes.append(PublishOutcome(name, target, res.rows, True))
         except Exception as exc:  # noqa: BLE001 - collected, raised below
-            outcomes.append(PublishOutcome(name, target, None, False, str(exc)[:500]))
+            outcomes.append(PublishOutcome(name, target, None, False, str(exc)))
     failed = {o.table_name: o.error or "" for o in outcomes if not o.ok}
     if failed and raise_on_error:
         raise PublishError(failed)

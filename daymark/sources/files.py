@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -68,9 +69,23 @@ def raw_window_pattern(
     return f"{kind}_{body}.{ext}"
 
 
-def with_provenance(df: DataFrame) -> DataFrame:
-    """Add ``source_file`` (base name) and ``file_date`` (from name or folder).
+def relative_name(root: str | None) -> Column:
+    """A scanned file's path below ``root``; its whole path if it lies elsewhere.
 
+    Two files of the same base name in different folders stay apart.
+    """
+    path = F.col("_metadata.file_path")
+    if root is None:
+        return F.col("_metadata.file_name")
+    below = re.sub(r"^[a-z0-9]+:/*", "/", normalise_uri(root)).rstrip("/") + "/"
+    at = F.instr(path, below)
+    return F.when(at > 0, F.substring(path, at + len(below), F.length(path))).otherwise(path)
+
+
+def with_provenance(df: DataFrame, root: str | None = None) -> DataFrame:
+    """Add ``source_file`` and ``file_date`` (from name or folder).
+
+    ``source_file`` is the path below ``root``, or the base name without a root.
     Must be applied directly on a file scan, where ``_metadata`` exists; an
     empty placeholder frame gets NULL provenance.
     """
@@ -86,7 +101,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
     from_dir = F.regexp_extract(F.col("_metadata.file_path"), DIR_DATE_PATTERN, 1)
     date_text = F.when(from_name != "", from_name).when(from_dir != "", from_dir)
     return df.withColumns({
-        "source_file": name,
+        "source_file": relative_name(root),
         "file_date": date_text.cast("date"),
     })
 
@@ -101,13 +116,21 @@ def read_or_empty(
     schema: T.StructType,
     allow_empty: bool = False,
 ) -> DataFrame:
-    """Run ``read``; a missing path raises unless ``allow_empty`` (then empty)."""
+    """Run ``read``; no input raises unless ``allow_empty`` (then empty).
+
+    No input is a missing path, or a folder with no file that matches.
+    """
     try:
-        return read()
+        df = read()
     except AnalysisException as exc:
         if allow_empty and "PATH_NOT_FOUND" in str(exc):
             return empty_frame(spark, schema)
         raise
+    if df.inputFiles():
+        return df
+    if allow_empty:
+        return empty_frame(spark, schema)
+    raise FileNotFoundError("no input file matches")
 
 
 def file_manifest(df: DataFrame) -> DataFrame:
@@ -119,7 +142,3 @@ def file_manifest(df: DataFrame) -> DataFrame:
 
 def as_paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
-
-
-def column(name: str | Column) -> Column:
-    return F.col(name) if isinstance(name, str) else name

@@ -3,21 +3,21 @@
 A file-source stream picks up raw files not seen before (the checkpoint
 records which), ``trigger(availableNow=True)`` processes everything that is
 there and stops, so the daily job can call it like a batch step.  Each
-micro-batch is written with the same dynamic per-file partition overwrite
-as the batch ingest: a batch replayed after a failure rewrites exactly the
-same (file_date, source_file) partitions, and batch readers see one bronze
-table, with no streaming-sink metadata folder in the way.
+micro-batch is one ingest of the batch form, named after the query and the
+batch: a batch replayed after a failure rewrites exactly its own folder, and
+batch readers see one bronze table, with no streaming-sink metadata folder in
+the way.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from daymark import schemas as S
-from daymark.plans.bronze import BRONZE_PARTITIONS
-from daymark.sinks.files import write_partitioned
+from daymark.plans.bronze import write_ingest
 from daymark.sources.csv import typed_orders
 from daymark.sources.files import join_uri, raw_pattern, with_provenance
 from daymark.sources.ndjson import typed_events, with_corrupt_column
@@ -33,15 +33,17 @@ class StreamIngestResult:
 
 def _orders_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int | None) -> DataFrame:
     reader = (
-        spark.readStream.schema(S.ORDERS_RAW)
+        spark.readStream.schema(with_corrupt_column(S.ORDERS_RAW))
         .option("header", True)
         .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return typed_orders(with_provenance(reader.csv(raw_root)))
+    return typed_orders(with_provenance(reader.csv(raw_root), raw_root))
 
 
 def _events_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int | None) -> DataFrame:
@@ -54,7 +56,7 @@ def _events_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return typed_events(with_provenance(reader.json(raw_root)))
+    return typed_events(with_provenance(reader.json(raw_root), raw_root))
 
 
 def ingest_stream(
@@ -80,7 +82,8 @@ def ingest_stream(
     counts: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        res = write_partitioned(batch, path, BRONZE_PARTITIONS, layout="balance")
+        name = hashlib.sha256(ckpt.encode()).hexdigest()[:12]
+        res = write_ingest(batch, path, kind, ingest_id=f"stream-{name}-{batch_id:09d}")
         counts.append(res.rows or 0)
 
     query = (
