@@ -15,6 +15,7 @@ import sys
 from collections.abc import Sequence
 
 from daymark.config import load_config, quality_rules, spark_conf
+from daymark.functions.money import MONEY_SCALE
 from daymark.operators.quality import DataQualityError
 from daymark.plans.job import JobPaths, run_daily_job
 from daymark.session import build_session
@@ -30,6 +31,7 @@ def _paths(cfg: dict) -> JobPaths:
         bronze=p["bronze"], silver=p["silver"], users=p["users"], raw=p.get("raw"),
         publish=p.get("publish"), export=p.get("export"), outputs=dict(cfg.get("outputs") or {}),
         raw_orders=p.get("raw_orders"), raw_events=p.get("raw_events"),
+        warehouse=p.get("warehouse"), database=p.get("database"),
     )
 
 
@@ -51,8 +53,10 @@ def main(argv: Sequence[str] | None = None) -> int:
             spark, _paths(cfg), run_date=run_date, days_back=days_back,
             rules=quality_rules(cfg), silver_format=cfg["pipeline"].get("silver_format", "parquet"),
             late_days=cfg["pipeline"].get("late_days"), do_publish=args.publish,
+            max_parse_failures=int(cfg["pipeline"].get("max_parse_failures") or 0),
+            scale=int(cfg["pipeline"].get("scale") or MONEY_SCALE),
         )
-    except (DataQualityError, PublishError) as exc:
+    except (DataQualityError, PublishError, FileNotFoundError) as exc:
         print(json.dumps({"event": "failed", "error": str(exc)}), flush=True)
         return 1
     for s in result.stages:

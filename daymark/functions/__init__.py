@@ -1,6 +1,6 @@
 """Column-expression helpers (JVM-side built-ins only, no UDFs)."""
 
-from daymark.functions.money import minor_units, money, money_out, money_sum
+from daymark.functions.money import minor_units, money, money_out
 from daymark.functions.ratio import conversion_rate
 from daymark.functions.temporal import (
     day_of,
@@ -18,7 +18,6 @@ __all__ = [
     "minor_units",
     "money",
     "money_out",
-    "money_sum",
     "on_day",
     "parse_run_date",
     "parse_timestamp",

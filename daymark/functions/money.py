@@ -28,11 +28,6 @@ def minor_units(col: str | Column, scale: int = MONEY_SCALE) -> Column:
     return (money(col, scale) * F.lit(10**scale)).cast("long")
 
 
-def money_sum(col: str | Column, scale: int = MONEY_SCALE) -> Column:
-    """Exact sum of an amount column, in minor units (LONG)."""
-    return F.sum(minor_units(col, scale))
-
-
 def money_out(minor: str | Column, scale: int = MONEY_SCALE) -> Column:
     """Minor units → amount as a DOUBLE rounded to ``scale`` places."""
     c = F.col(minor) if isinstance(minor, str) else minor

@@ -16,9 +16,8 @@ DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Count the dimension (one cheap job) and compare it with the bound."""
-    # limit(max_rows + 1) stops the count early for a very large dimension.
-    return dim.limit(max_rows + 1).count() <= max_rows
+    """Count the dimension (one job, counted where it is read) and compare it with the bound."""
+    return dim.count() <= max_rows
 
 
 def prepare_dimension(

@@ -215,13 +215,3 @@ def daily_conversion(
     are already hash-partitioned by day and the join adds no exchange.
     """
     return conversion_from(daily_active_users(events), daily_buyers(orders), round_to)
-
-
-METRICS = (
-    "daily_orders",
-    "daily_revenue",
-    "daily_active_users",
-    "daily_active_users_by_channel",
-    "daily_revenue_by_channel",
-    "daily_conversion",
-)

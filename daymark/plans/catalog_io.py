@@ -30,6 +30,7 @@ from daymark.plans.daily import (
     LAYOUTS,
     PARTITION_COLUMNS,
     TIE_COLUMNS,
+    WAREHOUSE_TABLES,
     build_metric_tables,
     restrict_days,
 )
@@ -504,11 +505,11 @@ def q_stream_same_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # G1, G2, P4: the job on dated raw files, with rows that come in a later file.
 # ---------------------------------------------------------------------------
 
-_LATE_JOBS: dict[tuple[str, str], str] = {}
+_LATE_JOBS: dict[tuple[str, str], JobPaths] = {}
 
 
-def _late_job(spark: SparkSession, sf_dir: str) -> str:
-    """Silver folder of two runs: all of history from files named by day, which lack
+def _late_job(spark: SparkSession, sf_dir: str) -> JobPaths:
+    """Paths of two runs: all of history from files named by day, which lack
     every tenth purchase; then, with the defaults, the run date after the last
     day, whose file brings those late rows.  Made once per application and tables."""
     key = (spark.sparkContext.applicationId, sf_dir)
@@ -526,20 +527,29 @@ def _late_job(spark: SparkSession, sf_dir: str) -> str:
     paths = JobPaths(
         raw_orders=raw, raw_events=ST.stage_events_ndjson(spark, sf_dir, root), bronze=join_uri(root, "bronze"),
         silver=join_uri(root, "silver"), users=join_uri(users, "*.csv"),
+        warehouse=join_uri(root, "warehouse"), database="daymark_" + root.rsplit("-", 1)[-1],
     )
     run_daily_job(spark, paths, raw_orders_glob="orders_{" + ",".join(map(str, names)) + "}.csv", raw_events_glob="*.json")
     paths.raw_events = None
     run_daily_job(spark, paths, run_date=after)
-    _LATE_JOBS[key] = paths.silver
-    return paths.silver
+    _LATE_JOBS[key] = paths
+    return paths
 
 
 def _job_query(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return SK.read_back(spark, join_uri(_late_job(spark, sf_dir), name), S.OUTPUT_SCHEMAS[name])
+        return SK.read_back(spark, _late_job(spark, sf_dir).output(name), S.OUTPUT_SCHEMAS[name])
+
+    return query
+
+
+def _warehouse_query(name: str):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.table(f"{_late_job(spark, sf_dir).database}.{WAREHOUSE_TABLES[name]}")
 
     return query
 
 
 for _name, _sql in _SQL_PURCHASE_TABLES.items():
     register(f"job_{_name}", _sql)(_job_query(_name))
+    register(f"warehouse_{WAREHOUSE_TABLES[_name]}", _sql)(_warehouse_query(_name))

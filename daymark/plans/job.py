@@ -18,15 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark.functions.money import MONEY_SCALE
 from daymark.functions.temporal import lookback_bounds, on_days, parse_run_date
 from daymark.operators import metrics as M
 from daymark.operators import quality as DQ
 from daymark.operators.joins import fits_broadcast
 from daymark.plans import bronze as B
-from daymark.plans.daily import MetricTable, build_metric_tables
+from daymark.plans.daily import WAREHOUSE_TABLES, MetricTable, build_metric_tables
 from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
 from daymark.sinks.files import WriteResult, drop_partitions, read_back, write_flat, write_partitioned
-from daymark.sinks.warehouse import publish
+from daymark.sinks.warehouse import publish, refresh_catalog_table
 from daymark.sources.csv import read_users_csv
 from daymark.sources.files import join_uri, normalise_uri, raw_window_pattern
 
@@ -42,9 +43,11 @@ class JobPaths:
     raw_orders: str | None = None
     raw_events: str | None = None
     export: str | None = None          # flat header-CSV copy of every table
+    warehouse: str | None = None       # files of the warehouse tables
+    database: str | None = None        # catalog database of the warehouse tables
 
     def __post_init__(self) -> None:
-        for name in ("bronze", "silver", "users", "raw", "publish", "raw_orders", "raw_events", "export"):
+        for name in ("bronze", "silver", "users", "raw", "publish", "raw_orders", "raw_events", "export", "warehouse"):
             value = getattr(self, name)
             if value:
                 setattr(self, name, normalise_uri(value))
@@ -134,6 +137,7 @@ def run_daily_job(
     do_publish: bool = False,
     reuse_intermediates: bool = True,
     max_parse_failures: int = 0,
+    scale: int = MONEY_SCALE,
 ) -> JobResult:
     """Run the job for all of history, or for a run date.
 
@@ -142,7 +146,8 @@ def run_daily_job(
     that a row in those files belongs to, from all files that hold rows of
     those days: a late row counts on its own day, whichever file brought it.
     Lines that do not parse go to quarantine; more than ``max_parse_failures``
-    of them in the files this run read stop it at the gate.
+    of them in the files this run read stop it at the gate.  Amounts count in
+    units of ``scale`` decimal places.
     """
     run_id = uuid.uuid4().hex[:12]
     day = parse_run_date(run_date)
@@ -224,7 +229,7 @@ def run_daily_job(
     # 3. the six silver tables, dynamic overwrite of the run's days only.
     started = time.time()
     users_small = fits_broadcast(users)   # measured once
-    tables = build_metric_tables(orders, events, users, broadcast_users=users_small)
+    tables = build_metric_tables(orders, events, users, scale=scale, broadcast_users=users_small)
     outputs: dict[str, WriteResult] = {}
 
     def write(name: str, df: DataFrame) -> None:
@@ -248,7 +253,7 @@ def run_daily_job(
         # the facts; no multi-distinct expand of the order rows.
         work = join_uri(paths.silver, "_work", f"run_id={run_id}")
         t0 = time.time()
-        res = write_flat(M.revenue_by_day_user(orders), join_uri(work, "revenue"), fmt="parquet")
+        res = write_flat(M.revenue_by_day_user(orders, scale), join_uri(work, "revenue"), fmt="parquet")
         record("transform", "revenue_by_day_user", res.rows, t0)
         per_user = spark.read.parquet(join_uri(work, "revenue"))
         t0 = time.time()
@@ -258,11 +263,11 @@ def run_daily_job(
 
         write(
             "daily_orders",
-            M.daily_orders_from(M.distinct_orders_by_day(orders), per_user),
+            M.daily_orders_from(M.distinct_orders_by_day(orders), per_user, scale),
         )
         dau = M.daily_active_users_from_pairs(pairs)
         buyers = M.buyers_from_revenue(per_user)
-        write("daily_revenue", M.daily_revenue_from_minor(per_user))
+        write("daily_revenue", M.daily_revenue_from_minor(per_user, scale))
         write("daily_active_users", dau)
         write(
             "daily_active_users_by_channel",
@@ -271,7 +276,7 @@ def run_daily_job(
         write(
             "daily_revenue_by_channel",
             M.daily_revenue_by_channel(
-                None, users, broadcast_users=users_small, per_user_minor=per_user
+                None, users, scale, broadcast_users=users_small, per_user_minor=per_user
             ),
         )
         write("daily_conversion", M.conversion_from(dau, buyers))
@@ -287,7 +292,20 @@ def run_daily_job(
             res = write_flat(written, join_uri(paths.export, name), fmt="csv")
             record("export", name, res.rows, t0)
 
-    # 5. publish the written tables.
+    # 5. full refresh of the six warehouse tables, under their names.
+    if paths.warehouse:
+        if paths.database:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS `{paths.database}`")
+        for name in tables:
+            t0 = time.time()
+            table = WAREHOUSE_TABLES[name]
+            whole = read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
+            loaded = refresh_catalog_table(
+                spark, whole, f"`{paths.database}`.{table}" if paths.database else table, join_uri(paths.warehouse, table)
+            )
+            record("load", table, loaded.count(), t0)
+
+    # 6. publish the written tables.
     if do_publish and paths.publish:
         t0 = time.time()
         written = {

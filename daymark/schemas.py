@@ -24,17 +24,13 @@ EVENTS_RAW = T.StructType([
     T.StructField("props", T.StringType(), True),
 ])
 
-# Users dimension (users.csv): the two columns the metrics read.  Files that
-# also carry the documented signup_date use USERS_RAW_WITH_SIGNUP.
+# Users dimension (users.csv): the two columns the metrics read; other columns
+# of a file (signup_date) are found by its header and left aside.
 USERS_RAW = T.StructType([
     T.StructField("user_id", T.LongType(), True),
     T.StructField("channel", T.StringType(), True),
 ])
 
-USERS_RAW_WITH_SIGNUP = T.StructType(
-    USERS_RAW.fields + [T.StructField("signup_date", T.DateType(), True)]
-)
-
 # Typed bronze tables (what the metrics consume).
 ORDERS = T.StructType([
     T.StructField("order_id", T.StringType(), True),
@@ -93,20 +89,6 @@ DAILY_CONVERSION = T.StructType([
     T.StructField("conv_rate", T.DoubleType(), True),
 ])
 
-QUARANTINE = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("rule", T.StringType(), False),
-    T.StructField("row_json", T.StringType(), True),
-])
-
-RULE_SUMMARY = T.StructType([
-    T.StructField("table_name", T.StringType(), False),
-    T.StructField("rule", T.StringType(), False),
-    T.StructField("rows_checked", T.LongType(), False),
-    T.StructField("violations", T.LongType(), False),
-    T.StructField("ok", T.BooleanType(), False),
-])
-
 OUTPUT_SCHEMAS: dict[str, T.StructType] = {
     "daily_orders": DAILY_ORDERS,
     "daily_revenue": DAILY_REVENUE,

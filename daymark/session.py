@@ -7,6 +7,7 @@ the shared folder the cluster names in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -44,7 +45,7 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def checkpoint_root(spark: SparkSession) -> str:

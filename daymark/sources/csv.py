@@ -50,9 +50,8 @@ def read_csv(
     """One scan over many files; ``name_glob`` matches base names (any depth
     with ``recursive``), like listing a prefix and filtering names.
 
-    ``by_header`` takes the columns from the first file's header (extra and
-    reordered columns are read by name; the result has the columns of
-    ``schema``), and any file with another header still fails.  With
+    ``by_header`` takes the columns from the first file's header (reordered
+    columns are read by name, extra ones as text), and any file with another header still fails.  With
     ``keep_corrupt`` a line with a field that does not parse, or too few or too
     many fields, keeps its text in ``_corrupt_record``.
     """

@@ -133,12 +133,5 @@ def read_or_empty(
     raise FileNotFoundError("no input file matches")
 
 
-def file_manifest(df: DataFrame) -> DataFrame:
-    """Rows per source file of a file-based DataFrame (partial counts map-side)."""
-    return df.groupBy(F.col("_metadata.file_name").alias("source_file")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-
-
 def as_paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)

@@ -27,7 +27,7 @@ def test_stream_picks_up_only_new_files(spark, tmp_path):
     assert again.rows == 0
     got = B.read_bronze_orders(spark, bronze)
     assert sorted(r.order_id for r in got.collect()) == ["A1", "A2", "B1"]
-    dates = {r.file_date.isoformat() for r in spark.read.parquet(f"{bronze}/orders").collect()}
+    dates = {r.file_date.isoformat() for r in spark.read.parquet(f"{bronze}/orders/data").collect()}
     assert dates == {"2024-01-01", "2024-01-02"}
 
 
@@ -40,3 +40,13 @@ def test_stream_events_keep_corrupt_lines(spark, tmp_path):
     assert res.rows == 2
     assert B.read_bronze_events(spark, bronze).count() == 1
     assert [r.row_json for r in B.read_bronze_quarantine(spark, bronze).collect()] == ["{broken"]
+
+
+def test_same_file_names_one_file_a_batch(spark, tmp_path):
+    raw, bronze = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    header = "order_id,user_id,amount,order_ts\n"
+    for n, folder in enumerate(("a", "b")):
+        write(f"{raw}/{folder}/orders_2024-01-01.csv", header + f"X{n},1,5.00,2024-01-01 10:00:00\n")
+    res = ingest_stream(spark, "orders", raw, bronze, max_files_per_trigger=1)
+    assert (res.batches, res.rows) == (2, 2)
+    assert sorted(r.order_id for r in B.read_bronze_orders(spark, bronze).collect()) == ["X0", "X1"]
