@@ -13,12 +13,14 @@ token under every other order before their sets are compared.
   1/64 of the classes are known from the first scan; they rank last, and
   their rows are dealt by task, not by token.
 * A posting also tells the token's place in its set, which bounds what two sets
-  can have in common from their first shared token on (positional filter).
+  can have in common from their first shared token on (positional filter); token
+  counts by 64 hash values bound it again.
 * Links are found in rounds.  In a leader round every posting list compares
   its members with a few of them, so that the comparisons of a group of near
-  copies grow with its size; the components so far are merged.  In the last round the pairs
-  left, those of different components that share a prefix token, are all
-  compared, and only those.
+  copies grow with its size; the components so far are merged.  In the
+  rounds after it the pairs left, those of different components that share a
+  prefix token, are all compared, first a small share of them: what that
+  merges need not be compared again.
 """
 
 from __future__ import annotations
@@ -41,8 +43,11 @@ FLUSH_CLASSES = 60_000
 PART_TOKENS = 1_500_000
 HEAVY_SHARE = 64
 HEAVY_CLASS = 127
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 1
 LEADERS = 8
+COUNTERS = 64
+# Shares of the pairs left that the last rounds compare, in sixteenths from and to.
+PAIR_SHARES = ((0, 1), (1, 4), (4, 16))
 _SEED = np.uint64(0x51ED270B27A1C9F5)
 
 
@@ -247,7 +252,7 @@ def _scrambled(order: int) -> Column:
 
 def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (a, b) that share a prefix token under every other order and are similar enough."""
-    side = lambda s: active.select(*[F.col(c).alias(f"{c}_{s}") for c in active.columns])
+    side = lambda s: active.select(*[F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "keys")])
     first = pairs
     if orders > 1:
         cols = ["class", *[f"prefix{i}" for i in range(2, orders + 1)]]
@@ -256,8 +261,8 @@ def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) ->
         for i in range(2, orders + 1):
             first = first.where(F.arrays_overlap(f"prefix{i}_a", f"prefix{i}_b"))
         first = first.select("a", "b")
-    full = first.join(side("a").select("class_a", "n_a", "keys_a"), F.col("a") == F.col("class_a"))
-    full = full.join(side("b").select("class_b", "n_b", "keys_b"), F.col("b") == F.col("class_b"))
+    full = first.join(side("a"), F.col("a") == F.col("class_a"))
+    full = full.join(side("b"), F.col("b") == F.col("class_b"))
     full = full.withColumn("common", F.size(F.array_intersect("keys_a", "keys_b")))
     return full.where(F.expr(f"100 * common >= {percent} * (n_a + n_b - common)")).select("a", "b")
 
@@ -296,22 +301,25 @@ def jaccard_components(
     prefix = {"prefix1": F.slice(F.sort_array("keys"), 1, F.col("take"))}
     for i in range(2, orders + 1):
         prefix[f"prefix{i}"] = F.slice(F.sort_array(_scrambled(i)), 1, F.col("take"))["k"]
-    shared.withColumns(prefix).drop("take").write.parquet(f"{root}/active")
+    # Token counts by the last bits of the key: the sum of the lesser counts of two sets bounds what they share.
+    counts = F.transform(F.sequence(F.lit(0), F.lit(COUNTERS - 1)), lambda i: F.size(F.filter("keys", lambda k: F.pmod(k, F.lit(COUNTERS)) == i)).cast("short"))
+    shared.withColumns({**prefix, "counts": counts}).drop("take").write.parquet(f"{root}/active")
     active = spark.read.parquet(f"{root}/active")
     # left: the tokens from this one on, in the first order; tokens of no second class come first.
-    placed = active.select(F.posexplode("prefix1").alias("i", "token"), "class", F.col("n").cast("int"), F.expr("int(size(keys) - i)").alias("left"))
+    placed = active.select(F.posexplode("prefix1").alias("i", "token"), "class", F.col("n").cast("int"), F.expr("int(size(keys) - i)").alias("left"), "counts")
     placed.drop("i").write.parquet(f"{root}/postings0")
 
     # Rounds.  labels: class -> least class of its component, for merged classes.
     labels, links = None, None
     postings = spark.read.parquet(f"{root}/postings0").withColumn("label", F.col("class"))
-    for turn in range(LEADER_ROUNDS + 1):
-        member = lambda i: F.struct(F.xxhash64("class", F.lit(turn * LEADERS + i)).alias("o"), F.col("class"), F.col("n"), F.col("left"), F.col("label"))  # noqa: B023,E731
+    for turn in range(LEADER_ROUNDS + len(PAIR_SHARES)):
+        # The first round has the same leaders for all lists of a group, later ones have others for each list.
+        member = lambda i: F.struct(F.xxhash64("class", F.lit(turn * LEADERS + i), *(["token"] if turn else [])).alias("o"), F.col("class"), F.col("n"), F.col("left"), F.col("label"), F.col("counts"))  # noqa: B023,E731
         several = postings.groupBy("token").agg(
             F.min("label").alias("lo"), F.max("label").alias("hi"), *([F.min(member(i)).alias(f"b{i}") for i in range(LEADERS)] if turn < LEADER_ROUNDS else [])
         ).where("lo <> hi")
         if turn < LEADER_ROUNDS:
-            members = F.array_distinct(F.array(*[F.struct(*[F.col(f"b{i}.{c}") for c in ("class", "n", "left", "label")]) for i in range(LEADERS)]))
+            members = F.array_distinct(F.array(*[F.struct(*[F.col(f"b{i}.{c}") for c in ("class", "n", "left", "label", "counts")]) for i in range(LEADERS)]))
             leaders = several.select("token", F.explode(members).alias("b")).select("token", "b.*")
             pairs = postings.alias("a").join(leaders.alias("b"), "token").where("a.label <> b.label")
         else:
@@ -322,8 +330,14 @@ def jaccard_components(
             wanted = mixed.join(groups, "token").where(f"label < other and 100 * n >= {percent} * low and 100 * high >= {percent} * n")
             wanted = wanted.where(f"{100 + percent} * least(left, most) >= {percent} * (n + low)").drop("low", "high", "most")
             pairs = wanted.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.other") == F.col("b.label")))
+            share = F.pmod(F.xxhash64("a.class").bitwiseXOR(F.xxhash64("b.class")), F.lit(16))
+            low, high = PAIR_SHARES[turn - LEADER_ROUNDS]
+            pairs = pairs.where((share >= low) & (share < high))
         pairs = pairs.where(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
         pairs = pairs.where(f"{100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)")
+        common = "aggregate(zip_with(a.counts, b.counts, (x, y) -> int(least(x, y))), 0, (s, x) -> s + x)"
+        # Tokens that no second class has are not counted, and not shared.
+        pairs = pairs.where(f"{100 + percent} * {common} >= {percent} * (a.n + b.n)")
         pairs = pairs.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).distinct()
         _verified(pairs, active, percent, orders).write.parquet(f"{root}/links{turn}")
         new = spark.read.parquet(f"{root}/links{turn}")
@@ -331,9 +345,9 @@ def jaccard_components(
             continue
         links = new if links is None else links.union(new)
         labels = connected_components(spark, links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        if turn < LEADER_ROUNDS:
+        if turn < LEADER_ROUNDS + len(PAIR_SHARES) - 1:
             merged = spark.read.parquet(f"{root}/postings0").join(labels, F.col("class") == F.col("node"), "left")
-            merged.select("token", "class", "n", "left", F.coalesce("root", "class").alias("label")).write.parquet(f"{root}/postings{turn + 1}")
+            merged.select("token", "class", "n", "left", "counts", F.coalesce("root", "class").alias("label")).write.parquet(f"{root}/postings{turn + 1}")
             postings = spark.read.parquet(f"{root}/postings{turn + 1}")
 
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
