@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,12 +56,26 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_documents(docs, load_model(tokenizer_file("piece_bpe_32k.model")))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("toxicity", drop_toxic),
-    ("near_copies", keep_one_of_near_copies),
-    ("repeated_passages", drop_repeated_passages),
-    ("mix", mix),
-    ("sentencepiece", encode),
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _shipped(stage: Stage) -> Stage:
+    """The stage, with the package's source on the executors."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", _shipped(drop_toxic)),
+    ("near_copies", _shipped(keep_one_of_near_copies)),
+    ("repeated_passages", _shipped(drop_repeated_passages)),
+    ("mix", _shipped(mix)),
+    ("sentencepiece", _shipped(encode)),
 ]
 
 # The toxicity lexicon is learned and the pieces come from a tokenizer.
@@ -69,7 +84,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; every stage's rows are written and read again."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     root = shared_dir(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
