@@ -4,6 +4,11 @@ A sentence ends at a word that ends in ``. ! ?``, at a line break, or after 16
 words.  From every sentence starts one span: the shortest run of two or more
 consecutive sentences with at least ``min_words`` words.  A span depends on
 its own words only, so a passage that occurs again brings the same spans.
+With ``local_cuts`` quotes and brackets may follow a stop, other scripts' stops
+count too, and instead of after 16 words a long sentence is cut where the hash
+of two words is the least of those within ``WINDOW`` words on both sides: equal
+passages are cut alike, whatever stands before them, but for their first and
+last words up to a cut.
 Spans are hashed and joined over all documents; all occurrences but the first
 (by document id, then place) are marked, and sentences that a marked span
 covers are removed.
@@ -29,9 +34,62 @@ from daymark.session import shared_dir
 MAX_SENTENCE = 16
 _END = np.zeros(256, dtype=bool)
 _END[[ord(c) for c in ".!?"]] = True
-
-
-def sentences(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+WINDOW = 4
+_STOPS = [c.encode() for c in ".!?。．！？؟۔।…"]
+_CLOSERS = [c.encode() for c in "\"')]}»”’」』）"]
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _ends_in(raw: np.ndarray, start: np.ndarray, end: np.ndarray, marks: list[bytes]) -> np.ndarray:
+    """Length of the mark that each word ends in, 0 for none."""
+    size = np.zeros(len(end), dtype=np.int64)
+    for mark in marks:
+        fits = np.flatnonzero((end - start >= len(mark)) & (raw[end - 1] == mark[-1]))
+        for i, byte in enumerate(mark[:-1]):
+            fits = fits[raw[end[fits] - len(mark) + i] == byte]
+        size[fits] = len(mark)
+    return size
+
+
+def _stopped(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each word ends in a stop, with or without closing quotes and brackets behind it."""
+    end, left = end.copy(), np.arange(len(end))
+    while len(left):
+        size = _ends_in(raw, start[left], end[left], _CLOSERS)
+        left, size = left[size > 0], size[size > 0]
+        end[left] -= size
+        left = left[end[left] > start[left]]
+    # A word of closers only is no stop.
+    return (_ends_in(raw, start, np.maximum(end, start + 1), _STOPS) > 0) & (end > start)
+
+
+def _local_cuts(words: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Words with the least pair hash within ``WINDOW`` words, none of which starts a sentence.
+
+    Equal hashes so near come from words that repeat; of these, cuts are
+    ``WINDOW`` + 1 words or more apart, which is a whole number of periods.
+    """
+    n, w = len(words), WINDOW
+    if n <= 2 * w:
+        return np.zeros(0, dtype=np.int64)
+    pairs = mix64(words * _PAIR + np.append(words[1:], np.uint64(0)))
+    least = pairs[: n - 2 * w].copy()
+    for i in range(1, 2 * w + 1):
+        np.minimum(least, pairs[i : n - 2 * w + i], out=least)
+    begun = np.concatenate([[0], np.cumsum(first)])
+    at = np.arange(w, n - w)
+    cuts = at[(pairs[w : n - w] == least) & (begun[at + w + 1] == begun[at - w + 1])]
+    near = np.diff(cuts, prepend=-w - 1) <= w
+    keep, last, places = ~near, 0, cuts.tolist()
+    for i in np.flatnonzero(near).tolist():
+        if not near[i - 1]:
+            last = places[i - 1]
+        if places[i] - last > w:
+            keep[i], last = True, places[i]
+    return cuts[keep]
+
+
+def sentences(raw: np.ndarray, off: np.ndarray, *, local_cuts: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """First words of the sentences (and the number of words), the n+1 sentence
     offsets of the texts, first bytes and word hashes of all words."""
     start, end, at = word_spans(raw, off)
@@ -41,11 +99,16 @@ def sentences(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     lines = np.concatenate([[0], np.cumsum(raw == 0x0A)])
     first = np.zeros(n, dtype=bool)
     first[at[:-1][np.diff(at) > 0]] = True
-    first[1:] |= _END[raw[end[:-1] - 1]] | (lines[start[1:]] > lines[end[:-1]])
-    begun = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-    first |= (np.arange(n) - begun) % MAX_SENTENCE == 0
+    words = word_hashes(raw, start, end)
+    stopped = _stopped(raw, start, end) if local_cuts else _END[raw[end - 1]]
+    first[1:] |= stopped[:-1] | (lines[start[1:]] > lines[end[:-1]])
+    if local_cuts:
+        first[_local_cuts(words, first)] = True
+    else:
+        begun = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+        first |= (np.arange(n) - begun) % MAX_SENTENCE == 0
     heads = np.flatnonzero(first)
-    return np.append(heads, n), np.searchsorted(heads, at), start, word_hashes(raw, start, end)
+    return np.append(heads, n), np.searchsorted(heads, at), start, words
 
 
 def spans(heads: np.ndarray, at: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +125,7 @@ def spans(heads: np.ndarray, at: np.ndarray, words: np.ndarray, min_words: int)
     return text, first - at[text], stop - first, hashed.view(np.int64)
 
 
-def repeated_spans(docs: DataFrame, *, min_words: int = 20) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False) -> DataFrame:
     """(doc_id, th, marks): for each document that has any, the spans that occurred
     before, as packed pairs of first sentence and number of sentences."""
     spark = docs.sparkSession
@@ -71,7 +134,7 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20) -> DataFrame:
         for batch in batches:
             for lo, hi in pieces(batch.column(2)):
                 block = batch.slice(lo, hi - lo)
-                heads, at, _, words = sentences(*utf8(block.column(2)))
+                heads, at, _, words = sentences(*utf8(block.column(2)), local_cuts=local_cuts)
                 text, first, size, hashed = spans(heads, at, words, min_words)
                 rows = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
@@ -88,7 +151,9 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20) -> DataFrame:
     return later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("marks"))
 
 
-def remove_repeated_passages(docs: DataFrame, *, min_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_passages(
+    docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """All columns of ``docs`` with the text less its repeated sentences, plus
     n_sentences, n_removed and removed (arrays of first sentence and number).
 
@@ -102,7 +167,7 @@ def remove_repeated_passages(docs: DataFrame, *, min_words: int = 20, id_col: st
     new = ["n_sentences", "n_removed", "removed"]
     kept = docs.drop(*new)
     keyed = kept.withColumn("__th", F.xxhash64(text_col))
-    marks = repeated_spans(keyed.select(F.col(id_col).alias("doc_id"), F.col("__th").alias("th"), F.coalesce(text_col, F.lit("")).alias("text")), min_words=min_words)
+    marks = repeated_spans(keyed.select(F.col(id_col).alias("doc_id"), F.col("__th").alias("th"), F.coalesce(text_col, F.lit("")).alias("text")), min_words=min_words, local_cuts=local_cuts)
     k, m = keyed.alias("k"), marks.alias("m")
     met = k.join(m, F.col(f"k.{id_col}").eqNullSafe(F.col("m.doc_id")) & (F.col("k.__th") == F.col("m.th")), "left")
     met = met.select(*[F.col(f"k.`{c}`") for c in kept.columns], F.col("m.marks").alias("__marks"))
@@ -116,7 +181,7 @@ def remove_repeated_passages(docs: DataFrame, *, min_words: int = 20, id_col: st
             for lo, hi in pieces(batch.column(at_text)):
                 block = batch.slice(lo, hi - lo)
                 raw, off = utf8(block.column(at_text))
-                heads, at, start, _ = sentences(raw, off)
+                heads, at, start, _ = sentences(raw, off, local_cuts=local_cuts)
                 texts, all_marks = block.column(at_text).to_pylist(), block.column(len(names)).to_pylist()
                 gone, lists = np.zeros(hi - lo, np.int64), []
                 for row, own in enumerate(all_marks):
