@@ -87,7 +87,8 @@ class _Block:
 
     def sorted(self) -> tuple[np.ndarray, np.ndarray]:
         tokens = np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.uint64)
-        local = np.repeat(np.arange(len(self.ids), dtype=np.uint16), np.concatenate(self.sizes) if self.sizes else [])
+        # A block is asked whether it is full after a whole piece only, and may pass 65,536 classes.
+        local = np.repeat(np.arange(len(self.ids), dtype=np.uint32), np.concatenate(self.sizes) if self.sizes else [])
         order = np.argsort(tokens, kind="stable")
         return tokens[order], local[order]
 
@@ -106,18 +107,19 @@ def _pack(tokens: np.ndarray, local: np.ndarray, ids: np.ndarray) -> bytes:
     gaps = np.diff(tokens, prepend=np.uint64(0))
     wide = bool(len(gaps)) and int(gaps.max()) >= 2**32
     used, local = np.unique(local, return_inverse=True)
+    many = len(used) > 2**16
     return b"".join(
-        [struct.pack("<?II", wide, len(tokens), len(used)), _planes(gaps if wide else gaps.astype("<u4")), _planes(local.astype("<u2")), ids[used].tobytes()]
+        [struct.pack("<??II", wide, many, len(tokens), len(used)), _planes(gaps if wide else gaps.astype("<u4")), _planes(local.astype("<u4" if many else "<u2")), ids[used].tobytes()]
     )
 
 
 def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    wide, n, n_ids = struct.unpack_from("<?II", raw)
-    at = struct.calcsize("<?II")
-    width = 8 if wide else 4
+    wide, many, n, n_ids = struct.unpack_from("<??II", raw)
+    at = struct.calcsize("<??II")
+    width, more = 8 if wide else 4, 4 if many else 2
     gaps = _unplane(raw[at : at + width * n], f"<u{width}") if n else np.zeros(0, np.uint64)
-    local = _unplane(raw[at + width * n : at + (width + 2) * n], "<u2") if n else np.zeros(0, np.uint16)
-    ids = np.frombuffer(raw, "<i8", n_ids, at + (width + 2) * n)
+    local = _unplane(raw[at + width * n : at + (width + more) * n], f"<u{more}") if n else np.zeros(0, np.uint16)
+    ids = np.frombuffer(raw, "<i8", n_ids, at + (width + more) * n)
     return np.cumsum(gaps.astype(np.uint64)), ids[local]
 
 
