@@ -46,6 +46,7 @@ HEAVY_CLASS = 127
 LEADER_ROUNDS = 1
 LEADERS = 8
 COUNTERS = 64
+COUNTER_TOP = 32_767  # a counter of this value says "so many or more"
 # Shares of the pairs left that the last rounds compare, in sixteenths from and to.
 PAIR_SHARES = ((0, 1), (1, 4), (4, 16))
 _SEED = np.uint64(0x51ED270B27A1C9F5)
@@ -252,6 +253,18 @@ def _scrambled(order: int) -> Column:
     return F.transform("keys", lambda k: F.struct(F.xxhash64(k, F.lit(order)).alias("o"), k.alias("k")))
 
 
+def _counters(keys: str) -> Column:
+    """Token counts by the last bits of the key: the sum of the lesser counts of two sets bounds what they share."""
+    count = lambda i: F.size(F.filter(keys, lambda k: F.pmod(k, F.lit(COUNTERS)) == i))
+    return F.transform(F.sequence(F.lit(0), F.lit(COUNTERS - 1)), lambda i: F.least(count(i), F.lit(COUNTER_TOP)).cast("short"))
+
+
+def _most_common(a: str, b: str) -> str:
+    """What the sets ``a`` and ``b`` can share by their counters; two full ones bound nothing."""
+    least = f"if(least(x, y) = {COUNTER_TOP}, bigint(least({a}.n, {b}.n)), bigint(least(x, y)))"
+    return f"aggregate(zip_with({a}.counts, {b}.counts, (x, y) -> {least}), 0L, (s, x) -> s + x)"
+
+
 def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs (a, b) that share a prefix token under every other order and are similar enough."""
     side = lambda s: active.select(*[F.col(c).alias(f"{c}_{s}") for c in ("class", "n", "keys")])
@@ -303,9 +316,7 @@ def jaccard_components(
     prefix = {"prefix1": F.slice(F.sort_array("keys"), 1, F.col("take"))}
     for i in range(2, orders + 1):
         prefix[f"prefix{i}"] = F.slice(F.sort_array(_scrambled(i)), 1, F.col("take"))["k"]
-    # Token counts by the last bits of the key: the sum of the lesser counts of two sets bounds what they share.
-    counts = F.transform(F.sequence(F.lit(0), F.lit(COUNTERS - 1)), lambda i: F.size(F.filter("keys", lambda k: F.pmod(k, F.lit(COUNTERS)) == i)).cast("short"))
-    shared.withColumns({**prefix, "counts": counts}).drop("take").write.parquet(f"{root}/active")
+    shared.withColumns({**prefix, "counts": _counters("keys")}).drop("take").write.parquet(f"{root}/active")
     active = spark.read.parquet(f"{root}/active")
     # left: the tokens from this one on, in the first order; tokens of no second class come first.
     placed = active.select(F.posexplode("prefix1").alias("i", "token"), "class", F.col("n").cast("int"), F.expr("int(size(keys) - i)").alias("left"), "counts")
@@ -337,9 +348,8 @@ def jaccard_components(
             pairs = pairs.where((share >= low) & (share < high))
         pairs = pairs.where(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
         pairs = pairs.where(f"{100 + percent} * least(a.left, b.left) >= {percent} * (a.n + b.n)")
-        common = "aggregate(zip_with(a.counts, b.counts, (x, y) -> int(least(x, y))), 0, (s, x) -> s + x)"
         # Tokens that no second class has are not counted, and not shared.
-        pairs = pairs.where(f"{100 + percent} * {common} >= {percent} * (a.n + b.n)")
+        pairs = pairs.where(f"{100 + percent} * {_most_common('a', 'b')} >= {percent} * (a.n + b.n)")
         pairs = pairs.select(F.least("a.class", "b.class").alias("a"), F.greatest("a.class", "b.class").alias("b")).distinct()
         _verified(pairs, active, percent, orders).write.parquet(f"{root}/links{turn}")
         new = spark.read.parquet(f"{root}/links{turn}")

@@ -22,3 +22,16 @@ def test_a_block_that_passes_65536_classes():
     assert all(want[t - 1 + t % 2] == i for t, i in zip(got_tokens.tolist(), got_ids.tolist()))
     few = local < 100
     assert J._unpack(J._pack(tokens[few] >> np.uint64(8), local[few], np.array(block.ids, dtype=np.int64)))[1].tolist() == got_ids[few].tolist()
+
+
+def test_token_counters_of_very_long_texts(spark):
+    """40,001 keys in one counter: it is full and bounds nothing, other counters still do."""
+    sets = spark.range(2).selectExpr(
+        "id", "transform(sequence(0L, 40000L), i -> 64 * i) AS full", "transform(sequence(0L, 99L), i -> 64 * i) AS few"
+    )
+    rows = sets.selectExpr("id", "array_union(full, array(1L + 64 * id)) AS keys", "few").withColumns({"counts": J._counters("keys"), "counts_few": J._counters("few")})
+    rows = rows.selectExpr("id", "counts", "size(keys) AS n", "counts_few")
+    a, b = rows.where("id = 0").alias("a"), rows.where("id = 1").alias("b")
+    assert a.crossJoin(b).selectExpr(J._most_common("a", "b")).first()[0] >= 40_001
+    few = rows.where("id = 1").selectExpr("counts_few AS counts", "100 AS n").alias("b")
+    assert a.crossJoin(few).selectExpr(J._most_common("a", "b")).first()[0] == 100
