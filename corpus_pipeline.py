@@ -38,7 +38,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occurred before; a document of which nothing is left goes."""
-    cut = remove_repeated_passages(docs, local_cuts=True).where("n_removed = 0 or n_removed < n_sentences")
+    cut = remove_repeated_passages(docs, local_cuts=True, both_sides=True).where("n_removed = 0 or n_removed < n_sentences")
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
 

@@ -222,4 +222,4 @@ def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from daymark.llm.spans import remove_repeated_passages
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return remove_repeated_passages(docs, local_cuts=True).select("doc_id", "text", "n_sentences", "n_removed", "removed")
+    return remove_repeated_passages(docs, local_cuts=True, both_sides=True).select("doc_id", "text", "n_sentences", "n_removed", "removed")

@@ -8,14 +8,18 @@ With ``local_cuts`` quotes and brackets may follow a stop, other scripts' stops
 count too, and instead of after 16 words a long sentence is cut where the hash
 of two words is the least of those within ``WINDOW`` words on both sides: equal
 passages are cut alike, whatever stands before them, but for their first and
-last words up to a cut.
+last words up to a cut.  With ``both_sides`` the shortest such run that ends on
+each sentence is a span too.  The spans within a passage of two or more
+sentences and ``min_words`` words then cover all of it: its last sentences, too
+short to start a run, lie in the one that ends on the last of them.
 Spans are hashed and joined over all documents; all occurrences but the first
 (by document id, then place) are marked, and sentences that a marked span
 covers are removed.
 
-Counting and marking move hashes and places only; a hash that a third of all
-documents share is counted with partial sums, and the join back is one that
-Spark can split.  Texts move once, to meet their marks.
+Counting moves hashes only; a hash that a third of all documents share is
+counted with partial sums, and the join back to the places is one that Spark
+can split.  Spans are made again for it rather than written; the places of
+those that repeat are.  Texts move once, to meet their marks.
 """
 
 from __future__ import annotations
@@ -111,13 +115,22 @@ def sentences(raw: np.ndarray, off: np.ndarray, *, local_cuts: bool = False) ->
     return np.append(heads, n), np.searchsorted(heads, at), start, words
 
 
-def spans(heads: np.ndarray, at: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def spans(
+    heads: np.ndarray, at: np.ndarray, words: np.ndarray, min_words: int, *, both_sides: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Text number, first sentence in the text, number of sentences and hash of every span."""
     n = len(heads) - 1
     text = np.repeat(np.arange(len(at) - 1), np.diff(at))
     stop = np.maximum(np.searchsorted(heads, heads[:n] + min_words), np.arange(n) + 2)
     good = stop <= at[text + 1] if n else np.zeros(0, bool)
-    first, stop, text = np.flatnonzero(good), stop[good], text[good]
+    first, stop = np.flatnonzero(good), stop[good]
+    if both_sides and n:
+        last = np.arange(1, n + 1)
+        begin = np.minimum(np.searchsorted(heads, heads[1:] - min_words, "right") - 1, last - 2)
+        good = begin >= at[text]
+        both = np.unique(np.concatenate([first * (n + 1) + stop, begin[good] * (n + 1) + last[good]]))
+        first, stop = both // (n + 1), both % (n + 1)
+    text = text[first]
     a, b = heads[first], heads[stop]
     sums = np.zeros(len(words) + 1, dtype=np.uint64)
     np.cumsum(words * _powers(_BASE, len(words)), out=sums[1:])
@@ -125,26 +138,36 @@ def spans(heads: np.ndarray, at: np.ndarray, words: np.ndarray, min_words: int)
     return text, first - at[text], stop - first, hashed.view(np.int64)
 
 
-def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False) -> DataFrame:
+def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False, both_sides: bool = False) -> DataFrame:
     """(doc_id, th, marks): for each document that has any, the spans that occurred
     before, as packed pairs of first sentence and number of sentences."""
     spark = docs.sparkSession
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def made(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        heads, at, _, words = sentences(*utf8(texts), local_cuts=local_cuts)
+        return spans(heads, at, words, min_words, both_sides=both_sides)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi in pieces(batch.column(0)):
+                hashed, n = np.unique(made(batch.column(0).slice(lo, hi - lo))[3], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashed), pa.array(n.astype(np.int64))], ["span", "n"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in pieces(batch.column(2)):
                 block = batch.slice(lo, hi - lo)
-                heads, at, _, words = sentences(*utf8(block.column(2)), local_cuts=local_cuts)
-                text, first, size, hashed = spans(heads, at, words, min_words)
+                text, first, size, hashed = made(block.column(2))
                 rows = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hashed), block.column(0).take(rows), block.column(1).take(rows), pa.array((first.astype(np.int64) << 24) + size)], ["span", "doc_id", "th", "place"]
                 )
 
     path = shared_dir(spark, "spans")
-    made = docs.mapInArrow(run, T.StructType([T.StructField("span", T.LongType()), docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("place", T.LongType())]))
-    made.write.parquet(path)
-    found = spark.read.schema(made.schema).parquet(path)
+    several = docs.select("text").mapInArrow(count, "span long, n long").groupBy("span").agg(F.sum("n").alias("n")).where("n > 1").select("span")
+    places = docs.mapInArrow(place, T.StructType([T.StructField("span", T.LongType()), docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("place", T.LongType())]))
+    places.join(several, "span").write.parquet(path)
+    found = spark.read.schema(places.schema).parquet(path)
     origin = F.struct("doc_id", "th", "place")
     firsts = found.groupBy("span").agg(F.min(origin).alias("first"), F.max(origin).alias("last")).where("first <> last").select("span", "first")
     later = found.join(firsts, "span").where(origin != F.col("first"))
@@ -152,7 +175,7 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = F
 
 
 def remove_repeated_passages(
-    docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, min_words: int = 20, local_cuts: bool = False, both_sides: bool = False, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """All columns of ``docs`` with the text less its repeated sentences, plus
     n_sentences, n_removed and removed (arrays of first sentence and number).
@@ -167,7 +190,8 @@ def remove_repeated_passages(
     new = ["n_sentences", "n_removed", "removed"]
     kept = docs.drop(*new)
     keyed = kept.withColumn("__th", F.xxhash64(text_col))
-    marks = repeated_spans(keyed.select(F.col(id_col).alias("doc_id"), F.col("__th").alias("th"), F.coalesce(text_col, F.lit("")).alias("text")), min_words=min_words, local_cuts=local_cuts)
+    texts = keyed.select(F.col(id_col).alias("doc_id"), F.col("__th").alias("th"), F.coalesce(text_col, F.lit("")).alias("text"))
+    marks = repeated_spans(texts, min_words=min_words, local_cuts=local_cuts, both_sides=both_sides)
     k, m = keyed.alias("k"), marks.alias("m")
     met = k.join(m, F.col(f"k.{id_col}").eqNullSafe(F.col("m.doc_id")) & (F.col("k.__th") == F.col("m.th")), "left")
     met = met.select(*[F.col(f"k.`{c}`") for c in kept.columns], F.col("m.marks").alias("__marks"))

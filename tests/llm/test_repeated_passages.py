@@ -67,3 +67,30 @@ def test_words_that_repeat_are_cut_by_whole_periods():
         heads, _, _, words = S.sentences(*utf8(pa.array([text])), local_cuts=True)
         sizes = np.diff(heads)[2:-2]
         assert len(set(sizes.tolist())) == 1 and sizes[0] % period == 0 and S.WINDOW < sizes[0] <= S.WINDOW + period
+
+
+def test_every_sentence_of_a_repeated_passage_goes(spark):
+    """The last sentences of a passage start no run of 20 words; against the hashing of all runs."""
+    rng = random.Random(5)
+    sentence = lambda n: " ".join(_word(rng) for _ in range(n)) + ". "
+    passages = [[sentence(n) for n in sizes] for sizes in ([3, 5, 4, 7, 8], [4, 6, 5, 2, 3, 1], [1] * 25, [8, 8, 8, 1, 1, 2])]
+    own = [[sentence(rng.randint(1, 8)) for _ in range(4)] for _ in range(12)]
+    cut = {i: [*own[i][:2], *passages[i % 4], *own[i][2:]] for i in range(12)} | {20 + i: p for i, p in enumerate(passages)}
+    got = _op4(spark, {i: "".join(s) for i, s in cut.items()}, "test-both-sides")
+    seen, want = set(), {}
+    for i in sorted(cut):
+        runs = [(a, b) for a in range(len(cut[i])) for b in range(a + 2, len(cut[i]) + 1) if len(lowered("".join(cut[i][a:b]))) >= 20]
+        gone = {k for a, b in runs if "".join(cut[i][a:b]) in seen for k in range(a, b)}
+        want[i] = ("".join(s for k, s in enumerate(cut[i]) if k not in gone), len(cut[i]), len(gone))
+        seen |= {"".join(cut[i][a:b]) for a, b in runs}
+    assert {i: (r.text, r.n_sentences, r.n_removed) for i, r in got.items()} == want
+    assert all(got[20 + i].text == "" for i in range(4))
+
+
+def test_a_repeated_document_goes_whole(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(6)
+    text = "".join(" ".join(_word(rng) for _ in range(n)) + ". " for n in (8, 8, 5, 4))
+    docs = spark.createDataFrame([(1, text, "en", "a", len(text)), (2, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [(r.doc_id, r.text) for r in P.drop_repeated_passages(spark, docs, "").collect()] == [(1, text)]
