@@ -74,11 +74,30 @@ def _matrix(blobs) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
 
 
+def _best_ids(cosine: np.ndarray, order: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the best rows of each query's k best distinct ids, best first.
+
+    ``order`` sorts the columns by id, the rows of an id begin at ``starts``.
+    """
+    by_id = cosine[:, order]
+    top = np.argsort(-np.maximum.reduceat(by_id, starts, axis=1), axis=1)[:, :k]
+    ends = np.append(starts[1:], len(order))
+    place = starts[top]
+    for r, i in zip(*np.nonzero(ends[top] - place > 1)):
+        place[r, i] += by_id[r, place[r, i] : ends[top[r, i]]].argmax()
+    return order[place]
+
+
+def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(ids, kind="stable")
+    return order, np.unique(ids[order], return_index=True)[1]
+
+
 def fit_lists(vectors: DataFrame, n_rows: int, k: int, *, recall: float = 0.97, seed: int = 11) -> ListIndex | None:
     """Fit on the ``SAMPLE_ROWS`` rows with the smallest id hashes.
 
     Vectors of the sample's commonest length count.  ``probes`` is the smallest
-    number of lists that holds ``recall`` of the k nearest rows, as measured
+    number of lists that holds ``recall`` of the k nearest ids, as measured
     for 200 of the sample's rows against the whole sample by brute force.
     """
     drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE_ROWS).collect()
@@ -101,16 +120,16 @@ def fit_lists(vectors: DataFrame, n_rows: int, k: int, *, recall: float = 0.97,
     near = (x @ centroids.T).argmax(axis=1)
     some = rng.permutation(len(x))[:200]
     cosine = x[some] @ x.T
-    cosine[np.arange(len(some)), some] = -np.inf
-    best = np.argsort(-cosine, axis=1)[:, : min(k, len(x) - 1)]
+    cosine[ids[some][:, None] == ids] = -np.inf
+    best = _best_ids(cosine, *_by_id(ids), k)
     rank = np.argsort(np.argsort(-(x[some] @ centroids.T), axis=1), axis=1)
-    needed = np.sort(np.take_along_axis(rank, near[best], axis=1).ravel())
+    needed = np.sort(np.take_along_axis(rank, near[best], axis=1)[np.isfinite(np.take_along_axis(cosine, best, axis=1))])
     probes = 1 + int(needed[int(np.ceil(recall * (len(needed) - 1)))]) if len(needed) else n_lists
     return ListIndex(centroids, rotation, probes, ids, sample)
 
 
 def _scan(index: ListIndex, ids: np.ndarray, rows: np.ndarray, q_ids: np.ndarray, queries: np.ndarray, limit: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best rows of a block for each query that lie within its threshold."""
+    """The k best ids of a block for each query that lie within its threshold."""
     dim = rows.shape[1]
     c, q = _unit(rows) @ index.rotation, _unit(queries) @ index.rotation
     norm_c, norm_q = np.sqrt((rows * rows).sum(axis=1)), np.sqrt((queries * queries).sum(axis=1))
@@ -133,6 +152,12 @@ def _scan(index: ListIndex, ids: np.ndarray, rows: np.ndarray, q_ids: np.ndarray
             i, j, left = i[stay], j[stay], left[stay]
         i = i + lo
         score = (queries[i] * rows[j]).sum(axis=1) / (norm_q[i] * norm_c[j])
+        # Rows that share an id are one candidate, by the best of them.
+        order = np.lexsort((-score, ids[j], i))
+        i, j, score = i[order], j[order], score[order]
+        fresh = np.ones(len(i), dtype=bool)
+        fresh[1:] = (i[1:] != i[:-1]) | (ids[j[1:]] != ids[j[:-1]])
+        i, j, score = i[fresh], j[fresh], score[fresh]
         order = np.lexsort((ids[j], -score, i))
         i, j, score = i[order], j[order], score[order]
         place = np.arange(len(i)) - np.searchsorted(i, i)
@@ -173,6 +198,7 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         unit_sample, norms = _unit(own.sample), np.sqrt((own.sample * own.sample).sum(axis=1))
+        order, starts = _by_id(own.sample_ids)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 block = batch.slice(lo, 256)
@@ -181,10 +207,10 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec
                 cosine = x @ unit_sample.T
                 cosine[ids[:, None] == own.sample_ids] = -np.inf
                 limit = np.full(len(x), np.inf)
-                near = np.argsort(-cosine, axis=1)[:, :k]
+                near = _best_ids(cosine, order, starts, k)
                 score = (vecs[:, None, :] * own.sample[near]).sum(axis=2) / (np.sqrt((vecs * vecs).sum(axis=1))[:, None] * norms[near])
                 real = np.isfinite(np.take_along_axis(cosine, near, axis=1))
-                # k rows are known to lie within the distance of the sample's k-th best.
+                # k ids are known to lie within the distance of the sample's k-th best.
                 if near.shape[1] == k:
                     limit = np.where(real.all(axis=1), 2 - 2 * score.min(axis=1), np.inf)
                 known = [pa.array([v[r] for v, r in zip(x_, real)], pa.list_(t)) for x_, t in ((own.sample_ids[near], pa.int64()), (score, pa.float64()))]
