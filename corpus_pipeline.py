@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark.llm import ship_package
@@ -31,9 +31,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of near copies."""
-    away = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(away, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each component of near copies: the one with the smallest id (a null id
+    is the last), then the smallest text hash, then the other columns.  Rows that share an
+    id are told apart by their texts, equal rows are copies.  Texts without words have no
+    near copies, and all stay."""
+    root = shared_dir(spark, "near-copies")
+    jaccard_components(docs, row_keys=True).where("n_shingles > 0").write.parquet(f"{root}/linked")
+    linked = spark.read.parquet(f"{root}/linked")
+    least = linked.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("least"))
+    keys = linked.groupBy("doc_id", "text_hash", "component").agg(F.count("*").alias("n")).join(least, "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    # Rows of these keys go; of those that stay, one of several equal rows is put back.
+    keys.withColumn("stays", stays).where("not stays or n > 1").select("doc_id", "text_hash", "stays").write.parquet(f"{root}/marked")
+    marked = spark.read.parquet(f"{root}/marked")
+    d, m = docs.select(*COLUMNS, F.xxhash64("text").alias("__text_hash")).alias("d"), marked.alias("m")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.__text_hash") == F.col("m.text_hash"))
+    kept = d.join(m, same, "left_anti").select(*COLUMNS)
+    if not marked.where("stays").take(1):
+        return kept
+    equal = d.join(m.where("stays"), same).select(*[F.col(f"d.{c}") for c in COLUMNS], "text_hash")
+    others = F.struct(*[c for c in COLUMNS if c != "doc_id"])
+    one = equal.groupBy("doc_id", "text_hash").agg(F.min(others).alias("row"))
+    return kept.union(one.select(*[c if c == "doc_id" else F.col(f"row.{c}") for c in COLUMNS]))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +63,24 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    taken = mix_sources(docs).documents.where("copies > 0").select("doc_id", F.col("source").alias("__source"), "copies").distinct()
-    same = docs["doc_id"].eqNullSafe(taken["doc_id"]) & docs["source"].eqNullSafe(taken["__source"])
-    met = docs.join(taken, same).select(*[docs[c] for c in COLUMNS], "copies")
+    """Each row as often as the mix takes it: not at all, once or twice.  Of rows equal in
+    id, source and text, those first by the other columns are taken more often."""
+    path = shared_dir(spark, "mix-taken")
+    key = ["doc_id", "source", "text_hash"]
+    times = lambda n: F.count_if(F.col("copies") >= n)
+    mix_sources(docs).documents.groupBy(*key).agg(F.count("*").alias("n"), times(1).alias("once"), times(2).alias("twice")).where("once > 0").write.parquet(path)
+    taken = spark.read.parquet(path)
+    d, t = docs.select(*COLUMNS, F.xxhash64("text").alias("__text_hash")).alias("d"), taken.alias("t")
+    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d.__text_hash") == F.col("t.text_hash"))
+    own = [F.col(f"d.{c}") for c in COLUMNS]
+    alike = (F.col("once") == F.col("n")) & F.col("twice").isin(F.lit(0), F.col("n"))
+    met = d.join(t.where(alike), same).select(*own, F.when(F.col("twice") > 0, 2).otherwise(1).alias("copies"))
+    # Only where the mix ends within equal rows do some of them have fewer copies.
+    if taken.where(~alike).take(1):
+        place = F.row_number().over(Window.partitionBy("t.doc_id", "t.source", "t.text_hash").orderBy(*[f"d.{c}" for c in COLUMNS if c != "text"]))
+        parted = d.join(t.where(~alike), same).select(*own, "once", "twice", place.alias("place"))
+        copies = (F.col("place") <= F.col("once")).cast("int") + (F.col("place") <= F.col("twice")).cast("int")
+        met = met.union(parted.withColumn("copies", copies).where("copies > 0").select(*COLUMNS, "copies"))
     return met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
 
 

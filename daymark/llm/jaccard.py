@@ -133,9 +133,11 @@ def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordB
 
 
 def _profile(docs: DataFrame, path: str) -> None:
-    """Write (kind 0) each row's id, set size and class, (1) counts of tokens that
+    """Write (kind 0) each row's id, set size, class and text hash, (1) counts of tokens that
     many classes of a block share, (2) the number of classes of each block."""
 
+    names = ["kind", "doc_id", "n", "class", "text_hash"]
+
     def block_rows(block: _Block) -> pa.RecordBatch:
         tokens, _ = block.sorted()
         ends = np.flatnonzero(np.append(tokens[1:] != tokens[:-1], True)) if len(tokens) else np.zeros(0, int)
@@ -144,20 +146,20 @@ def _profile(docs: DataFrame, path: str) -> None:
         kinds = np.append(np.ones(many.sum(), np.int32), np.int32(2))
         size = np.append(counts[many], len(block.ids))
         own = np.append(tokens[ends[many]].view(np.int64), 0)
-        return pa.RecordBatch.from_arrays([pa.array(kinds), pa.nulls(len(kinds), pa.int64()), pa.array(size.astype(np.int64)), pa.array(own)], ["kind", "doc_id", "n", "class"])
+        return pa.RecordBatch.from_arrays([pa.array(kinds), pa.nulls(len(kinds), pa.int64()), pa.array(size.astype(np.int64)), pa.array(own), pa.nulls(len(kinds), pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
         for rows, tokens, at, ids in _read_blocks(batches):
             block.add(tokens, at, ids)
             n = len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), rows.column(0).cast(pa.int64()), pa.array(np.diff(at).astype(np.int64)), pa.array(ids)], ["kind", "doc_id", "n", "class"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), rows.column(0).cast(pa.int64()), pa.array(np.diff(at).astype(np.int64)), pa.array(ids), rows.column(2)], names)
             if block.full():
                 yield block_rows(block)
                 block = _Block()
         yield block_rows(block)
 
-    docs.mapInArrow(run, "kind int, doc_id long, n long, class long").write.parquet(path)
+    docs.mapInArrow(run, "kind int, doc_id long, n long, class long, text_hash long").write.parquet(path)
 
 
 def _repeated_tokens(docs: DataFrame, heavy: np.ndarray, n_parts: int) -> DataFrame:
@@ -283,7 +285,7 @@ def _verified(pairs: DataFrame, active: DataFrame, percent: int, orders: int) ->
 
 
 def jaccard_components(
-    docs: DataFrame, *, percent: int = 80, orders: int = 3, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, *, percent: int = 80, orders: int = 3, id_col: str = "doc_id", text_col: str = "text", row_keys: bool = False
 ) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``.
 
@@ -293,13 +295,16 @@ def jaccard_components(
     shingles and link with nothing; repeated rows are linked copies; other
     columns are not looked at; an empty table gives an empty result.  Classes
     are told apart by 64-bit hashes of their sets, tokens by 56 bits.
+    With ``row_keys`` also text_hash, which with the id tells rows of different
+    texts apart, and component, which tells components apart that share their
+    smallest id or have none (null for a row without shingles).
     """
     spark = docs.sparkSession
     root = shared_dir(spark, "jaccard")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    _profile(texts, f"{root}/profile")
+    _profile(texts.withColumn("text_hash", F.xxhash64("text")), f"{root}/profile")
     profile = spark.read.parquet(f"{root}/profile")
-    rows = profile.where("kind = 0").select("doc_id", "n", "class")
+    rows = profile.where("kind = 0").select("doc_id", "n", "class", *(["text_hash"] if row_keys else []))
 
     size = profile.agg(
         F.coalesce(F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.lit(0)).alias("tokens"),
@@ -364,13 +369,16 @@ def jaccard_components(
 
     least = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
     if labels is None:
-        of_class = least.withColumnRenamed("least", "component_id")
+        of_class = least.select("class", F.col("class").alias("root"), F.col("least").alias("component_id"))
     else:
         of_root = least.join(labels, F.col("class") == F.col("node"), "left").select("class", F.coalesce("root", "class").alias("root"), "least")
         ids = of_root.groupBy("root").agg(F.min("least").alias("component_id"))
-        of_class = of_root.join(ids, "root").select("class", "component_id")
+        of_class = of_root.join(ids, "root").select("class", "root", "component_id")
     return rows.join(of_class, "class", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *(["text_hash", F.col("root").alias("component")] if row_keys else []),
     )
 
 

@@ -77,7 +77,7 @@ def mix_sources(
     rows that share id and text are interchangeable.  Null and empty texts have
     size 0 and are in the mix when their finish time is.  An empty table gives
     empty results.  ``documents`` has the columns id, source, size, source_size,
-    target, copies, taken and row_uid; other input columns are not looked at.
+    target, copies, taken, text_hash (xxhash64) and row_uid; other input columns are not looked at.
     """
     spark = docs.sparkSession
     base = docs.select(
@@ -117,7 +117,7 @@ def mix_sources(
         at = lambda e: F.struct(finish(e).alias("finish"), "place", F.lit(e).alias("epoch"), "sent", "row_uid")
         n = sum((F.when((F.col("target") > 0) & (at(e) <= cut), 1).otherwise(0) for e in range(1, max_epochs + 1)), F.lit(0))
     documents = known.withColumn("copies", n).withColumn("taken", F.col("copies") * F.col("size"))
-    return Mix(documents.drop("shuffle_key", "sent", "place", "text_hash"), stream)
+    return Mix(documents.drop("shuffle_key", "sent", "place"), stream)
 
 
 __all__ = ["Mix", "mix_sources", "word_count"]
