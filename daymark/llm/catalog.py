@@ -223,3 +223,71 @@ def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_passages(docs, local_cuts=True, both_sides=True).select("doc_id", "text", "n_sentences", "n_removed", "removed")
+
+
+@_query("op13_merkle_manifest")
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.manifest import ascii_lower, digest, document_leaf, fold, proofs, siblings, write_manifest
+
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    changed = F.when(tampered, document_leaf(ascii_lower(F.col("text"))))
+    manifest = write_manifest(docs, shared_dir(spark, "op13"), leaf=document_leaf(F.col("text")), keep={"changed": changed})
+    folded = fold(F.coalesce("changed", "leaf"), F.col("path"))
+    proved = proofs(spark, manifest).select(
+        F.col("ident").alias("doc_id"),
+        "leaf",
+        "subroot",
+        F.lit(manifest.root).alias("root"),
+        digest(siblings(F.col("path"))).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    )
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || " + _FIELD + ")"
+_LOWER_AZ = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TREE = """
+  SELECT {key}, 0 AS level, list(node ORDER BY place) AS nodes FROM {src} GROUP BY {key}
+  UNION ALL
+  SELECT {key}, level + 1, list_transform(range(0, len(nodes), 16), lambda i: sha256(array_to_string(nodes[i + 1:i + 16], '')))
+  FROM {name} WHERE len(nodes) > 1"""
+# DuckDB has no CRC-32, so the table of its 256 steps is built by a recursion over eight shifts.
+ORACLE_SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE z AS (
+  SELECT i, i AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT i, CASE WHEN v & 1 = 1 THEN xor(3988292384, v >> 1) ELSE v >> 1 END, k + 1 FROM z WHERE k < 8),
+zt AS (SELECT list(v ORDER BY i) AS t FROM z WHERE k = 8),
+d AS (
+  SELECT doc_id, source, {_LEAF.format("text")} AS node, {_LEAF.format(_LOWER_AZ)} AS lowered,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+             lambda a, c: xor(a >> 8, t[xor(a & 255, c) + 1])), 4294967295) % 5 = 0 AS tampered
+  FROM documents, zt),
+e AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, node) - 1 AS place FROM d),
+l AS ({_TREE.format(key="source", src="e", name="l")}),
+s AS (
+  SELECT source, nodes[1] AS node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, 0 AS g
+  FROM l WHERE len(nodes) = 1),
+u AS ({_TREE.format(key="g", src="s", name="u")}),
+r AS (SELECT nodes[1] AS root FROM u WHERE len(nodes) = 1),
+n AS (
+  SELECT source, place, level, nodes[(place // 16) * 16 + 1:(place // 16) * 16 + 16] AS run, place % 16 AS own, seq FROM (
+    SELECT e.source, e.place AS seq, CAST(floor(e.place / power(16, level)) AS BIGINT) AS place, level, nodes
+    FROM e JOIN l ON e.source IS NOT DISTINCT FROM l.source WHERE len(nodes) > 1
+    UNION ALL
+    SELECT e.source, e.place, CAST(floor(s.place / power(16, u.level)) AS BIGINT), 1000 + u.level, u.nodes
+    FROM e JOIN s ON e.source IS NOT DISTINCT FROM s.source JOIN u ON true WHERE len(u.nodes) > 1)),
+p AS (
+  SELECT source, seq, list({{'a': array_to_string(run[1:own], ''), 'b': array_to_string(run[own + 2:16], '')}} ORDER BY level) AS path
+  FROM n GROUP BY source, seq),
+f AS (
+  SELECT e.doc_id, e.node AS leaf, s.node AS subroot, r.root, coalesce(p.path, []) AS path, CASE WHEN tampered THEN lowered ELSE e.node END AS start
+  FROM e JOIN s ON e.source IS NOT DISTINCT FROM s.source CROSS JOIN r
+  LEFT JOIN p ON e.source IS NOT DISTINCT FROM p.source AND e.place = p.seq),
+x AS (
+  SELECT *, list_reduce(list_prepend({{'a': '', 'b': start}}, path), lambda x, y: {{'a': '', 'b': sha256(y.a || x.b || y.b)}}).b AS folded_root FROM f)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda q: q.a || q.b), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM x
+"""
