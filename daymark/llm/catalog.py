@@ -291,3 +291,22 @@ SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path,
        folded_root, folded_root = root AS verified
 FROM x
 """
+
+
+@_query("op11_whitening")
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.whitening import fit_whitening, identity_error, whiten
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    model = fit_whitening(vectors)
+    error = identity_error(vectors, model)
+    shares = F.array(*[F.lit(float(v)) for v in model.explained]).cast("array<double>")
+    return whiten(vectors, model).select(
+        "vec_id",
+        "component",
+        F.lit(model.n).cast("long").alias("n"),
+        F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        "whitened",
+        F.element_at(shares, F.col("component")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
