@@ -310,3 +310,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.element_at(shares, F.col("component")).alias("explained"),
         F.lit(error).alias("identity_error"),
     )
+
+
+@_query("op12_language")
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from daymark.llm.labelled import in_fold
+    from daymark.llm.language import fit_language, label_documents, language_sample
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    model = fit_language(language_sample(docs.select("doc_id", "text", "lang"), ~held_out))
+    labelled = label_documents(docs.select("doc_id", "text"), model, runs_col="runs")
+    return labelled.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "runs")
