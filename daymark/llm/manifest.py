@@ -187,23 +187,19 @@ def write_manifest(
     return Manifest(path, root, tuple(stored), tuple(stored_top), fan_out, stride, tuple(kept))
 
 
-def _paths(nodes: DataFrame, above: DataFrame | None, level: int, m: Manifest, *extra: str) -> DataFrame:
-    """For each stored node of a level its path to the end of its tree: an array
-    of (left, right), the joined digests of its run's others before and after
-    it, level by level.
+def _paths(nodes: DataFrame, above: DataFrame, level: int, m: Manifest, *extra: str) -> DataFrame:
+    """For each stored node of a level its path: an array of (left, right), the joined
+    digests of its run's others before and after it, level by level.
 
-    The levels up to the next stored one are hashed from the aligned subtree;
-    the path from there on comes with ``above`` (tree, place, path), one row per subtree.
+    The levels up to the next stored one are hashed from the aligned subtree; the path from
+    there on comes with ``above`` (tree, place, path, subroot), one row per subtree.
     """
+    upper = above.select(F.col("tree").alias("__tree"), F.col("place").alias("__place"), F.col("path").alias("upper"), "subroot")
     trees = _subtrees(nodes, m.stride, m.fan_out, *extra)
-    if above is not None:
-        upper = above.select(F.col("tree").alias("__tree"), F.col("place").alias("__place"), F.col("path").alias("upper"))
-        trees = trees.join(upper, (F.col("tree") == F.col("__tree")) & (F.col("block") == F.col("__place")), "left").drop("__tree", "__place")
-    else:
-        trees = trees.withColumn("upper", F.lit(None).cast("array<struct<left:string,right:string>>"))
+    trees = trees.join(upper, (F.col("tree") == F.col("__tree")) & (F.col("block") == F.col("__place")))
     built = _levels(F.col("nodes.digest"), m.stride, m.fan_out)
     trees = trees.withColumns({f"l{j}": built[j] for j in range(m.stride)})
-    rows = trees.select("tree", "block", "n", "upper", *[f"l{j}" for j in range(m.stride)], F.posexplode("nodes").alias("i", "node"))
+    rows = trees.select("tree", "n", "upper", "subroot", *[f"l{j}" for j in range(m.stride)], F.posexplode("nodes").alias("i", "node"))
     steps = []
     for j in range(m.stride):
         at = F.floor(F.col("i") / F.lit(m.fan_out**j)).cast("int")
@@ -211,18 +207,23 @@ def _paths(nodes: DataFrame, above: DataFrame | None, level: int, m: Manifest, *
         own = at % m.fan_out
         others = F.struct(_joined(F.slice(run, F.lit(1), own)).alias("left"), _joined(F.slice(run, own + 2, m.fan_out)).alias("right"))
         steps.append(F.when(_width(F.col("n"), level + j, m.fan_out) > 1, others))
-    path = F.concat(F.filter(F.array(*steps), lambda s: s.isNotNull()), F.coalesce("upper", F.array().cast("array<struct<left:string,right:string>>")))
-    return rows.select("tree", F.col("node.place").alias("place"), F.col("node.digest").alias("digest"), path.alias("path"), *[F.col(f"node.{c}").alias(c) for c in extra])
+    path = F.concat(F.filter(F.array(*steps), lambda s: s.isNotNull()), F.col("upper"))
+    return rows.select("tree", F.col("node.place").alias("place"), F.col("node.digest").alias("digest"), path.alias("path"), "subroot", *[F.col(f"node.{c}").alias(c) for c in extra])
 
 
-def _tree_paths(spark: SparkSession, m: Manifest, *, top: bool, leaves: DataFrame | None = None, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Paths of all level-0 nodes, found from the highest stored level downwards."""
-    levels = m.stored_top if top else m.stored
-    above = None
-    # The last stored level has only ends of trees, whose paths are empty, unless it is level 0.
+def _tree_paths(spark: SparkSession, m: Manifest, ends: DataFrame, extra: tuple[str, ...], *, top: bool = False) -> DataFrame:
+    """Paths of all level-0 nodes, found from the highest stored level downwards.
+
+    ``ends`` has the (tree, n, path, subroot) of each tree's last node; its path is taken up by the
+    one subtree that the tree ends in.
+    """
+    levels, above = m.stored_top if top else m.stored, None
     for level in [x for x in reversed(levels) if x < levels[-1] or x == 0]:
         nodes = m.level(spark, level, top=top)
-        above = _paths(nodes, above, level, m, *(extra if level == 0 else ()))
+        if level:
+            nodes = nodes.where(_width(F.col("n"), level, m.fan_out) > 1)
+        last = ends.where(_width(F.col("n"), level + m.stride, m.fan_out) == 1).select("tree", F.lit(0).cast("long").alias("place"), "path", "subroot")
+        above = _paths(nodes, last if above is None else above.select(*last.columns).union(last), level, m, *(extra if level == 0 else ()))
     return above
 
 
@@ -233,14 +234,13 @@ def proofs(spark: SparkSession, m: Manifest) -> DataFrame:
     joined digests of the run's others to the left and to the right, both empty for a run
     of one.  Paths are made in the task of their subtree and not stored.
     """
-    extra = ("source", "ident", *[f"keep_{k}" for k in m.kept])
-    own = _tree_paths(spark, m, top=False, extra=extra)
-    top = _tree_paths(spark, m, top=True, extra=("group",))
-    ends = m.subroots(spark).select("tree", "subroot").join(top.select(F.col("group").alias("tree"), F.col("path").alias("top_path")), "tree")
-    joined = own.join(ends, "tree")
-    return joined.select(
-        "source", "ident", F.col("digest").alias("leaf"), "subroot", F.concat("path", "top_path").alias("path"), *[F.col(f"keep_{k}").alias(k) for k in m.kept]
-    )
+    groups = m.subroots(spark).select("tree", "n", "subroot")
+    none = F.array().cast("array<struct<left:string,right:string>>")
+    whole = groups.agg(F.count("*").alias("n")).select(F.lit(TOP).alias("tree"), "n", none.alias("path"), F.lit(m.root).alias("subroot"))
+    top = _tree_paths(spark, m, whole, ("group",), top=True)
+    ends = groups.join(top.select(F.col("group").alias("tree"), "path"), "tree")
+    own = _tree_paths(spark, m, ends, ("source", "ident", *[f"keep_{k}" for k in m.kept]))
+    return own.select("source", "ident", F.col("digest").alias("leaf"), "subroot", "path", *[F.col(f"keep_{k}").alias(k) for k in m.kept])
 
 
 def siblings(path: Column) -> Column:
