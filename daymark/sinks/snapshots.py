@@ -142,6 +142,7 @@ class Transaction:
         self.folder = f"commit={self.version:012d}-{uuid.uuid4().hex[:8]}"
         self.tables = {t: dict(p) for t, p in base.tables.items()}
         self.columns = dict(base.columns)
+        self.writes = 0
 
     def write(
         self,
@@ -160,7 +161,9 @@ class Transaction:
         one without rows any more is gone.  With ``append`` they are added to what is there.
         Rows and digests are counted where the written files are read, one row per partition.
         """
-        spark, path = self.store.spark, join_uri(self.store.root, "data", table, self.folder)
+        spark, folder = self.store.spark, f"{self.folder}-{self.writes}"
+        self.writes += 1
+        path = join_uri(self.store.root, "data", table, folder)
         if values is not None:
             df = df.where(_is_one_of(df, column, values))
         layout_for_write(df, [column], layout, None, tie_cols).write.mode("errorifexists").partitionBy(column).parquet(path)
@@ -172,7 +175,7 @@ class Transaction:
         sums = [F.count(F.lit(1)).alias("rows"), F.sum(F.shiftright(hashed, 32)).alias("high"), F.sum(hashed.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low")]
         new = {}
         for r in written.groupBy(text.alias("value")).agg(*sums).collect():
-            new[r["value"]] = Partition((f"{self.folder}/{column}={r['value']}",), r["rows"], f"{r['rows']}:{r['high']}:{r['low']}")
+            new[r["value"]] = Partition((f"{folder}/{column}={r['value']}",), r["rows"], f"{r['rows']}:{r['high']}:{r['low']}")
         self.put(table, column, new, values, append)
         return new
 
