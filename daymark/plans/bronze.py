@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from daymark import schemas as S
 from daymark.functions.temporal import day_of, lookback_bounds, parse_run_date
-from daymark.sinks.files import write_partitioned
+from daymark.sinks.files import NULL_PARTITION, write_partitioned
 from daymark.sources.csv import read_csv, typed_orders
 from daymark.sources.files import join_uri, raw_pattern, with_provenance
 from daymark.sources.ndjson import read_ndjson, typed_events
@@ -184,6 +184,33 @@ def read_bronze(
     return df
 
 
+def read_versions(spark: SparkSession, bronze_root: str, kind: str, versions: DataFrame) -> DataFrame:
+    """Clean rows of the given (source_file, ingest_id, file_date, rows): only the folders
+    that hold them are listed, one per ingest and file date."""
+    schema = DATA_SCHEMAS[kind]
+    versions = versions.where("rows > 0")
+    folders = versions.select("ingest_id", F.coalesce(F.col("file_date").cast("string"), F.lit(NULL_PARTITION)).alias("date")).distinct().collect()
+    if not folders:
+        return spark.createDataFrame([], schema)
+    base = join_uri(bronze_root, kind, "data")
+    paths = [join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={r['date']}") for r in folders]
+    df = spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths))
+    df = df.where(F.col(S.CORRUPT_COLUMN).isNull())
+    return df.join(versions.select("source_file", "ingest_id"), ["source_file", "ingest_id"], "left_semi").select(*schema.fieldNames())
+
+
+def replaced_days(spark: SparkSession, bronze_root: str, kind: str, ingest_id: str) -> list[dt.date]:
+    """Days of the rows that an ingest's files brought the last time before it: they
+    lose those rows.  Only the replaced files are read; one row per day comes back."""
+    files = spark.read.schema(FILES_SCHEMA).parquet(join_uri(bronze_root, kind, "files"))
+    own = files.where(F.col("ingest_id") == ingest_id).select(F.col("source_file").alias("__file"), F.col("ingested_at").alias("__at"))
+    earlier = files.join(own, F.col("source_file").eqNullSafe(F.col("__file")) & (F.col("ingested_at") < F.col("__at")))
+    last = earlier.groupBy("source_file").agg(F.max(F.struct("ingested_at", "ingest_id", "file_date", "rows")).alias("v"))
+    rows = read_versions(spark, bronze_root, kind, last.select("source_file", "v.ingest_id", "v.file_date", "v.rows"))
+    days = rows.select(day_of(DAY_COLUMNS[kind]).alias("day")).distinct().where("day IS NOT NULL").collect()
+    return sorted(r["day"] for r in days)
+
+
 def _window(run_date: str | dt.date | None, days_back: int) -> list[dt.date] | None:
     day = parse_run_date(run_date)
     if day is None:

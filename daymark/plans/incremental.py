@@ -44,7 +44,7 @@ from daymark.plans.daily import LAYOUTS, PARTITION_COLUMNS, TIE_COLUMNS
 from daymark.plans.job import STAGE_SCHEMA, JobPaths, StageRecord, read_users
 from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
 from daymark.sinks.files import write_flat
-from daymark.sinks.snapshots import Partition, Snapshot, SnapshotStore, Transaction, partition_text
+from daymark.sinks.snapshots import Partition, Snapshot, SnapshotStore, Transaction
 from daymark.sources.csv import typed_orders
 from daymark.sources.files import join_uri, with_provenance
 from daymark.sources.listing import LISTING, changed_files, list_files, read_csv_layouts
@@ -84,21 +84,6 @@ def _raw(spark: SparkSession, kind: str, root: str, paths: Sequence[str]) -> Dat
     return typed_events(with_provenance(read_ndjson(spark, list(paths), S.EVENTS_RAW), root))
 
 
-def _rows_of(spark: SparkSession, bronze: str, kind: str, versions: DataFrame) -> DataFrame:
-    """Clean bronze rows of the given (source_file, ingest_id, file_date): only the folders that
-    hold them are listed.  One folder per ingest and file date."""
-    schema = B.DATA_SCHEMAS[kind]
-    versions = versions.where("rows > 0")
-    folders = versions.select("ingest_id", "file_date").distinct().collect()
-    if not folders:
-        return spark.createDataFrame([], schema)
-    base = join_uri(bronze, kind, "data")
-    paths = [join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={partition_text(r['file_date'])}") for r in folders]
-    df = spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths))
-    df = df.where(F.col(CORRUPT_COLUMN).isNull())
-    return df.join(versions.select("source_file", "ingest_id"), ["source_file", "ingest_id"], "left_semi").select(*schema.fieldNames())
-
-
 def _days(delta: DataFrame, column: str) -> list[dt.date | None]:
     """The days of a delta: one row per day."""
     return [r[0] for r in delta.select(column).distinct().collect()]
@@ -178,8 +163,8 @@ def run_incremental(
         old = known.join(new.select("source_file"), "source_file", "left_semi")
         rest = known.join(new.select("source_file"), "source_file", "left_anti")
         t.write("listing", rest.unionByName(new.select(*LISTED.fieldNames())), "kind", values=[kind], layout="none")
-        fresh[kind] = _rows_of(spark, paths.bronze, kind, new)
-        stale[kind] = _rows_of(spark, paths.bronze, kind, old)
+        fresh[kind] = B.read_versions(spark, paths.bronze, kind, new)
+        stale[kind] = B.read_versions(spark, paths.bronze, kind, old)
         if ingest.corrupt:
             parse.append(B.read_bronze_quarantine(spark, paths.bronze, kind, [ingest.ingest_id]).select("table_name", "rule", "row_json"))
 

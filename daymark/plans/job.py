@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,8 +143,9 @@ def run_daily_job(
 
     A run date reads the raw files dated in its window (and up to
     ``late_days`` later) and restates the window's days and every other day
-    that a row in those files belongs to, from all files that hold rows of
-    those days: a late row counts on its own day, whichever file brought it.
+    that a row in those files, or in the version of them read before, belongs to, from all
+    files that hold rows of those days: a late row counts on its own day, whichever file
+    brought it, and a corrected file takes back what it brought.
     Lines that do not parse go to quarantine; more than ``max_parse_failures``
     of them in the files this run read stop it at the gate.  Amounts count in
     units of ``scale`` decimal places.
@@ -175,7 +176,9 @@ def run_daily_job(
             ingested.append(ingest(spark, source, paths.bronze, None, glob, allow_empty))
             record("ingest", kind, ingested[-1].rows, t0)
     if days is not None:
-        days = days.union(*[r.days for r in ingested])
+        # Also the days that the files' earlier versions had rows of, and may have no more.
+        replaced = [B.replaced_days(spark, paths.bronze, r.kind, r.ingest_id) for r in ingested]
+        days = days.union(*[r.days for r in ingested], *replaced)
 
     restated = sorted(days) if days is not None else None
     orders = B.read_bronze_orders(spark, paths.bronze, days=restated)
@@ -227,7 +230,6 @@ def run_daily_job(
         record("quality", "gate", sum(n for _, _, n in checked), t0)
 
     # 3. the six silver tables, dynamic overwrite of the run's days only.
-    started = time.time()
     users_small = fits_broadcast(users)   # measured once
     tables = build_metric_tables(orders, events, users, scale=scale, broadcast_users=users_small)
     outputs: dict[str, WriteResult] = {}
@@ -237,11 +239,11 @@ def run_daily_job(
         t0 = time.time()
         outputs[name] = write_partitioned(
             df, paths.output(name), [t.partition_col], fmt=silver_format,
-            layout=t.layout, tie_cols=t.tie_cols, dynamic=days is not None,
+            layout=t.layout, tie_cols=t.tie_cols, dynamic=days is not None, list_values=days is not None,
         )
         if restated is not None:
             # A restated day that has no rows any more must not keep its old ones.
-            drop_partitions(spark, paths.output(name), t.partition_col, restated, older_than=started)
+            drop_partitions(spark, paths.output(name), t.partition_col, restated, outputs[name].values or ())
         record("transform", name, outputs[name].rows, t0)
 
     if reuse_intermediates:
@@ -300,10 +302,12 @@ def run_daily_job(
             t0 = time.time()
             table = WAREHOUSE_TABLES[name]
             whole = read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
-            loaded = refresh_catalog_table(
-                spark, whole, f"`{paths.database}`.{table}" if paths.database else table, join_uri(paths.warehouse, table)
+            rows = Observation(f"load_{table}_{run_id}")
+            refresh_catalog_table(
+                spark, whole.observe(rows, F.count(F.lit(1)).alias("rows")),
+                f"`{paths.database}`.{table}" if paths.database else table, join_uri(paths.warehouse, table),
             )
-            record("load", table, loaded.count(), t0)
+            record("load", table, int(rows.get["rows"]), t0)
 
     # 6. publish the written tables.
     if do_publish and paths.publish:
@@ -317,7 +321,7 @@ def run_daily_job(
             written = {n: df.where(F.col(tables[n].partition_col).isin(restated)) for n, df in written.items()}
         parts = {n: t.partition_col for n, t in tables.items()}
         layouts = {n: (t.layout, t.tie_cols) for n, t in tables.items()}
-        for o in publish(written, paths.publish, parts, fmt=silver_format, layouts=layouts):
+        for o in publish(written, paths.publish, parts, fmt=silver_format, layouts=layouts, restated=restated):
             record("publish", o.table_name, o.rows_written, t0)
 
     result = JobResult(run_id, day, checked, outputs, stages)

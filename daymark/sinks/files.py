@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -18,23 +18,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: How Spark names the folder of a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class WriteResult:
     path: str
     rows: int | None
+    #: Folder names of the partition values written, where asked for.
+    values: frozenset[str] | None = None
 
 
-def _observed(df: DataFrame, count_rows: bool) -> tuple[DataFrame, Observation | None]:
+def _observed(df: DataFrame, count_rows: bool, values_of: str | None = None) -> tuple[DataFrame, Observation | None]:
     if not count_rows:
         return df, None
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if values_of is not None:
+        metrics.append(F.collect_set(F.coalesce(F.col(values_of).cast("string"), F.lit(NULL_PARTITION))).alias("values"))
+    return df.observe(obs, *metrics), obs
 
 
 def _rows(obs: Observation | None) -> int | None:
     return int(obs.get["rows"]) if obs is not None else None
 
 
+def _values(obs: Observation | None) -> frozenset[str] | None:
+    got = obs.get.get("values") if obs is not None else None
+    return frozenset(got) if got is not None else None
+
+
 def stringify_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cast partition columns to STRING (a DATE reads back as DATE anyway)."""
     return df.withColumns({c: F.col(c).cast("string") for c in cols})
@@ -112,9 +126,13 @@ def write_partitioned(
     count_rows: bool = True,
     layout: str = "balance",
     tie_cols: Sequence[str] = (),
+    list_values: bool = False,
 ) -> WriteResult:
     """``partitionBy(cols).mode(overwrite)`` write (K1 CSV / K2 Parquet).
 
+    With ``list_values`` the result names the values of the first partition column that were
+    written (observed on the write; as many as there are folders).
+
     ``layout``: ``balance`` (AQE sizes files, splits a skewed value),
     ``cluster`` (range of values per task; with ``tie_cols`` a large value is
     split), ``spread`` (``files_per_partition`` hashed buckets per value) or
@@ -122,7 +140,7 @@ def write_partitioned(
     """
     out = stringify_columns(df, partition_cols) if stringify else df
     out = layout_for_write(out, partition_cols, layout, files_per_partition, tie_cols)
-    out, obs = _observed(out, count_rows)
+    out, obs = _observed(out, count_rows or list_values, partition_cols[0] if list_values else None)
     writer = (
         out.write.mode("overwrite")
         .partitionBy(*partition_cols)
@@ -133,7 +151,7 @@ def write_partitioned(
     if compression:
         writer = writer.option("compression", compression)
     writer.format(fmt).save(path)
-    return WriteResult(path, _rows(obs))
+    return WriteResult(path, _rows(obs), _values(obs))
 
 
 def write_flat(
@@ -158,24 +176,19 @@ def write_flat(
     return WriteResult(path, _rows(obs))
 
 
-def drop_partitions(spark, path: str, column: str, values: Sequence[dt.date], older_than: float) -> list[str]:
-    """Delete the folders of those ``values`` that were last written before ``older_than``.
+def drop_partitions(spark, path: str, column: str, values: Sequence[dt.date], keep: Iterable[str]) -> list[str]:
+    """Delete the folders of those ``values`` whose folder names are not in ``keep``.
 
-    After a dynamic overwrite of a set of days these are the days for which the
-    new result has no rows.  Folders are looked up one by one: as many as there
+    After a dynamic overwrite of a set of days ``keep`` has the days that the write produced; the
+    others have no rows any more.  Folders are looked up one by one: as many as there
     are days in the run.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
     fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
-    for value in values:
-        folder = hadoop.Path(f"{path.rstrip('/')}/{column}={value.isoformat()}")
-        if not fs.exists(folder):
-            continue
-        newest = max((f.getModificationTime() for f in fs.listStatus(folder) if f.isFile()), default=0)
-        if newest < int(older_than * 1000):
-            fs.delete(folder, True)
-            dropped.append(value.isoformat())
+    for value in sorted({v.isoformat() for v in values} - set(keep)):
+        if fs.delete(hadoop.Path(f"{path.rstrip('/')}/{column}={value}"), True):
+            dropped.append(value)
     return dropped
 
 

@@ -24,12 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.sinks.files import layout_for_write
+from daymark.sinks.files import NULL_PARTITION, layout_for_write
 from daymark.sources.files import join_uri
 
-#: How Spark names the folder of a null partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
 
 class CommitConflict(RuntimeError):
     """Another writer committed since this one began."""

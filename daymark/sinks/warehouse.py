@@ -12,14 +12,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.sinks.files import write_flat, write_partitioned
+from daymark.sinks.files import drop_partitions, write_flat, write_partitioned
 
 
 class PublishError(RuntimeError):
@@ -87,10 +88,13 @@ def publish(
     fmt: str = "parquet",
     raise_on_error: bool = True,
     layouts: Mapping[str, str | tuple[str, tuple[str, ...]]] | None = None,
+    restated: Sequence[dt.date] | None = None,
 ) -> list[PublishOutcome]:
     """Write each table under ``target_root/<name>``; per-table outcome.
 
-    ``layouts`` maps a table to a write layout, or (layout, tie columns).
+    ``layouts`` maps a table to a write layout, or (layout, tie columns).  The tables
+    replace the published ones, days that are gone included; with ``restated`` they hold
+    those days only, and a restated day without rows is deleted from the target.
     """
     outcomes = []
     for name, df in tables.items():
@@ -101,8 +105,11 @@ def publish(
                 spec = (layouts or {}).get(name, "balance")
                 layout, ties = (spec, ()) if isinstance(spec, str) else spec
                 res = write_partitioned(
-                    df, target, [part], fmt=fmt, layout=layout, tie_cols=ties
+                    df, target, [part], fmt=fmt, layout=layout, tie_cols=ties,
+                    dynamic=restated is not None, list_values=restated is not None,
                 )
+                if restated is not None:
+                    drop_partitions(df.sparkSession, target, part, restated, res.values or ())
             else:
                 res = write_flat(df, target, fmt=fmt)
             outcomes.append(PublishOutcome(name, target, res.rows, True))

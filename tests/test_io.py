@@ -375,3 +375,49 @@ def test_scale_of_amounts(spark, tmp_path):
     paths = _two_days(tmp_path, rows, "")
     run_daily_job(spark, paths, run_date="2024-01-01", scale=3)
     assert _revenue(spark, tmp_path) == {"2024-01-01": 4.0}
+
+
+def _orders_file(raw, day, lines):
+    with open(os.path.join(raw, f"orders_{day}.csv"), "w") as f:
+        f.write("order_id,user_id,amount,order_ts\n" + "".join(f"{i},{u},{a},{t}\n" for i, u, a, t in lines))
+
+
+def test_a_corrected_file_takes_back_what_it_brought(spark, tmp_path):
+    """Run date 01-05 twice; the second version of its file dates b a day later and lacks x,
+    the only row of 01-02: silver and the published copy follow."""
+    raw = str(tmp_path / "raw")
+    os.makedirs(raw)
+    with open(tmp_path / "users.csv", "w") as f:
+        f.write("user_id,channel\n1,web\n2,app\n")
+    with open(os.path.join(raw, "events_2024-01-05.ndjson"), "w") as f:
+        f.write('{"event_id":1,"user_id":1,"event_type":"v","ts":"2024-01-05 10:00:00"}\n')
+    paths = JobPaths(raw=raw, bronze=str(tmp_path / "b"), silver=str(tmp_path / "s"), users=str(tmp_path / "users.csv"), publish=str(tmp_path / "p"))
+    _orders_file(raw, "2024-01-05", [("a", 1, 1, "2024-01-05 01:00:00"), ("b", 2, 2, "2024-01-04 01:00:00"), ("x", 2, 9, "2024-01-02 01:00:00")])
+    run_daily_job(spark, paths, run_date="2024-01-05", do_publish=True)
+    _orders_file(raw, "2024-01-05", [("a", 1, 1, "2024-01-05 01:00:00"), ("b", 2, 2, "2024-01-05 02:00:00")])
+    run_daily_job(spark, paths, run_date="2024-01-05", do_publish=True)
+    for root in (paths.silver, paths.publish):
+        rows = SK.read_back(spark, f"{root}/daily_revenue", S.DAILY_REVENUE).collect()
+        assert sorted((str(r.order_date), r.user_id, r.amount) for r in rows) == [("2024-01-05", 1, 1.0), ("2024-01-05", 2, 2.0)], root
+    # A full build after the file is gone from bronze's view of that day: the published copy has no day more than silver.
+    _orders_file(raw, "2024-01-05", [("a", 1, 1, "2024-01-06 01:00:00")])
+    run_daily_job(spark, paths, do_publish=True)
+    for root in (paths.silver, paths.publish):
+        rows = SK.read_back(spark, f"{root}/daily_orders", S.DAILY_ORDERS).collect()
+        assert [(str(r.order_date), r.orders) for r in rows] == [("2024-01-06", 1)], root
+
+
+def test_only_days_that_a_write_did_not_produce_are_dropped(spark, tmp_path, make_orders):
+    """Whatever the folders' times say."""
+    path = str(tmp_path / "t")
+    schema = S.DAILY_ACTIVE_USERS
+    days = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    SK.write_partitioned(spark.createDataFrame([(x, 1) for x in days], schema), path, ["event_date"])
+    res = SK.write_partitioned(spark.createDataFrame([(days[0], 5), (None, 7)], schema), path, ["event_date"], list_values=True)
+    assert res.values == {"2024-01-01", "__HIVE_DEFAULT_PARTITION__"} and res.rows == 2
+    for folder in os.listdir(path):
+        if folder.startswith("event_date"):
+            os.utime(os.path.join(path, folder), (4e9, 4e9))
+    assert SK.drop_partitions(spark, path, "event_date", days[:2], res.values) == ["2024-01-02"]
+    rows = SK.read_back(spark, path, schema).collect()
+    assert sorted((str(r.event_date), r.dau) for r in rows) == [("2024-01-01", 5), ("2024-01-03", 1), ("None", 7)]
