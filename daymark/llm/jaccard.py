@@ -19,8 +19,8 @@ token under every other order before their sets are compared.
   its members with a few of them, so that the comparisons of a group of near
   copies grow with its size; the components so far are merged.  In the
   rounds after it the pairs left, those of different components that share a
-  prefix token, are all compared, first a small share of them: what that
-  merges need not be compared again.
+  prefix token, are all compared unless the bounds of a whole component exclude it,
+  first a small share of them: what that merges need not be compared again.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.llm.words import mix64, pieces, shingle_sets
+from daymark.llm.worker import free_other_stages
 from daymark.session import shared_dir
 
 FLUSH_TOKENS = 3_000_000
@@ -126,6 +127,7 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _read_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows, tokens, offsets and class ids, a few MB of text at a time."""
+    free_other_stages()
     for batch in batches:
         for lo, hi in pieces(batch.column(1)):
             tokens, at = shingle_sets(batch.column(1).slice(lo, hi - lo))
@@ -261,9 +263,9 @@ def _counters(keys: str) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(COUNTERS - 1)), lambda i: F.least(count(i), F.lit(COUNTER_TOP)).cast("short"))
 
 
-def _most_common(a: str, b: str) -> str:
+def _most_common(a: str, b: str, size: str = "n") -> str:
     """What the sets ``a`` and ``b`` can share by their counters; two full ones bound nothing."""
-    least = f"if(least(x, y) = {COUNTER_TOP}, bigint(least({a}.n, {b}.n)), bigint(least(x, y)))"
+    least = f"if(least(x, y) = {COUNTER_TOP}, bigint(least({a}.n, {b}.{size})), bigint(least(x, y)))"
     return f"aggregate(zip_with({a}.counts, {b}.counts, (x, y) -> {least}), 0L, (s, x) -> s + x)"
 
 
@@ -342,11 +344,15 @@ def jaccard_components(
             pairs = postings.alias("a").join(leaders.alias("b"), "token").where("a.label <> b.label")
         else:
             mixed = postings.join(several.select("token"), "token", "left_semi")
-            # One row per token and component: what its members could have in common with another set at most.
-            groups = mixed.groupBy("token", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("most"))
-            groups = groups.withColumnRenamed("label", "other")
-            wanted = mixed.join(groups, "token").where(f"label < other and 100 * n >= {percent} * low and 100 * high >= {percent} * n")
-            wanted = wanted.where(f"{100 + percent} * least(left, most) >= {percent} * (n + low)").drop("low", "high", "most")
+            # One row per token and component: sizes, places and counters that bound those of its members,
+            # so that a set meets only components of which it may be similar to some member.
+            most = F.array(*[F.max(F.col("counts")[i]) for i in range(COUNTERS)])
+            groups = mixed.groupBy("token", "label").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max("left").alias("most"), most.alias("counts"))
+            wanted = mixed.alias("a").join(groups.alias("g"), F.col("a.token") == F.col("g.token"))
+            wanted = wanted.where(f"a.label < g.label and 100 * a.n >= {percent} * low and 100 * high >= {percent} * a.n")
+            wanted = wanted.where(f"{100 + percent} * least(a.left, most) >= {percent} * (a.n + low)")
+            wanted = wanted.where(f"{100 + percent} * {_most_common('a', 'g', 'high')} >= {percent} * (a.n + low)")
+            wanted = wanted.select("a.*", F.col("g.label").alias("other"))
             pairs = wanted.alias("a").join(mixed.alias("b"), (F.col("a.token") == F.col("b.token")) & (F.col("a.other") == F.col("b.label")))
             share = F.pmod(F.xxhash64("a.class").bitwiseXOR(F.xxhash64("b.class")), F.lit(16))
             low, high = PAIR_SHARES[turn - LEADER_ROUNDS]

@@ -25,7 +25,7 @@ _BASE = int(_rng.integers(1, 2**61)) * 8 + 5
 _BASE_INV = pow(_BASE, -1, 2**64)
 _MULT = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64) * _U(2) + _U(1)
 _SHORT = _rng.integers(1, 2**63, SHINGLE, dtype=np.uint64)
-_POWERS: dict[str, np.ndarray] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -36,12 +36,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    key = str(base)
-    if key not in _POWERS or len(_POWERS[key]) < n:
-        grown = np.full(max(n, 1 << 16), _U(base))
-        grown[0] = 1
-        _POWERS[key] = np.cumprod(grown)
-    return _POWERS[key][:n]
+    """base^0 to base^(n-1): a row of 65,536 powers is kept, longer ones are made from it each time."""
+    row = 1 << 16
+    if base not in _POWERS:
+        _POWERS[base] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(row - 1, _U(base))]))
+    if n <= row:
+        return _POWERS[base][:n]
+    steps = np.full(-(-n // row), _U(pow(base, row, 2**64)))
+    steps[0] = 1
+    return (np.cumprod(steps)[:, None] * _POWERS[base]).ravel()[:n]
 
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -55,7 +58,7 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def pieces(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def pieces(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``max_bytes`` of text, or of one longer text."""
     _, off = utf8(texts)
     lo = 0
