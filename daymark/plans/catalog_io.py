@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark import schemas as S
+from daymark.operators import key_index as K
 from daymark.operators import metrics as M
 from daymark.operators import quality as DQ
 from daymark.plans import bronze as B
+from daymark.plans import incremental as I
 from daymark.plans import staging as ST
 from daymark.plans.catalog import (
     _SQL_ORDERS,
@@ -38,6 +40,7 @@ from daymark.plans.job import JobPaths, run_daily_job, write_metric_tables
 from daymark.session import shared_dir
 from daymark.sinks import files as SK
 from daymark.sinks import warehouse as WH
+from daymark.sinks.snapshots import SnapshotStore
 from daymark.sources import tables as TB
 from daymark.sources.csv import read_orders_csv, read_users_csv
 from daymark.sources.files import join_uri, with_provenance
@@ -553,3 +556,142 @@ def _warehouse_query(name: str):
 for _name, _sql in _SQL_PURCHASE_TABLES.items():
     register(f"job_{_name}", _sql)(_job_query(_name))
     register(f"warehouse_{WAREHOUSE_TABLES[_name]}", _sql)(_warehouse_query(_name))
+
+
+# ---------------------------------------------------------------------------
+# G2, A1-A6, K2, S4: tables kept up to date by what changed, in one commit.
+# ---------------------------------------------------------------------------
+
+
+def _long(tables: dict[str, DataFrame]) -> DataFrame:
+    """The six tables in one frame: table_name, day, key, and up to three measures."""
+    parts = []
+    for name, df in tables.items():
+        key = next((c for c in ("user_id", "channel") if c in df.columns), None)
+        measures = [c for c in S.OUTPUT_SCHEMAS[name].fieldNames() if c not in (PARTITION_COLUMNS[name], key)]
+        values = [F.col(c).cast("double") for c in measures] + [F.lit(None).cast("double")] * (3 - len(measures))
+        parts.append(df.select(
+            F.lit(name).alias("table_name"), F.col(PARTITION_COLUMNS[name]).alias("day"),
+            (F.col(key) if key else F.lit(None)).cast("string").alias("key"), *[v.alias(f"m{i}") for i, v in enumerate(values)],
+        ))
+    return concat_frames(parts)
+
+
+def _sql_long(name: str) -> str:
+    columns = S.OUTPUT_SCHEMAS[name].fieldNames()
+    key = next((c for c in ("user_id", "channel") if c in columns), None)
+    measures = [f"CAST({c} AS DOUBLE)" for c in columns if c not in (PARTITION_COLUMNS[name], key)]
+    measures += ["CAST(NULL AS DOUBLE)"] * (3 - len(measures))
+    fields = ", ".join(f"{m} AS m{i}" for i, m in enumerate(measures))
+    key_text = f"CAST({key} AS VARCHAR)" if key else "CAST(NULL AS VARCHAR)"
+    return f"SELECT '{name}' AS table_name, {PARTITION_COLUMNS[name]} AS day, {key_text} AS key, {fields} FROM ({_SQL_PURCHASE_TABLES[name]}) t"
+
+
+_SQL_ALL_LONG = "\nUNION ALL\n".join(_sql_long(name) for name in _SQL_PURCHASE_TABLES)
+
+
+def _stage_corrected(spark: SparkSession, sf_dir: str, root: str, first: bool, names: dict) -> None:
+    """Files named by day.  The first versions of the files of every third day lack some purchases,
+    have others with a wrong amount or on the day after, and rows that are none; every file lacks the late
+    purchases, which come in a file of their own."""
+    raw = join_uri(root, "raw")
+    rows = TB.purchases_table(spark, sf_dir).withColumn("day", F.to_date("order_ts"))
+    number = F.col("order_id") % 10
+    wrong = F.dayofmonth("day") % 3 == 0
+    if first:
+        good = rows.where(~wrong & (number != 3))
+        bad = rows.where(wrong & ~number.isin(3, 4)).withColumns({
+            "amount": F.when(number == 5, F.col("amount") + 1).otherwise(F.col("amount")),
+            "order_ts": F.when(number == 6, F.col("order_ts") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("order_ts")),
+        })
+        none = rows.where(wrong & (number == 7)).withColumn("order_id", -F.col("order_id"))
+        staged = good.unionByName(bad).unionByName(none)
+    else:
+        staged = rows.where(wrong & (number != 3))
+        late = rows.where(number == 3).drop("day")
+        ST.stage_named_files(ST.raw_orders_frame(late), join_uri(raw, "late"), "csv", {None: f"orders_{max(names) + dt.timedelta(days=1)}.csv"})
+    files = {d: n for d, n in names.items() if first or d.day % 3 == 0}
+    ST.stage_named_files(ST.raw_orders_frame(staged, "day"), raw, "csv", files, "day")
+
+
+@register("incremental_tables", _SQL_ALL_LONG)
+def q_incremental_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first run over files with errors, then one over the corrected files and a file
+    of late rows: the six tables as committed by the second, which reads only those."""
+    root = shared_dir(spark, "incremental_tables")
+    names = ST.names_by_day(TB.purchases_table(spark, sf_dir).select(F.to_date("order_ts").alias("day")), "orders", "csv")
+    paths = JobPaths(
+        raw_orders=join_uri(root, "raw"), raw_events=ST.stage_events_ndjson(spark, sf_dir, root), bronze=join_uri(root, "bronze"),
+        silver=join_uri(root, "silver"), users=join_uri(ST.stage_users_csv(spark, sf_dir, root), "*.csv"),
+    )
+    for first in (True, False):
+        _stage_corrected(spark, sf_dir, root, first, names)
+        I.run_incremental(spark, paths, globs={"orders": "orders_*.csv", "events": "*.json"})
+    return _long({name: I.read_table(spark, paths, name) for name in _SQL_PURCHASE_TABLES})
+
+
+@register(
+    "unique_over_ingests",
+    f"""
+SELECT 'orders' AS table_name, '{K.RULE}' AS rule, order_id, CAST(NULL AS VARCHAR) AS earlier_file, CAST(NULL AS BIGINT) AS earlier_rows
+FROM ({_SQL_SCAN_PURCHASES}) o WHERE CAST(order_id AS BIGINT) % 20 = 0
+UNION ALL
+SELECT 'orders', '{K.RULE}', order_id, 'a/orders_2024-01-01.csv', 1
+FROM ({_SQL_SCAN_PURCHASES}) o WHERE CAST(order_id AS BIGINT) % 20 = 0""",
+)
+def q_unique_over_ingests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second ingest brings every tenth order id of the first again: the gate stops it, and
+    quarantine has the new rows and where the earlier ones are, found in the key index."""
+    root = shared_dir(spark, "unique_over_ingests")
+    rows = TB.purchases_table(spark, sf_dir)
+    paths = JobPaths(
+        raw_orders=join_uri(root, "raw"), bronze=join_uri(root, "bronze"), silver=join_uri(root, "silver"),
+        users=join_uri(ST.stage_users_csv(spark, sf_dir, root), "*.csv"),
+    )
+    for folder, some in (("a", F.col("order_id") % 2 == 0), ("b", (F.col("order_id") % 2 == 1) | (F.col("order_id") % 20 == 0))):
+        staged = ST.raw_orders_frame(rows.where(some))
+        ST.stage_named_files(staged, join_uri(root, "raw", folder), "csv", {None: f"orders_2024-01-0{'ab'.index(folder) + 1}.csv"})
+        try:
+            I.run_incremental(spark, paths, unique_orders=True)
+        except DQ.DataQualityError:
+            if folder == "a":
+                raise
+    kept = spark.read.schema("table_name string, rule string, row_json string").parquet(join_uri(root, "bronze", "_quality"))
+    row = F.from_json("row_json", "order_id string, source_file string, rows long")
+    return kept.select("table_name", "rule", row.alias("r")).select(
+        "table_name", "rule", "r.order_id", F.col("r.source_file").alias("earlier_file"), F.col("r.rows").alias("earlier_rows")
+    )
+
+
+@register(
+    "snapshot_of_two_tables",
+    f"""
+SELECT 'daily_active_users' AS table_name, event_date AS day, CAST(dau AS DOUBLE) AS value FROM ({ORACLE_SQL["daily_active_users"]}) a
+UNION ALL
+SELECT 'daily_orders', order_date, revenue FROM ({_SQL_PURCHASE_TABLES["daily_orders"]}) b""",
+)
+def q_snapshot_of_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables with wrong days, a writer that dies between them, and a commit that restates
+    those days: readers see the last commit only."""
+    store = SnapshotStore(spark, shared_dir(spark, "snapshot_of_two_tables"))
+    tables = {
+        "daily_active_users": (M.daily_active_users(TB.events_table(spark, sf_dir)), "event_date", "dau"),
+        "daily_orders": (M.daily_orders(TB.purchases_table(spark, sf_dir)), "order_date", "revenue"),
+    }
+    wrong = F.dayofmonth("day") % 5 == 0
+    days = [r["day"] for r in tables["daily_active_users"][0].select(F.col("event_date").alias("day")).where(wrong).collect()]
+    t = store.begin()
+    for name, (df, day, value) in tables.items():
+        bad = F.dayofmonth(day) % 5 == 0
+        t.write(name, df.withColumn(value, F.when(bad, F.col(value) + 1).otherwise(F.col(value)).cast(S.OUTPUT_SCHEMAS[name][value].dataType)), day)
+    t.commit()
+    dead = store.begin()
+    dead.write("daily_orders", tables["daily_orders"][0].withColumn("revenue", F.lit(0.0)), "order_date")
+    t = store.begin()
+    for name, (df, day, _) in tables.items():
+        t.write(name, df, day, values=days)
+    done = t.commit()
+    return concat_frames([
+        store.read(name, S.OUTPUT_SCHEMAS[name], snapshot=done).select(F.lit(name).alias("table_name"), F.col(day).alias("day"), F.col(value).cast("double").alias("value"))
+        for name, (_, day, value) in tables.items()
+    ])

@@ -17,12 +17,13 @@ from daymark.sources.files import join_uri
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def raw_orders_frame(orders: DataFrame) -> DataFrame:
+def raw_orders_frame(orders: DataFrame, *more: str) -> DataFrame:
     return orders.select(
         F.col("order_id").cast("string").alias("order_id"),
         "user_id",
         "amount",
         F.date_format("order_ts", TS_TEXT).alias("order_ts"),
+        *more,
     )
 
 
@@ -73,5 +74,7 @@ def stage_named_files(rows: DataFrame, folder: str, fmt: str, names: dict, colum
     for value, name in names.items():
         source = join_uri(work, f"{column}={value}") if column else work
         for status in fs.globStatus(hadoop.Path(join_uri(source, "part-*"))):
-            fs.rename(status.getPath(), hadoop.Path(join_uri(folder, name)))
+            target = hadoop.Path(join_uri(folder, name))
+            fs.delete(target, False)   # a file of this name is corrected
+            fs.rename(status.getPath(), target)
     fs.delete(hadoop.Path(work), True)
