@@ -41,6 +41,7 @@ DATA_SCHEMAS = {
     "events": T.StructType([*S.EVENTS.fields, T.StructField("props", T.StringType()), _CORRUPT, *_PROVENANCE]),
 }
 FILES_SCHEMA = "source_file string, file_date date, rows long, corrupt long, first_day date, last_day date, ingested_at timestamp, ingest_id string"
+FILE_DAYS_SCHEMA = "source_file string, file_date date, day date, rows long, corrupt long"
 # Superseded (file, ingest) pairs that may be shipped to every executor.
 MAX_BROADCAST_FILES = 500_000
 
@@ -95,20 +96,22 @@ def write_ingest(df: DataFrame, path: str, kind: str, ingest_id: str | None = No
     data = join_uri(path, "data", f"ingest_id={ingest_id}")
     res = write_partitioned(df.select(*own), data, ["file_date"], dynamic=False, layout="none")
     written = spark.read.schema(DATA_SCHEMAS[kind]).parquet(data)
-    day = day_of(DAY_COLUMNS[kind])
     clean = F.col(S.CORRUPT_COLUMN).isNull()
-    files = written.groupBy("source_file", "file_date").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(~clean).alias("corrupt"),
-        F.min(F.when(clean, day)).alias("first_day"),
-        F.max(F.when(clean, day)).alias("last_day"),
+    # The written rows are read once: per file and day, of which all else follows.
+    per_day = written.groupBy("source_file", "file_date", F.when(clean, day_of(DAY_COLUMNS[kind])).alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~clean).alias("corrupt")
+    )
+    days_path = join_uri(path, "file_days", f"ingest_id={ingest_id}")
+    per_day.write.mode("overwrite").parquet(days_path)
+    per_day = spark.read.schema(FILE_DAYS_SCHEMA).parquet(days_path)
+    files = per_day.groupBy("source_file", "file_date").agg(
+        F.sum("rows").alias("rows"), F.sum("corrupt").alias("corrupt"), F.min("day").alias("first_day"), F.max("day").alias("last_day")
     )
     listed = join_uri(path, "files", f"ingest_id={ingest_id}")
     files.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(listed)
     # One row per distinct day.
-    days = written.where(clean).select(day.alias("day")).distinct().where("day IS NOT NULL").collect()
-    corrupt = spark.read.schema(FILES_SCHEMA).parquet(listed).agg(F.coalesce(F.sum("corrupt"), F.lit(0))).first()[0]
-    return IngestResult(kind, path, res.rows, ingest_id, tuple(sorted(r["day"] for r in days)), int(corrupt))
+    days = per_day.groupBy("day").agg(F.sum("corrupt").alias("corrupt")).collect()
+    return IngestResult(kind, path, res.rows, ingest_id, tuple(sorted(r["day"] for r in days if r["day"])), sum(r["corrupt"] for r in days))
 
 
 def ingest_orders(
@@ -160,25 +163,23 @@ def read_bronze(
     No ingest yet reads as no rows.
     """
     files = bronze_files(spark, bronze_root, kind)
-    wanted = files.where("current")
+    met = F.col("current")
     if days is not None:
         low, high = (min(days), max(days)) if days else (dt.date.max, dt.date.min)
-        wanted = wanted.where((F.col("first_day") <= F.lit(high)) & (F.col("last_day") >= F.lit(low)))
-    # One row per folder (ingest and file date).
-    folders = wanted.select("ingest_id", "file_date").distinct().collect()
+        met &= (F.col("first_day") <= F.lit(high)) & (F.col("last_day") >= F.lit(low))
+    date = F.coalesce(F.col("file_date").cast("string"), F.lit(NULL_PARTITION)).alias("date")
+    # One row per folder (ingest and file date), of which those with a wanted file are listed.
+    found = files.groupBy("ingest_id", date).agg(F.bool_or(F.coalesce(met, F.lit(False))).alias("met"), F.count_if(~F.col("current")).alias("replaced")).collect()
+    base = join_uri(bronze_root, kind, "data")
+    folders = sorted(join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={r['date']}") for r in found if r["met"])
     schema = DATA_SCHEMAS[kind]
     if not folders:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(join_uri(bronze_root, kind, "data"))
-    df = df.where(F.col("ingest_id").isin(sorted({r["ingest_id"] for r in folders})))
-    if days is not None:
-        dates = sorted({r["file_date"] for r in folders if r["file_date"]})
-        known = F.col("file_date").isin(dates) if dates else F.lit(False)
-        df = df.where(known | F.col("file_date").isNull() if any(r["file_date"] is None for r in folders) else known)
-    replaced = files.where("NOT current").select(F.col("ingest_id").alias("__ingest"), F.col("source_file").alias("__file"))
-    n = replaced.count()
+    df = spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.fieldNames())
+    n = sum(r["replaced"] for r in found if r["met"])
     if n:
-        side = F.broadcast(replaced) if n <= MAX_BROADCAST_FILES else replaced
+        replaced = files.where("NOT current").select(F.col("ingest_id").alias("__ingest"), F.col("source_file").alias("__file"))
+        side = F.broadcast(replaced) if sum(r["replaced"] for r in found) <= MAX_BROADCAST_FILES else replaced
         same = (F.col("ingest_id") == F.col("__ingest")) & F.col("source_file").eqNullSafe(F.col("__file"))
         df = df.join(side, same, "left_anti")
     return df
