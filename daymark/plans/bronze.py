@@ -30,7 +30,7 @@ from daymark import schemas as S
 from daymark.functions.temporal import day_of, lookback_bounds, parse_run_date
 from daymark.sinks.files import NULL_PARTITION, write_partitioned
 from daymark.sources.csv import read_csv, typed_orders
-from daymark.sources.files import join_uri, raw_pattern, with_provenance
+from daymark.sources.files import join_uri, raw_pattern, relative_name, with_provenance
 from daymark.sources.ndjson import read_ndjson, typed_events
 
 DAY_COLUMNS = {"orders": "order_ts", "events": "ts"}
@@ -40,8 +40,10 @@ DATA_SCHEMAS = {
     "orders": T.StructType([*S.ORDERS.fields, _CORRUPT, *_PROVENANCE]),
     "events": T.StructType([*S.EVENTS.fields, T.StructField("props", T.StringType()), _CORRUPT, *_PROVENANCE]),
 }
-FILES_SCHEMA = "source_file string, file_date date, rows long, corrupt long, first_day date, last_day date, ingested_at timestamp, ingest_id string"
-FILE_DAYS_SCHEMA = "source_file string, file_date date, day date, rows long, corrupt long"
+# of_ingest: the ingest whose rows a compaction copied.
+FILES_SCHEMA = "source_file string, file_date date, rows long, corrupt long, first_day date, last_day date, ingested_at timestamp, of_ingest string, ingest_id string"
+# Rows of each day in each data file (its path below the ingest's folder).
+FILE_DAYS_SCHEMA = "source_file string, file_date date, data_file string, day date, rows long, corrupt long, ingest_id string"
 # Superseded (file, ingest) pairs that may be shipped to every executor.
 MAX_BROADCAST_FILES = 500_000
 
@@ -95,10 +97,22 @@ def write_ingest(df: DataFrame, path: str, kind: str, ingest_id: str | None = No
     own = [f.name for f in DATA_SCHEMAS[kind].fields if f.name != "ingest_id"]
     data = join_uri(path, "data", f"ingest_id={ingest_id}")
     res = write_partitioned(df.select(*own), data, ["file_date"], dynamic=False, layout="none")
+    corrupt, days = list_ingest(spark, path, kind, ingest_id)
+    return IngestResult(kind, path, res.rows, ingest_id, tuple(sorted(days)), corrupt)
+
+
+def list_ingest(spark: SparkSession, path: str, kind: str, ingest_id: str, versions: DataFrame | None = None) -> tuple[int, list[dt.date]]:
+    """Make the written rows of an ingest count; returns its corrupt lines and its days.
+
+    The rows are read once, to count them per raw file, data file and day; all else
+    follows from that small table.  ``versions`` (source_file, ingested_at, of_ingest) gives a
+    compaction the times of the ingests it copied, so that it takes their place and no later one's.
+    """
+    data = join_uri(path, "data", f"ingest_id={ingest_id}")
     written = spark.read.schema(DATA_SCHEMAS[kind]).parquet(data)
     clean = F.col(S.CORRUPT_COLUMN).isNull()
-    # The written rows are read once: per file and day, of which all else follows.
-    per_day = written.groupBy("source_file", "file_date", F.when(clean, day_of(DAY_COLUMNS[kind])).alias("day")).agg(
+    day = F.when(clean, day_of(DAY_COLUMNS[kind])).alias("day")
+    per_day = written.groupBy("source_file", "file_date", relative_name(data).alias("data_file"), day).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(~clean).alias("corrupt")
     )
     days_path = join_uri(path, "file_days", f"ingest_id={ingest_id}")
@@ -107,11 +121,15 @@ def write_ingest(df: DataFrame, path: str, kind: str, ingest_id: str | None = No
     files = per_day.groupBy("source_file", "file_date").agg(
         F.sum("rows").alias("rows"), F.sum("corrupt").alias("corrupt"), F.min("day").alias("first_day"), F.max("day").alias("last_day")
     )
-    listed = join_uri(path, "files", f"ingest_id={ingest_id}")
-    files.withColumn("ingested_at", F.current_timestamp()).write.mode("overwrite").parquet(listed)
+    if versions is None:
+        files = files.withColumns({"ingested_at": F.current_timestamp(), "of_ingest": F.lit(None).cast("string")})
+    else:
+        own = versions.select(F.col("source_file").alias("__file"), "ingested_at", "of_ingest")
+        files = files.join(own, F.col("source_file").eqNullSafe(F.col("__file"))).drop("__file")
+    files.write.mode("overwrite").parquet(join_uri(path, "files", f"ingest_id={ingest_id}"))
     # One row per distinct day.
     days = per_day.groupBy("day").agg(F.sum("corrupt").alias("corrupt")).collect()
-    return IngestResult(kind, path, res.rows, ingest_id, tuple(sorted(r["day"] for r in days if r["day"])), sum(r["corrupt"] for r in days))
+    return sum(r["corrupt"] for r in days), [r["day"] for r in days if r["day"]]
 
 
 def ingest_orders(
@@ -159,25 +177,29 @@ def read_bronze(
 ) -> DataFrame:
     """Rows of each file's last ingest, corrupt lines included.
 
-    With ``days`` only folders with a file whose day range meets them are read.
+    With ``days`` only data files that hold a clean row of one of them are opened.
     No ingest yet reads as no rows.
     """
     files = bronze_files(spark, bronze_root, kind)
-    met = F.col("current")
-    if days is not None:
-        low, high = (min(days), max(days)) if days else (dt.date.max, dt.date.min)
-        met &= (F.col("first_day") <= F.lit(high)) & (F.col("last_day") >= F.lit(low))
     date = F.coalesce(F.col("file_date").cast("string"), F.lit(NULL_PARTITION)).alias("date")
-    # One row per folder (ingest and file date), of which those with a wanted file are listed.
-    found = files.groupBy("ingest_id", date).agg(F.bool_or(F.coalesce(met, F.lit(False))).alias("met"), F.count_if(~F.col("current")).alias("replaced")).collect()
+    # One row per folder (ingest and file date).
+    found = files.groupBy("ingest_id", date).agg(F.count_if("current").alias("met"), F.count_if(~F.col("current")).alias("replaced")).collect()
     base = join_uri(bronze_root, kind, "data")
-    folders = sorted(join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={r['date']}") for r in found if r["met"])
+    if days is None:
+        places = [join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={r['date']}") for r in found if r["met"]]
+    elif not days or not found:
+        places = []
+    else:
+        per_day = spark.read.schema(FILE_DAYS_SCHEMA).parquet(join_uri(bronze_root, kind, "file_days")).where(F.col("day").isin(*days))
+        own = files.where("current").select(F.col("source_file").alias("__file"), F.col("ingest_id").alias("__ingest"))
+        met = per_day.join(own, F.col("source_file").eqNullSafe(F.col("__file")) & (F.col("ingest_id") == F.col("__ingest")), "left_semi")
+        # One row per data file that is opened.
+        places = [join_uri(base, f"ingest_id={r['ingest_id']}", r["data_file"]) for r in met.select("ingest_id", "data_file").distinct().collect()]
     schema = DATA_SCHEMAS[kind]
-    if not folders:
+    if not places:
         return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).option("basePath", base).parquet(*folders).select(*schema.fieldNames())
-    n = sum(r["replaced"] for r in found if r["met"])
-    if n:
+    df = spark.read.schema(schema).option("basePath", base).parquet(*sorted(places)).select(*schema.fieldNames())
+    if any(r["met"] and r["replaced"] for r in found):
         replaced = files.where("NOT current").select(F.col("ingest_id").alias("__ingest"), F.col("source_file").alias("__file"))
         side = F.broadcast(replaced) if sum(r["replaced"] for r in found) <= MAX_BROADCAST_FILES else replaced
         same = (F.col("ingest_id") == F.col("__ingest")) & F.col("source_file").eqNullSafe(F.col("__file"))
@@ -186,10 +208,14 @@ def read_bronze(
 
 
 def read_versions(spark: SparkSession, bronze_root: str, kind: str, versions: DataFrame) -> DataFrame:
-    """Clean rows of the given (source_file, ingest_id, file_date, rows): only the folders
-    that hold them are listed, one per ingest and file date."""
+    """Clean rows of the given (source_file, ingest_id, file_date, rows), wherever a
+    compaction has put them: only the folders that hold them are listed, one per ingest and
+    file date."""
     schema = DATA_SCHEMAS[kind]
-    versions = versions.where("rows > 0")
+    versions = versions.where("rows > 0").select("source_file", "ingest_id", "file_date")
+    files = spark.read.schema(FILES_SCHEMA).parquet(join_uri(bronze_root, kind, "files"))
+    moved = files.where("of_ingest IS NOT NULL").groupBy("source_file", F.col("of_ingest").alias("ingest_id")).agg(F.max("ingest_id").alias("__now"))
+    versions = versions.join(moved, ["source_file", "ingest_id"], "left").select("source_file", F.coalesce("__now", "ingest_id").alias("ingest_id"), "file_date")
     folders = versions.select("ingest_id", F.coalesce(F.col("file_date").cast("string"), F.lit(NULL_PARTITION)).alias("date")).distinct().collect()
     if not folders:
         return spark.createDataFrame([], schema)

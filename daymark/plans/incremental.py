@@ -45,6 +45,7 @@ from daymark.plans.job import STAGE_SCHEMA, JobPaths, StageRecord, read_users
 from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
 from daymark.sinks.files import write_flat
 from daymark.sinks.snapshots import Partition, Snapshot, SnapshotStore, Transaction
+from daymark.sinks.warehouse import publish_changes
 from daymark.sources.csv import typed_orders
 from daymark.sources.files import join_uri, with_provenance
 from daymark.sources.listing import LISTING, changed_files, list_files, read_csv_layouts
@@ -116,13 +117,15 @@ def run_incremental(
     scale: int = MONEY_SCALE,
     globs: dict[str, str] | None = None,
     unique_orders: bool = False,
+    do_publish: bool = False,
 ) -> IncrementalResult:
     """Ingest what is new or changed below the raw roots and bring the tables up to date.
 
     ``paths.silver`` is the root of the snapshot store.  Row rules check the rows of the
     changed files, rules on users the whole users file.  With ``unique_orders`` an order id
     may occur in one row of all raw files together; rows that break this are found through
-    the key index.  A failed gate commits nothing.  If the users file differs from the last
+    the key index.  ``do_publish`` brings the store at ``paths.publish`` up to the new commit,
+    copying only what differs.  A failed gate commits nothing.  If the users file differs from the last
     run's, the channel tables are restated for all days.
     """
     run_id, stages = uuid.uuid4().hex[:12], []
@@ -270,6 +273,10 @@ def run_incremental(
         daily = {n: store.read(n, OUTPUT_SCHEMAS[n], both, t.snapshot()) for n in ("daily_active_users", "daily_orders")}
         put("daily_conversion", M.conversion_from(daily["daily_active_users"], daily["daily_orders"].select("order_date", "buyers")), both)
     done = t.commit({"run_id": run_id, "users": users_digest})
+    if do_publish and paths.publish:
+        t0 = time.time()
+        for p in publish_changes(store, SnapshotStore(spark, paths.publish), OUTPUT_SCHEMAS):
+            record("publish", p.table_name, p.rows_written, t0)
     result = IncrementalResult(run_id, done, changed, days, quality, stages)
     write_flat(result.stages_frame(spark), join_uri(paths.bronze, "_job", "stage_metrics"), fmt="parquet", mode="append", count_rows=False)
     return result

@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +27,7 @@ from daymark.plans import bronze as B
 from daymark.plans.daily import WAREHOUSE_TABLES, MetricTable, build_metric_tables
 from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
 from daymark.sinks.files import WriteResult, drop_partitions, read_back, write_flat, write_partitioned
-from daymark.sinks.warehouse import publish, refresh_catalog_table
+from daymark.sinks.warehouse import publish, staged_refresh
 from daymark.sources.csv import read_users_csv
 from daymark.sources.files import join_uri, normalise_uri, raw_window_pattern
 
@@ -302,12 +302,8 @@ def run_daily_job(
             t0 = time.time()
             table = WAREHOUSE_TABLES[name]
             whole = read_back(spark, paths.output(name), OUTPUT_SCHEMAS[name], silver_format)
-            rows = Observation(f"load_{table}_{run_id}")
-            refresh_catalog_table(
-                spark, whole.observe(rows, F.count(F.lit(1)).alias("rows")),
-                f"`{paths.database}`.{table}" if paths.database else table, join_uri(paths.warehouse, table),
-            )
-            record("load", table, int(rows.get["rows"]), t0)
+            target = f"`{paths.database}`.{table}" if paths.database else table
+            record("load", table, staged_refresh(spark, whole, target, join_uri(paths.warehouse, table)), t0)
 
     # 6. publish the written tables.
     if do_publish and paths.publish:

@@ -148,14 +148,16 @@ class Transaction:
         column: str,
         *,
         values: Sequence[Any] | None = None,
+        names: Sequence[str] | None = None,
         append: bool = False,
         layout: str = "cluster",
         tie_cols: Sequence[str] = (),
     ) -> dict[str, Partition]:
         """Write ``df``, split by ``column``; returns the partitions it has.
 
-        They replace the table, or with ``values`` the partitions of those values:
-        one without rows any more is gone.  With ``append`` they are added to what is there.
+        They replace the table, or with ``values`` the partitions of those values (the only rows
+        of ``df`` that are written), or the partitions of those folder ``names``: one without rows
+        any more is gone.  With ``append`` they are added to what is there.
         Rows and digests are counted where the written files are read, one row per partition.
         """
         spark, folder = self.store.spark, f"{self.folder}-{self.writes}"
@@ -173,7 +175,7 @@ class Transaction:
         new = {}
         for r in written.groupBy(text.alias("value")).agg(*sums).collect():
             new[r["value"]] = Partition((f"{folder}/{column}={r['value']}",), r["rows"], f"{r['rows']}:{r['high']}:{r['low']}")
-        self.put(table, column, new, values, append)
+        self.put(table, column, new, values if names is None else names, append)
         return new
 
     def put(self, table: str, column: str, new: Mapping[str, Partition], values: Sequence[Any] | None = None, append: bool = False) -> None:
@@ -185,7 +187,7 @@ class Transaction:
         elif values is None:
             self.tables[table] = dict(new)
         else:
-            gone = set(map(partition_text, values))
+            gone = {partition_text(v) for v in values}
             self.tables[table] = {v: p for v, p in old.items() if v not in gone} | dict(new)
         self.columns[table] = column
 

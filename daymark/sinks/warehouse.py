@@ -6,8 +6,11 @@
   table and swap it in the database where atomicity matters.
 * ``refresh_catalog_table``: full refresh of a catalog table whose files
   live at a shared path.
+* ``staged_refresh``: the same, loaded beside the live table and switched to.
 * ``publish``: copy result tables to a target location, one outcome per
   table, raising at the end if any table failed.
+* ``publish_changes``: bring a snapshot store up to another one's last commit,
+  copying only the partitions that differ.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.sinks.files import drop_partitions, write_flat, write_partitioned
+from daymark.sinks.snapshots import SnapshotStore
 
 
 class PublishError(RuntimeError):
@@ -121,6 +125,85 @@ def publish(
     return outcomes
 
 
+@dataclass(frozen=True)
+class PublishedTable:
+    """What an incremental publish did with one table."""
+
+    table_name: str
+    copied: tuple[str, ...]      # partitions written at the target
+    removed: tuple[str, ...]     # partitions the source has no more
+    unchanged: int
+    rows_written: int
+
+
+def publish_changes(source: SnapshotStore, target: SnapshotStore, schemas: Mapping[str, T.StructType]) -> list[PublishedTable]:
+    """Make the target's tables equal to the source's last commit, with one commit.
+
+    Partitions are compared by the digests both commits hold; only those that differ are
+    read and written, those that the source has no more are dropped.  Nothing changes
+    at the target unless all tables were written: a failure raises ``PublishError`` that names
+    the tables that failed.
+    """
+    snapshot, t = source.current(), target.begin()
+    done: list[PublishedTable] = []
+    failed: dict[str, str] = {}
+    for name, schema in schemas.items():
+        new, old = snapshot.partitions(name), t.base.partitions(name)
+        differ = sorted(v for v, p in new.items() if v not in old or old[v].digest != p.digest)
+        removed = sorted(set(old) - set(new))
+        written: dict = {}
+        try:
+            if differ or removed:
+                df = source.read(name, schema, differ, snapshot)
+                written = t.write(name, df, snapshot.columns[name] if name in snapshot.columns else t.base.columns[name], names=[*differ, *removed])
+        except Exception as exc:  # noqa: BLE001 - collected, raised below
+            failed[name] = str(exc)
+            continue
+        done.append(PublishedTable(name, tuple(differ), tuple(removed), len(new) - len(differ), sum(p.rows for p in written.values())))
+    if failed:
+        raise PublishError(failed)
+    if any(p.copied or p.removed for p in done):
+        t.commit({"source_version": snapshot.version})
+    return done
+
+
+def staged_refresh(spark: SparkSession, df: DataFrame, table: str, path: str, fmt: str = "parquet", text_columns: bool = False) -> int:
+    """Full refresh of a catalog table that readers see at once: the rows are written to a new
+    folder below ``path``, counted there, and the table's location is set to it.
+
+    A refresh that stops earlier leaves the table as it was.  The folder it had before stays
+    for readers at work; older ones are deleted.  Returns the rows loaded.
+    """
+    out = as_text(df) if text_columns else df
+    folder = f"{path.rstrip('/')}/load-{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}"
+    res = write_flat(out, folder, fmt=fmt)
+    written = spark.read.schema(out.schema).format(fmt).load(folder).count()
+    if written != res.rows:
+        raise RuntimeError(f"{table}: {res.rows} rows were written, {written} are read")
+    exists = spark.catalog.tableExists(table)
+    if exists and spark.table(table).schema.simpleString() != out.schema.simpleString():
+        spark.sql(f"DROP TABLE {table}")  # an external table: its files stay
+        exists = False
+    before = _location(spark, table) if exists else None
+    if exists:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=folder, source=fmt, schema=out.schema)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(hadoop.Path(path)):
+        name = status.getPath().getName()
+        if name.startswith("load-") and name not in (folder.rsplit("/", 1)[-1], (before or "").rstrip("/").rsplit("/", 1)[-1]):
+            fs.delete(status.getPath(), True)
+    return written
+
+
+def _location(spark: SparkSession, table: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def outcomes_frame(spark: SparkSession, outcomes: list[PublishOutcome]) -> DataFrame:
     """Outcome records (one per table) as a DataFrame."""
     rows = [(o.table_name, o.target, o.rows_written, o.ok, o.error) for o in outcomes]
