@@ -29,9 +29,10 @@ from pyspark.sql import types as T
 from daymark import schemas as S
 from daymark.functions.temporal import day_of, lookback_bounds, parse_run_date
 from daymark.sinks.files import NULL_PARTITION, write_partitioned
-from daymark.sources.csv import read_csv, typed_orders
+from daymark.sources.csv import typed_orders
 from daymark.sources.files import join_uri, raw_pattern, relative_name, with_provenance
-from daymark.sources.ndjson import read_ndjson, typed_events
+from daymark.sources.listing import list_files, read_csv_layouts
+from daymark.sources.ndjson import read_ndjson, typed_events, with_corrupt_column
 
 DAY_COLUMNS = {"orders": "order_ts", "events": "ts"}
 _PROVENANCE = [T.StructField("source_file", T.StringType()), T.StructField("ingest_id", T.StringType()), T.StructField("file_date", T.DateType())]
@@ -58,6 +59,26 @@ class IngestResult:
     corrupt: int = 0
 
 
+def read_raw(spark: SparkSession, kind: str, raw_root: str, paths: Sequence[str]) -> DataFrame:
+    """Typed rows with provenance of these raw files; corrupt lines keep ``_corrupt_record``.
+
+    Order files are read by their own headers, whichever columns and order each has.
+    """
+    if kind == "orders":
+        return typed_orders(read_csv_layouts(spark, paths, S.ORDERS_RAW, lambda df: with_provenance(df, raw_root)))
+    if not paths:
+        return typed_events(with_provenance(spark.createDataFrame([], with_corrupt_column(S.EVENTS_RAW)), raw_root))
+    return typed_events(with_provenance(read_ndjson(spark, list(paths), S.EVENTS_RAW), raw_root))
+
+
+def _matching(spark: SparkSession, raw_root: str, glob: str, allow_empty: bool) -> list[str]:
+    """Paths of the raw files of a run: one per file."""
+    paths = [r["path"] for r in list_files(spark, raw_root, glob).select("path").collect()]
+    if not paths and not allow_empty:
+        raise FileNotFoundError(f"no input file matches {glob} below {raw_root}")
+    return paths
+
+
 def raw_orders(
     spark: SparkSession,
     raw_root: str,
@@ -67,11 +88,7 @@ def raw_orders(
 ) -> DataFrame:
     """Typed orders with provenance from every matching file under ``raw_root``."""
     glob = name_glob or raw_pattern("orders", run_date, "csv")
-    raw = read_csv(
-        spark, raw_root, S.ORDERS_RAW, recursive=True, name_glob=glob, allow_empty=allow_empty,
-        by_header=True, keep_corrupt=True,
-    )
-    return typed_orders(with_provenance(raw, raw_root))
+    return read_raw(spark, "orders", raw_root, _matching(spark, raw_root, glob, allow_empty))
 
 
 def raw_events(

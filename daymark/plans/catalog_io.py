@@ -37,6 +37,7 @@ from daymark.plans.daily import (
     restrict_days,
 )
 from daymark.plans.job import JobPaths, run_daily_job, write_metric_tables
+from daymark.plans.maintenance import compact_bronze, vacuum_bronze
 from daymark.session import shared_dir
 from daymark.sinks import files as SK
 from daymark.sinks import warehouse as WH
@@ -695,3 +696,58 @@ def q_snapshot_of_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         store.read(name, S.OUTPUT_SCHEMAS[name], snapshot=done).select(F.lit(name).alias("table_name"), F.col(day).alias("day"), F.col(value).cast("double").alias("value"))
         for name, (_, day, value) in tables.items()
     ])
+
+
+# ---------------------------------------------------------------------------
+# K6, K8, S1: publishing of changes, compaction, layouts.
+# ---------------------------------------------------------------------------
+
+
+@register("publish_corrected", ORACLE_SQL["daily_orders_purchases"])
+def q_publish_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store with wrong and surplus days is published, then corrected and published
+    again: the target has the corrected table."""
+    root = shared_dir(spark, "publish_corrected")
+    source, target = SnapshotStore(spark, join_uri(root, "silver")), SnapshotStore(spark, join_uri(root, "published"))
+    right = M.daily_orders(TB.purchases_table(spark, sf_dir))
+    third = F.dayofmonth("order_date") % 3 == 0
+    wrong = right.withColumn("orders", F.col("orders") + third.cast("int")).unionByName(right.withColumn("order_date", F.date_sub("order_date", 400)))
+    for df in (wrong, right):
+        t = source.begin()
+        t.write("daily_orders", df, "order_date")
+        t.commit()
+        WH.publish_changes(source, target, {"daily_orders": S.OUTPUT_SCHEMAS["daily_orders"]})
+    return target.read("daily_orders", S.OUTPUT_SCHEMAS["daily_orders"])
+
+
+@register("bronze_compacted", _SQL_SCAN_PURCHASES)
+def q_bronze_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ingests of files of different headers, one of them read again in a corrected version,
+    rewritten into one; the replaced ingests are deleted."""
+    root = shared_dir(spark, "bronze_compacted")
+    raw, bronze = join_uri(root, "raw"), join_uri(root, "bronze")
+    rows = TB.purchases_table(spark, sf_dir)
+    part = F.col("order_id") % 3
+    columns = [("order_id", "user_id", "amount", "order_ts"), ("order_ts", "order_id", "user_id", "amount"), ("amount", "order_ts", "note", "order_id", "user_id")]
+    for i, names in enumerate(columns):
+        staged = ST.raw_orders_frame(rows.where(part == i)).withColumn("note", F.lit("x, y")).select(*names)
+        if i == 1:
+            ST.stage_named_files(staged.withColumn("amount", F.lit(-1.0)), raw, "csv", {None: f"orders_2024-02-0{i + 1}.csv"})
+            B.ingest_orders(spark, raw, bronze, f"2024-02-0{i + 1}")
+        ST.stage_named_files(staged, raw, "csv", {None: f"orders_2024-02-0{i + 1}.csv"})
+        B.ingest_orders(spark, raw, bronze, f"2024-02-0{i + 1}")
+    compact_bronze(spark, bronze, "orders")
+    vacuum_bronze(spark, bronze, "orders", older_than=dt.timedelta(0))
+    return B.read_bronze_orders(spark, bronze).select(*_ORDER_COLS)
+
+
+@register("stream_mixed_layouts", _SQL_SCAN_PURCHASES)
+def q_stream_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two headers in one folder, streamed: each is read by its own."""
+    root = shared_dir(spark, "stream_mixed_layouts")
+    rows = ST.raw_orders_frame(TB.purchases_table(spark, sf_dir))
+    odd = F.col("order_id").cast("long") % 2 == 1
+    ST.stage_named_files(rows.where(odd), join_uri(root, "raw"), "csv", {None: "orders_2024-01-01.csv"})
+    ST.stage_named_files(rows.where(~odd).select("order_ts", "amount", "order_id", "user_id"), join_uri(root, "raw"), "csv", {None: "orders_2024-01-02.csv"})
+    ingest_stream(spark, "orders", join_uri(root, "raw"), join_uri(root, "bronze"))
+    return B.read_bronze_orders(spark, join_uri(root, "bronze")).select(*_ORDER_COLS)

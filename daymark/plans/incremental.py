@@ -46,10 +46,8 @@ from daymark.schemas import CORRUPT_COLUMN, OUTPUT_SCHEMAS
 from daymark.sinks.files import write_flat
 from daymark.sinks.snapshots import Partition, Snapshot, SnapshotStore, Transaction
 from daymark.sinks.warehouse import publish_changes
-from daymark.sources.csv import typed_orders
-from daymark.sources.files import join_uri, with_provenance
-from daymark.sources.listing import LISTING, changed_files, list_files, read_csv_layouts
-from daymark.sources.ndjson import read_ndjson, typed_events
+from daymark.sources.files import join_uri
+from daymark.sources.listing import LISTING, changed_files, list_files
 
 KINDS = {"orders": "orders_*.csv", "events": "events_*.ndjson"}
 STATES = {
@@ -79,12 +77,6 @@ class IncrementalResult:
         return spark.createDataFrame(rows, STAGE_SCHEMA)
 
 
-def _raw(spark: SparkSession, kind: str, root: str, paths: Sequence[str]) -> DataFrame:
-    if kind == "orders":
-        return typed_orders(read_csv_layouts(spark, paths, S.ORDERS_RAW, lambda df: with_provenance(df, root)))
-    return typed_events(with_provenance(read_ndjson(spark, list(paths), S.EVENTS_RAW), root))
-
-
 def _days(delta: DataFrame, column: str) -> list[dt.date | None]:
     """The days of a delta: one row per day."""
     return [r[0] for r in delta.select(column).distinct().collect()]
@@ -158,7 +150,7 @@ def run_incremental(
         if not files:
             continue
         t0 = time.time()
-        ingest = B.write_ingest(_raw(spark, kind, root, files), join_uri(paths.bronze, kind), kind)
+        ingest = B.write_ingest(B.read_raw(spark, kind, root, files), join_uri(paths.bronze, kind), kind)
         record("ingest", kind, ingest.rows, t0)
         # A file without a line has no bronze row, but is listed.
         dates = spark.read.schema(B.FILES_SCHEMA).parquet(join_uri(paths.bronze, kind, "files")).where(F.col("ingest_id") == ingest.ingest_id)

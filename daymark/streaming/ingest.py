@@ -2,11 +2,12 @@
 
 A file-source stream picks up raw files not seen before (the checkpoint
 records which), ``trigger(availableNow=True)`` processes everything that is
-there and stops, so the daily job can call it like a batch step.  Each
-micro-batch is one ingest of the batch form, named after the query and the
-batch: a batch replayed after a failure rewrites exactly its own folder, and
-batch readers see one bronze table, with no streaming-sink metadata folder in
-the way.
+there and stops, so the daily job can call it like a batch step.  The stream
+carries the files' paths only; each micro-batch reads its files as the batch
+form does, every one by its own header.  A micro-batch is one ingest of the
+batch form, named after the query and the batch: a batch replayed after a failure
+rewrites exactly its own folder, and batch readers see one bronze table, with no
+streaming-sink metadata folder in the way.
 """
 
 from __future__ import annotations
@@ -16,11 +17,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark import schemas as S
-from daymark.plans.bronze import write_ingest
-from daymark.sources.csv import typed_orders
-from daymark.sources.files import join_uri, raw_pattern, with_provenance
-from daymark.sources.ndjson import typed_events, with_corrupt_column
+from daymark.plans.bronze import DATA_SCHEMAS, read_raw, write_ingest
+from daymark.sources.files import join_uri, raw_pattern
+
+PATHS_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
 @dataclass(frozen=True)
@@ -31,32 +31,12 @@ class StreamIngestResult:
     rows: int
 
 
-def _orders_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int | None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(with_corrupt_column(S.ORDERS_RAW))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-    )
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return typed_orders(with_provenance(reader.csv(raw_root), raw_root))
-
-
-def _events_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int | None) -> DataFrame:
-    reader = (
-        spark.readStream.schema(with_corrupt_column(S.EVENTS_RAW))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-    )
+def _paths_stream(spark: SparkSession, raw_root: str, glob: str, max_files: int | None) -> DataFrame:
+    """Paths of new files; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema(PATHS_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", glob)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return typed_events(with_provenance(reader.json(raw_root), raw_root))
+    return reader.load(raw_root).select("path")
 
 
 def ingest_stream(
@@ -69,25 +49,23 @@ def ingest_stream(
     max_files_per_trigger: int | None = None,
 ) -> StreamIngestResult:
     """Ingest every raw ``kind`` file not yet seen, then stop."""
-    if kind == "orders":
-        stream = _orders_stream(spark, raw_root, name_glob or raw_pattern("orders"), max_files_per_trigger)
-    elif kind == "events":
-        stream = _events_stream(
-            spark, raw_root, name_glob or raw_pattern("events", ext="ndjson"), max_files_per_trigger
-        )
-    else:
+    if kind not in DATA_SCHEMAS:
         raise ValueError("kind must be 'orders' or 'events'")
+    glob = name_glob or raw_pattern(kind, ext="csv" if kind == "orders" else "ndjson")
     path = join_uri(bronze_root, kind)
     ckpt = checkpoint or join_uri(bronze_root, "_checkpoints", kind)
     counts: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         name = hashlib.sha256(ckpt.encode()).hexdigest()[:12]
-        res = write_ingest(batch, path, kind, ingest_id=f"stream-{name}-{batch_id:09d}")
+        # One path per file of the micro-batch.
+        files = sorted(r["path"] for r in batch.collect())
+        res = write_ingest(read_raw(spark, kind, raw_root, files), path, kind, ingest_id=f"stream-{name}-{batch_id:09d}")
         counts.append(res.rows or 0)
 
     query = (
-        stream.writeStream.foreachBatch(write_batch)
+        _paths_stream(spark, raw_root, glob, max_files_per_trigger)
+        .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", ckpt)
         .trigger(availableNow=True)
         .start()
