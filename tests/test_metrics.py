@@ -214,3 +214,11 @@ def test_daily_orders_from_work_tables_matches(make_orders):
         "order_date", "orders", "buyers", "revenue",
     )
     assert direct == derived and len(direct) == 3
+
+
+def test_a_dimension_of_wide_rows_is_not_broadcast(spark):
+    from daymark.operators.joins import fits_broadcast
+
+    dim = spark.createDataFrame([(i, "x" * 1000) for i in range(50)] + [(None, None)], "user_id long, channel string")
+    assert fits_broadcast(dim) and not fits_broadcast(dim, max_bytes=50_000) and not fits_broadcast(dim, max_rows=50)
+    assert fits_broadcast(dim.where("user_id < 0"), max_rows=0, max_bytes=0)
