@@ -24,7 +24,12 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score below ``TOXIC_AT``; the lexicon is learned from
-    up to 5000 labelled documents of each class."""
+    up to 5000 labelled documents of each class.
+
+    Null and empty texts have the score of a text without a match and stay, whole texts of
+    any length are scored, repeated rows are judged alike, null ids and sources do not
+    matter.  Columns beyond the five of ``documents`` are left out here.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_toxicity(labelled_sample(docs.select("doc_id", "text"), labels, "toxic", F.lit(True), 5000))
     return score_toxicity(docs, model, score_col="__toxicity").where(F.col("__toxicity") < TOXIC_AT).select(*COLUMNS)
@@ -56,7 +61,11 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that occurred before; a document of which nothing is left goes."""
+    """Texts without the passages that occurred before; a document of which nothing is left goes.
+
+    Null and empty texts stay as they are, with their ``n_chars``; rows equal in id and
+    text lose the same passages; texts of any length are read whole.
+    """
     cut = remove_repeated_passages(docs, local_cuts=True, both_sides=True).where("n_removed = 0 or n_removed < n_sentences")
     n_chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*COLUMNS)
@@ -64,7 +73,9 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it: not at all, once or twice.  Of rows equal in
-    id, source and text, those first by the other columns are taken more often."""
+    id, source and text, those first by the other columns are taken more often.  Null and
+    empty texts weigh nothing and are taken as their place in the order says; a null source
+    is one like others, the last."""
     path = shared_dir(spark, "mix-taken")
     key = ["doc_id", "source", "text_hash"]
     times = lambda n: F.count_if(F.col("copies") >= n)
@@ -85,7 +96,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents with their piece ids."""
+    """The mixed documents with their piece ids: an empty list for null and empty texts, whole
+    texts of any length, equal texts alike.  A table without rows gives one without rows at every stage."""
     return encode_documents(docs, load_model(tokenizer_file("piece_bpe_32k.model")))
 
 
