@@ -224,10 +224,10 @@ def read_bronze(
     return df
 
 
-def read_versions(spark: SparkSession, bronze_root: str, kind: str, versions: DataFrame) -> DataFrame:
-    """Clean rows of the given (source_file, ingest_id, file_date, rows), wherever a
-    compaction has put them: only the folders that hold them are listed, one per ingest and
-    file date."""
+def read_versions(spark: SparkSession, bronze_root: str, kind: str, versions: DataFrame, corrupt: bool = False) -> DataFrame:
+    """Clean rows (with ``corrupt`` all rows) of the given (source_file, ingest_id, file_date,
+    rows), wherever a compaction has put them: only the folders that hold them are listed, one
+    per ingest and file date."""
     schema = DATA_SCHEMAS[kind]
     versions = versions.where("rows > 0").select("source_file", "ingest_id", "file_date")
     files = spark.read.schema(FILES_SCHEMA).parquet(join_uri(bronze_root, kind, "files"))
@@ -239,7 +239,7 @@ def read_versions(spark: SparkSession, bronze_root: str, kind: str, versions: Da
     base = join_uri(bronze_root, kind, "data")
     paths = [join_uri(base, f"ingest_id={r['ingest_id']}", f"file_date={r['date']}") for r in folders]
     df = spark.read.schema(schema).option("basePath", base).parquet(*sorted(paths))
-    df = df.where(F.col(S.CORRUPT_COLUMN).isNull())
+    df = df if corrupt else df.where(F.col(S.CORRUPT_COLUMN).isNull())
     return df.join(versions.select("source_file", "ingest_id"), ["source_file", "ingest_id"], "left_semi").select(*schema.fieldNames())
 
 

@@ -38,6 +38,7 @@ from daymark.plans.daily import (
 )
 from daymark.plans.job import JobPaths, run_daily_job, write_metric_tables
 from daymark.plans.maintenance import compact_bronze, vacuum_bronze
+from daymark.plans.replay import replay_quarantine
 from daymark.session import shared_dir
 from daymark.sinks import files as SK
 from daymark.sinks import warehouse as WH
@@ -751,3 +752,16 @@ def q_stream_mixed_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ST.stage_named_files(rows.where(~odd).select("order_ts", "amount", "order_id", "user_id"), join_uri(root, "raw"), "csv", {None: "orders_2024-01-02.csv"})
     ingest_stream(spark, "orders", join_uri(root, "raw"), join_uri(root, "bronze"))
     return B.read_bronze_orders(spark, join_uri(root, "bronze")).select(*_ORDER_COLS)
+
+
+@register("replayed_quarantine", _SQL_SCAN_PURCHASES)
+def q_replayed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines whose amounts carry a currency go to quarantine; a replay without it gives the clean load."""
+    root = shared_dir(spark, "replayed_quarantine")
+    raw, bronze = join_uri(root, "raw"), join_uri(root, "bronze")
+    staged = ST.raw_orders_frame(TB.purchases_table(spark, sf_dir))
+    amount = F.col("amount").cast("string")
+    staged.withColumn("amount", F.when(F.col("user_id") % 7 == 3, F.concat(amount, F.lit(" EUR"))).otherwise(amount)).write.option("header", True).csv(raw)
+    B.ingest_orders(spark, raw, bronze, name_glob="*.csv")
+    replay_quarantine(spark, bronze, "orders", lambda line: F.regexp_replace(line, " EUR", ""))
+    return B.read_bronze_orders(spark, bronze).select(*_ORDER_COLS)

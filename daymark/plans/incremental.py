@@ -27,6 +27,7 @@ import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,10 +111,12 @@ def run_incremental(
     globs: dict[str, str] | None = None,
     unique_orders: bool = False,
     do_publish: bool = False,
+    replayed: dict[str, str] | None = None,
 ) -> IncrementalResult:
     """Ingest what is new or changed below the raw roots and bring the tables up to date.
 
-    ``paths.silver`` is the root of the snapshot store.  Row rules check the rows of the
+    ``paths.silver`` is the root of the snapshot store.  ``replayed`` names the ingest of a
+    replay of quarantined lines, by kind: its files count as changed, with the rows it gave them.  Row rules check the rows of the
     changed files, rules on users the whole users file.  With ``unique_orders`` an order id
     may occur in one row of all raw files together; rows that break this are found through
     the key index.  ``do_publish`` brings the store at ``paths.publish`` up to the new commit,
@@ -147,21 +150,34 @@ def run_incremental(
         files = [r["path"] for r in news.select("path").collect()]
         changed[kind] = len(files)
         record("list", kind, len(files), t0)
-        if not files:
+        replay = (replayed or {}).get(kind)
+        if not files and not replay:
             continue
         t0 = time.time()
-        ingest = B.write_ingest(B.read_raw(spark, kind, root, files), join_uri(paths.bronze, kind), kind)
-        record("ingest", kind, ingest.rows, t0)
+        ingested = spark.read.schema(B.FILES_SCHEMA)
+        versions, unparsed = [], bool(replay)
+        if files:
+            ingest = B.write_ingest(B.read_raw(spark, kind, root, files), join_uri(paths.bronze, kind), kind)
+            record("ingest", kind, ingest.rows, t0)
+            versions.append((news, ingest.ingest_id))
+            unparsed |= ingest.corrupt > 0
+        if replay:
+            # Files of the replay that were not changed since.
+            own = ingested.parquet(join_uri(paths.bronze, kind, "files")).where(F.col("ingest_id") == replay)
+            kept = known.select(*LISTING.fieldNames()).join(own.select("source_file"), "source_file", "left_semi")
+            versions.append((kept.join(news.select("source_file"), "source_file", "left_anti").select(*LISTING.fieldNames()), replay))
         # A file without a line has no bronze row, but is listed.
-        dates = spark.read.schema(B.FILES_SCHEMA).parquet(join_uri(paths.bronze, kind, "files")).where(F.col("ingest_id") == ingest.ingest_id)
-        new = news.join(dates.select("source_file", "file_date", "rows"), "source_file", "left").withColumns({"kind": F.lit(kind), "ingest_id": F.lit(ingest.ingest_id)})
+        dates = ingested.parquet(join_uri(paths.bronze, kind, "files")).select("source_file", "ingest_id", "file_date", F.col("rows") - F.col("corrupt"))
+        dates = dates.toDF("source_file", "ingest_id", "file_date", "rows")
+        parts = [v.withColumns({"kind": F.lit(kind), "ingest_id": F.lit(i)}) for v, i in versions]
+        new = reduce(DataFrame.unionByName, parts).join(dates, ["source_file", "ingest_id"], "left")
         old = known.join(new.select("source_file"), "source_file", "left_semi")
         rest = known.join(new.select("source_file"), "source_file", "left_anti")
         t.write("listing", rest.unionByName(new.select(*LISTED.fieldNames())), "kind", values=[kind], layout="none")
         fresh[kind] = B.read_versions(spark, paths.bronze, kind, new)
         stale[kind] = B.read_versions(spark, paths.bronze, kind, old)
-        if ingest.corrupt:
-            parse.append(B.read_bronze_quarantine(spark, paths.bronze, kind, [ingest.ingest_id]).select("table_name", "rule", "row_json"))
+        if unparsed:
+            parse.append(B.read_bronze_quarantine(spark, paths.bronze, kind, [i for _, i in versions]).select("table_name", "rule", "row_json"))
 
     source_users = read_users(spark, paths.users)
     source_users.write.parquet(join_uri(work, "users"))

@@ -4,11 +4,14 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark import schemas as S
 from daymark.operators import key_index as K
 from daymark.operators.quality import DataQualityError
+from daymark.plans import bronze as B
 from daymark.plans import incremental as I
+from daymark.plans import replay as R
 from daymark.plans.job import JobPaths
 from daymark.sinks.snapshots import SnapshotStore
 from daymark.sources import listing as L
@@ -188,3 +191,29 @@ def test_listing_finds_what_changed(spark, tmp_path, raw):
     os.remove(f"{raw}/orders_2024-01-04.csv")
     assert [r.source_file for r in L.changed_files(L.list_files(spark, raw, "orders_*.csv"), kept).collect()] == ["orders_2024-01-05.csv"]
     assert L.list_files(spark, str(tmp_path / "none"), "*").count() == 0
+
+
+def test_replayed_lines_leave_quarantine_and_reach_the_tables(spark, tmp_path, raw):
+    paths = paths_of(tmp_path, raw)
+    good = open(f"{raw}/orders_2024-01-05.csv").read()
+    bad = good.replace(",7,", ",7 EUR,") + "broken\n"
+    put(f"{raw}/orders_2024-01-05.csv", bad)
+    I.run_incremental(spark, paths, max_parse_failures=2)
+    lines = lambda: sorted(r.row_json for r in B.read_bronze_quarantine(spark, paths.bronze, "orders").collect())
+    assert lines() == ["broken", "c,1,7 EUR,2024-01-05 01:00:00"]
+    # Raw is not read again: the file is gone.
+    os.rename(f"{raw}/orders_2024-01-05.csv", str(tmp_path / "elsewhere.csv"))
+    done = R.replay_quarantine(spark, paths.bronze, "orders", lambda text: F.regexp_replace(text, " EUR", ""))
+    assert (done.repaired, done.corrupt) == (1, 1) and lines() == ["broken"]
+    result = I.run_incremental(spark, paths, replayed={"orders": done.ingest_id}, max_parse_failures=2)
+    assert result.changed["orders"] == 0 and [str(d) for d in result.days["orders"]] == ["2024-01-05"]
+    put(f"{raw}/orders_2024-01-05.csv", good)
+    assert tables(spark, paths) == full_build(spark, tmp_path, raw, 1)
+    assert R.replay_quarantine(spark, paths.bronze, "orders", lambda text: F.lit("y,1,2,2024-01-05 00:00:00")).repaired == 1 and lines() == []
+    assert R.replay_quarantine(spark, paths.bronze, "orders", lambda text: text).ingest_id is None
+    # The file itself comes again and replaces the replays.
+    assert I.run_incremental(spark, paths).changed["orders"] == 1
+    assert tables(spark, paths) == full_build(spark, tmp_path, raw, 1)
+    events = spark.createDataFrame([('{"event_id":1,"user_id":2,"event_type":"v","ts":"2024-01-01 00:00:00"}',), ("{",)], "line string")
+    got = {r._corrupt_record: (r.event_id, str(r.ts)) for r in R.parse_lines(events, "events", "line").collect()}
+    assert got == {None: (1, "2024-01-01 00:00:00"), "{": (None, "None")}
