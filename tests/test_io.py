@@ -365,9 +365,14 @@ def test_extra_and_reordered_columns_are_read_by_name(spark, tmp_path):
     B.ingest_orders(spark, raw, str(tmp_path / "bronze"))
     r = B.read_bronze_orders(spark, str(tmp_path / "bronze")).first()
     assert (r.order_id, r.user_id, r.amount) == ("A1", 7, 5.5)
+    # A file of another layout is read by its own header, one that lacks a declared column fails.
     write(os.path.join(raw, "orders_2024-01-02.csv"), ORDERS_HEADER + "A2,1,2.0,2024-01-02 10:00:00\n")
-    with pytest.raises(Exception, match="header"):
-        B.ingest_orders(spark, raw, str(tmp_path / "bronze"))
+    B.ingest_orders(spark, raw, str(tmp_path / "both"))
+    rows = B.read_bronze_orders(spark, str(tmp_path / "both")).collect()
+    assert sorted((r.order_id, r.user_id, r.amount) for r in rows) == [("A1", 7, 5.5), ("A2", 1, 2.0)]
+    write(os.path.join(raw, "orders_2024-01-03.csv"), "order_id,amount,order_ts\nA3,2.0,2024-01-02 10:00:00\n")
+    with pytest.raises(ValueError, match="header lacks user_id"):
+        B.ingest_orders(spark, raw, str(tmp_path / "none"))
 
 
 def test_scale_of_amounts(spark, tmp_path):
