@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark.llm.worker import kept_for_stage
+
 # Letters that look like Latin ones (after lower-casing and
 # taking accents off), and signs and digits that stand for letters.
 LOOK_ALIKES = {
@@ -113,19 +115,19 @@ class Matcher:
 
 
 def _entries(folded: str) -> Counter:
-    """Words and word beginnings with their times in the text, 3 at most, and the
-    number of words, 1500 at most, under the empty string."""
+    """Words and word beginnings with the weight log2(1 + times) in the text, and the
+    words' weights in all under the empty string: a word that a text repeats often
+    counts for little more than one it has a few times, in texts of any length."""
     times: Counter = Counter()
-    words = folded.split()
-    for w, n in Counter(words).items():
+    for w, n in Counter(folded.split()).items():
         times[f" {w} "] = n
         for k in PREFIXES:
             if len(w) < k:
                 break
             times[" " + w[:k]] += n
-    times = Counter({e: min(n, 3) for e, n in times.items()})
-    times[""] = min(len(words), 1500)
-    return times
+    weights = Counter({e: math.log2(1 + n) for e, n in times.items()})
+    weights[""] = sum(v for e, v in weights.items() if e[-1] == " ")
+    return weights
 
 
 def _phrases(folded: str, found: Iterable[int]) -> set[str]:
@@ -141,8 +143,8 @@ def _phrases(folded: str, found: Iterable[int]) -> set[str]:
     return out
 
 
-def _gain(p: int, n: int, pos: int, neg: int) -> float:
-    """G statistic of p matches in pos words of toxic and n in neg words of other documents."""
+def _gain(p: float, n: float, pos: float, neg: float) -> float:
+    """G statistic of p of the weight pos of toxic and n of the weight neg of other documents."""
     total, g = p + n, 0.0
     for seen, size in ((p, pos), (n, neg)):
         expected = total * size / (pos + neg)
@@ -150,8 +152,8 @@ def _gain(p: int, n: int, pos: int, neg: int) -> float:
     return float(g)
 
 
-def _counts(sample: DataFrame, items, schema: str = "item string, n long") -> DataFrame:
-    """Sums over the sample of what ``items`` makes of a text: a set, or a count by item."""
+def _counts(sample: DataFrame, items) -> DataFrame:
+    """Sums over the sample of what ``items`` makes of a text: a set, or a weight by item."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -159,11 +161,12 @@ def _counts(sample: DataFrame, items, schema: str = "item string, n long") -> Da
             for text in batch.column(0).to_pylist():
                 held.update(items(text))
                 if len(held) > 500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["item", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([float(v) for v in held.values()])], ["item", "n"])
                     held.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["item", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array([float(v) for v in held.values()], pa.float64())], ["item", "n"])
 
-    return sample.select("text").mapInArrow(run, schema).groupBy("item").agg(F.sum("n").alias("n"))
+    # Rounded, as sums of doubles depend on the order of the tasks.
+    return sample.select("text").mapInArrow(run, "item string, n double").groupBy("item").agg(F.round(F.sum("n"), 6).alias("n"))
 
 
 def _fit_weights(x: np.ndarray, label: np.ndarray) -> tuple[float, np.ndarray]:
@@ -187,13 +190,13 @@ def _fit_weights(x: np.ndarray, label: np.ndarray) -> tuple[float, np.ndarray]:
         used[np.flatnonzero(used)[1:][b[1:] < 0]] = False
 
 
-def fit_toxicity(sample: DataFrame, *, min_gain: float = 25.0, min_matches: int = 6, max_entries: int = 400, exceptions: tuple[str, ...] = ()) -> ToxicityModel:
+def fit_toxicity(sample: DataFrame, *, min_gain: float = 25.0, min_matches: float = 6.0, exceptions: tuple[str, ...] = ()) -> ToxicityModel:
     """Learn a model from (text, label) rows, a bounded sample.
 
     ``exceptions`` are phrases of the user's; phrases of two words that hold an
     entry and occur in five or more other documents, but in no toxic one, are
-    added.  Without rows of both classes there is no entry and every score is
-    the share of label 1.
+    added.  Whole texts of any length count.  Without rows of both classes there is no entry
+    and every score is the share of label 1.
     """
     sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
@@ -205,15 +208,17 @@ def fit_toxicity(sample: DataFrame, *, min_gain: float = 25.0, min_matches: int
     held = {r["item"]: r["n"] for r in _counts(toxic, lambda t: _entries(fold(t))).where(F.col("n") >= min_matches).collect()}
     wanted = frozenset(held)
     also = {r["item"]: r["n"] for r in _counts(other, lambda t: {e: n for e, n in _entries(fold(t)).items() if e in wanted}).collect()}
-    pos, neg = max(1, held.pop("", 0)), max(1, also.pop("", 0))
+    pos, neg = max(1.0, held.pop("", 0.0)), max(1.0, also.pop("", 0.0))
     gain = {e: _gain(p, also.get(e, 0), pos, neg) for e, p in held.items() if p / pos > 2 * also.get(e, 0) / neg}
     # Of entries that begin alike, the one that tells most; the longest of those that tell the same.
     kept: list[str] = []
     begins: set[str] = set()
+    taken: set[str] = set()
     for e in sorted((e for e in gain if gain[e] >= min_gain), key=lambda e: (-round(gain[e], 6), -len(e), e)):
         starts = {e[:k] for k in range(PREFIXES[0] + 1, len(e) + 1)}
-        if e not in begins and not starts & set(kept) and len(kept) < max_entries:
+        if e not in begins and not starts & taken:
             kept.append(e)
+            taken.add(e)
             begins |= starts
     model_only = ToxicityModel(tuple((e, 1.0) for e in kept), (), 0.0)
 
@@ -242,22 +247,15 @@ def fit_toxicity(sample: DataFrame, *, min_gain: float = 25.0, min_matches: int
     return ToxicityModel(tuple((e, float(w)) for e, w in zip(kept, weights)), excepted, bias)
 
 
-_MATCHERS: dict[int, Matcher] = {}
-
-
 def _matcher(model: ToxicityModel) -> Matcher:
-    key = hash(model)
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(model)
-    return _MATCHERS[key]
+    return kept_for_stage(("toxicity", model), lambda: Matcher(model))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns of ``docs`` plus ``score_col``, 0 to 1: higher is likelier toxic.
 
-    Whole texts are scored, in the task that reads them.  Null and empty texts
-    have the score of a text without a match.  An input column named like
+    Whole texts of any length are scored, in the task that reads them; equal texts, and so
+    repeated rows, alike.  Null and empty texts have the score of a text without a match.  An input column named like
     ``score_col`` is replaced; an empty table gives an empty one.
     """
     kept = docs.drop(score_col)
