@@ -5,12 +5,15 @@ probed list, vectors are rotated by one random orthogonal matrix and scanned
 in blocks of columns: after d of D columns the partial squared distance, scaled
 by D/d, estimates the whole one, and a candidate is abandoned when a hypothesis
 test says that it lies beyond the query's threshold, a distance within which
-enough rows are known to lie.  Candidates that last through all columns get
-their exact cosine from the original vectors.
-
-Centroids, rotation and the number of lists to probe are fitted on a bounded
-sample; every row is indexed.  Lists are dealt in blocks of rows and queries in
-blocks, so that neither a crowded list nor many queries meet in one task.
+enough rows of the sample are known to lie.  Candidates that last through all columns
+get their exact cosine from the original vectors.  A query that has found too few
+probes further lists, twice as many each time.
+
+Centroids, rotation, thresholds and the number of lists to probe are fitted on a
+bounded sample, a small part of the table; every row is indexed, and results come from
+the lists alone.  A list is dealt in blocks of rows, and in as many blocks of
+queries as those that probe it need: neither a crowded list nor many queries meet in one
+task, and a list's rows are copied for its own queries only.
 """
 
 from __future__ import annotations
@@ -26,12 +29,14 @@ from pyspark.sql import functions as F
 
 from daymark.session import shared_dir
 
+#: Rows to fit on: a SAMPLE_PART-th of the table, within these bounds.
+SAMPLE_PART = 20
+MIN_SAMPLE = 256
 SAMPLE_ROWS = 20_000
-MAX_LISTS = 1024
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 8192
 COLUMNS = 16
-CONFIDENCE = 2.1  # standard errors that a partial distance may lie above its estimate
+CONFIDENCE = 2.6  # standard errors that a partial distance may lie above its estimate
 
 
 @dataclass(frozen=True)
@@ -93,14 +98,16 @@ def _by_id(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.unique(ids[order], return_index=True)[1]
 
 
-def fit_lists(vectors: DataFrame, n_rows: int, k: int, *, recall: float = 0.97, seed: int = 11) -> ListIndex | None:
-    """Fit on the ``SAMPLE_ROWS`` rows with the smallest id hashes.
+def fit_lists(vectors: DataFrame, n_rows: int, k: int, *, recall: float = 0.985, seed: int = 11) -> ListIndex | None:
+    """Fit on the rows with the smallest id hashes, a twentieth of the table (256 rows at
+    least, 20,000 at most).
 
     Vectors of the sample's commonest length count.  ``probes`` is the smallest
     number of lists that holds ``recall`` of the k nearest ids, as measured
     for 200 of the sample's rows against the whole sample by brute force.
     """
-    drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE_ROWS).collect()
+    size = min(SAMPLE_ROWS, max(MIN_SAMPLE, n_rows // SAMPLE_PART))
+    drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(size).collect()
     if not drawn:
         return None
     lengths, counts = np.unique([len(r["vec"]) for r in drawn], return_counts=True)
@@ -109,7 +116,7 @@ def fit_lists(vectors: DataFrame, n_rows: int, k: int, *, recall: float = 0.97,
     x = _unit(sample)
     rng = np.random.default_rng(seed)
     rotation = np.linalg.qr(rng.normal(size=(x.shape[1], x.shape[1])))[0]
-    n_lists = max(1, min(MAX_LISTS, int(np.sqrt(n_rows)), len(x) // 8))
+    n_lists = max(1, min(int(np.sqrt(n_rows)), len(x) // 8))
     centroids = x[rng.permutation(len(x))[:n_lists]].copy()
     for _ in range(8):
         near = (x @ centroids.T).argmax(axis=1)
@@ -175,7 +182,8 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec
     id.  Vectors null, empty, zero, with null or non-finite components or of an
     unusual length take no part; rows that share an id are one candidate, by
     the best of them; an empty
-    table gives an empty result.
+    table gives an empty result.  Other columns, also ones named like the results, are not
+    looked at.
     """
     spark = rows.sparkSession
     root = shared_dir(spark, "neighbours")
@@ -213,41 +221,50 @@ def nearest(rows: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec
                 # k ids are known to lie within the distance of the sample's k-th best.
                 if near.shape[1] == k:
                     limit = np.where(real.all(axis=1), 2 - 2 * score.min(axis=1), np.inf)
-                known = [pa.array([v[r] for v, r in zip(x_, real)], pa.list_(t)) for x_, t in ((own.sample_ids[near], pa.int64()), (score, pa.float64()))]
-                lists = np.argsort(-(x @ own.centroids.T), axis=1)[:, : own.probes].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*block.columns, pa.array(limit), pa.array(list(lists), pa.list_(pa.int32())), *known], ["vec_id", "vec", "limit", "lists", "known", "scores"]
-                )
+                lists = np.argsort(-(x @ own.centroids.T), axis=1, kind="stable").astype(np.int32)
+                yield pa.RecordBatch.from_arrays([*block.columns, pa.array(limit), pa.array(list(lists), pa.list_(pa.int32()))], ["vec_id", "vec", "limit", "lists"])
 
     vectors.mapInArrow(assign, "vec_id long, vec binary, list int").write.parquet(f"{root}/index")
     indexed = spark.read.parquet(f"{root}/index")
-    queries = vectors.where(is_query)
-    n_blocks = max(1, -(-queries.count() // BLOCK_QUERIES))
-    # One row per list: how many blocks of rows it is dealt in.
-    sizes = F.broadcast(indexed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("salts")))
-    queries.mapInArrow(probe, "vec_id long, vec binary, limit double, lists array<int>, known array<long>, scores array<double>").write.parquet(f"{root}/queries")
-    probed = spark.read.parquet(f"{root}/queries")
-    seeds = probed.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("known", "scores")).alias("x")).select("query_id", F.col("x.known").alias("vec_id"), F.col("x.scores").alias("score"))
-    probed = probed.select("vec_id", "vec", "limit", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int").alias("block"), F.explode("lists").alias("list"))
-    probed = probed.join(sizes, "list").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    dealt = indexed.join(sizes, "list").withColumn("salt", F.pmod(F.xxhash64("vec_id", "vec"), F.col("salts")).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    # All lists of each query, nearest centroid first: a row has one number per list.
+    vectors.where(is_query).mapInArrow(probe, "vec_id long, vec binary, limit double, lists array<int>").write.parquet(f"{root}/queries")
+    queries = spark.read.parquet(f"{root}/queries")
 
     def scan(right: pd.DataFrame, left: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         return _scan(shared.value, right["vec_id"].to_numpy(), _matrix(list(right["vec"])), left["vec_id"].to_numpy(), _matrix(list(left["vec"])), left["limit"].to_numpy(), k)
 
-    keys = ["list", "salt", "block"]
-    pairs = dealt.select(*keys, "vec_id", "vec").groupBy(*keys).cogroup(probed.select(*keys, "vec_id", "vec", "limit").groupBy(*keys))
-    found = pairs.applyInPandas(scan, "query_id long, vec_id long, score double")
+    def scanned(asking: DataFrame, first: int, stop: int) -> DataFrame:
+        """What the lists of these ranks hold for the queries."""
+        probed = asking.select("vec_id", "vec", "limit", F.explode(F.slice("lists", first + 1, stop - first)).alias("list"))
+        # One row per list that is probed: the blocks of rows and of queries it is dealt in.
+        counts = probed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("blocks"))
+        sizes = F.broadcast(indexed.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("salts")).join(counts, "list"))
+        probed = probed.join(sizes, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+        probed = probed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        dealt = indexed.join(sizes, "list").withColumn("salt", F.pmod(F.xxhash64("vec_id", "vec"), F.col("salts")).cast("int"))
+        dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        keys = ["list", "salt", "block"]
+        pairs = dealt.select(*keys, "vec_id", "vec").groupBy(*keys).cogroup(probed.select(*keys, "vec_id", "vec", "limit").groupBy(*keys))
+        return pairs.applyInPandas(scan, "query_id long, vec_id long, score double")
+
+    n_lists, done, stop, found, asking = len(index.centroids), 0, index.probes, None, queries
+    while done < n_lists:
+        scanned(asking, done, min(stop, n_lists)).write.parquet(f"{root}/found{done}")
+        new = spark.read.parquet(f"{root}/found{done}")
+        found = new if found is None else found.union(new)
+        full = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
+        done, stop = min(stop, n_lists), 2 * stop
+        if done < n_lists:
+            # The few queries that have fewer than k go on to further lists.
+            queries.join(full.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti").write.parquet(f"{root}/asking{done}")
+            asking = spark.read.parquet(f"{root}/asking{done}")
+            if not asking.take(1):
+                break
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    # Rows of the sample complete the few queries whose probed lists hold fewer than k rows within the threshold.
-    found.write.parquet(f"{root}/found")
-    found = spark.read.parquet(f"{root}/found")
-    full = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n")).where(F.col("n") >= k)
-    found = found.union(seeds.join(full, "query_id", "left_anti")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
