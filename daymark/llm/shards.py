@@ -21,6 +21,8 @@ from daymark.session import shared_dir
 
 FIRST_PROBES = 4096
 NEXT_PROBES = 256
+#: Probes of one turn, whatever the number of splitters looked for (two a splitter at least).
+MAX_PROBES = 1 << 18
 _LOW, _HIGH = -(2**63), 2**63 - 1
 
 
@@ -65,7 +67,9 @@ def find_splitters(rows: DataFrame, targets: list[float], tolerance: list[float]
             open_ = [b for b, t in zip(brackets, tolerance) if b[2] - b[0] > 1 and b[3] - b[1] > t]
             if not open_:
                 break
-            keys = {k for b in set(open_) for k in _spread(b[0], b[2], NEXT_PROBES)} | {b[0] for b in open_}
+            apart = set(open_)
+            each = max(2, min(NEXT_PROBES, MAX_PROBES // len(apart)))
+            keys = {k for b in apart for k in _spread(b[0], b[2], each)} | {b[0] for b in apart}
             probes = np.array(sorted(keys), dtype=np.int64)
         below = np.cumsum(_bytes_between(rows, probes))
         if total is None:
@@ -98,7 +102,8 @@ def shard_documents(
     n_shards - 1 in key order, their bytes within ``tolerance`` of a shard's
     share or a row of the mean; slots are 0, 1, ... in each.  Equal texts stay
     in one shard unless a splitter must divide them to keep the shards equal.
-    A shard is exchanged as several parts of about ``part_bytes``.  Rows equal
+    A shard is exchanged as several parts of about ``part_bytes``.  Texts are hashed whole,
+    whatever their length; a null id is one like others.  Rows equal
     in id and text take neighbouring slots; an empty table gives an empty one;
     input columns with the names of the new ones are replaced.
     """
@@ -130,9 +135,14 @@ def shard_documents(
         before.append(at)
     moved = keyed.withColumn("__part", part_of("sort_key")).repartitionById(n_parts, F.col("__part")).sortWithinPartitions("sort_key", id_col, "text_crc32", "size")
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    start = F.element_at(F.array(*[F.lit(b).cast("long") for b in before]), F.col("__part") + 1)
+    first_slots = np.array(before, dtype=np.int64)
+
+    @F.pandas_udf("long")
+    def first_slot(part: pd.Series) -> pd.Series:
+        return pd.Series(first_slots[part.to_numpy()])
+
     return moved.withColumn("slot", in_part).withColumns(
-        {"shard": F.floor(F.col("__part") / per_shard).cast("int"), "slot": F.col("slot") + start}
+        {"shard": F.floor(F.col("__part") / per_shard).cast("int"), "slot": F.col("slot") + first_slot("__part")}
     ).drop("__part", "sort_key")
 
 

@@ -93,3 +93,23 @@ def test_splitters_meet_the_tolerance(spark):
     found = SH.find_splitters(rows, [total / 3, 2 * total / 3], [60.0, 60.0])
     for k, t in zip(found, (total / 3, 2 * total / 3)):
         assert abs(rows.where(F.col("sort_key") < k).agg(F.sum("size")).first()[0] - t) <= 60
+
+
+def test_probes_of_a_turn_are_bounded_and_shards_equal_a_sorted_list(spark, monkeypatch):
+    """Many parts, few probes a turn; shards, slots and order are those of the sorted rows."""
+    monkeypatch.setattr(SH, "MAX_PROBES", 64)
+    monkeypatch.setattr(SH, "FIRST_PROBES", 16)
+    asked = []
+    count = SH._bytes_between
+    monkeypatch.setattr(SH, "_bytes_between", lambda rows, probes: asked.append(len(probes)) or count(rows, probes))
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i} " * (1 + i % 40)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = SH.shard_documents(docs, 4, part_bytes=4000).withColumn("k", SH.sort_key("text", "doc_id")).collect()
+    n_parts = 4 * -(-sum(r.size for r in got) // 16000)
+    assert n_parts > 20 and max(asked) <= max(64, 3 * n_parts)
+    ordered = sorted(got, key=lambda r: (r.k, r.doc_id))
+    assert [(r.shard, r.slot) for r in ordered] == sorted((r.shard, r.slot) for r in got)
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard] += r.size
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * (0.001 * sum(sizes.values()) + max(r.size for r in got))
