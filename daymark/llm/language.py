@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.llm.words import mix64, pieces, utf8
+from daymark.llm.worker import free_other_stages
 
 UNDETERMINED = "und"
 BLOCK = 64
@@ -215,8 +216,12 @@ def language_sample(docs: DataFrame, usable: Column, *, max_rows: int = 200, max
     """
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     ids = known.groupBy("doc_id").agg(F.min("lang").alias("lang"))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = ids.withColumn("__at", F.row_number().over(by_hash)).where(F.col("__at") <= max_rows).drop("__at")
+    taken = ids.withColumns({"__hash": F.xxhash64("doc_id"), "__part": F.pmod(F.xxhash64("doc_id"), F.lit(64))})
+    # First within 64 parts of each language, so that no task sees a common language as a whole.
+    for by in (["lang", "__part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("__hash", "doc_id"))
+        taken = taken.withColumn("__at", place).where(F.col("__at") <= max_rows).drop("__at")
+    taken = taken.select("doc_id", "lang")
     largest = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
     # At most max_rows * max_languages ids.
     taken = F.broadcast(taken.join(F.broadcast(largest), "lang"))
@@ -383,6 +388,7 @@ def label_documents(docs: DataFrame, model: LanguageModel, *, text_col: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_other_stages()
         model = shared.value
         for batch in batches:
             for lo, hi in pieces(batch.column(text_col), _block_bytes(model)):

@@ -75,8 +75,8 @@ def mix_sources(
     Sources by code point (null last, an empty name is a source) weigh
     ``weights``, repeating.  The shuffle key is md5(seed + id), so reruns agree;
     rows that share id and text are interchangeable.  Null and empty texts have
-    size 0 and are in the mix when their finish time is.  An empty table gives
-    empty results.  ``documents`` has the columns id, source, size, source_size,
+    size 0 and are in the mix when their finish time is; a text of any length is counted whole
+    and taken or left as one.  An empty table gives empty results.  ``documents`` has the columns id, source, size, source_size,
     target, copies, taken, text_hash (xxhash64) and row_uid; other input columns are not looked at.
     """
     spark = docs.sparkSession

@@ -163,8 +163,8 @@ def fit_quality(sample: DataFrame, *, epochs: int = 12, rate: float = 0.05, seed
 def score_quality(docs: DataFrame, model: FactorisationMachine, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """All columns of ``docs`` plus ``score_col``, 0 to 1: higher is likelier good.
 
-    Whole texts are scored, in the task that reads them; null and empty texts
-    by the statistics of an empty text.  An input column named like
+    Whole texts of any length are scored, in the task that reads them, equal texts and so
+    repeated rows alike; null and empty texts by the statistics of an empty text.  An input column named like
     ``score_col`` is replaced; an empty table gives an empty one.  The model has
     a fixed number of buckets, so its broadcast does not grow.
     """
