@@ -17,8 +17,7 @@ Spans are hashed and joined over all documents; all occurrences but the first
 covers are removed.
 
 Counting moves hashes only; a hash that a third of all documents share is
-counted with partial sums, and the join back to the places is one that Spark
-can split.  Spans are made again for it rather than written; the places of
+counted with partial sums, and its places are salted for the joins.  Spans are made again for it rather than written; the places of
 those that repeat are.  Texts move once, to meet their marks.
 """
 
@@ -33,12 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.llm.words import _BASE, _BASE_INV, _powers, mix64, pieces, utf8, word_hashes, word_spans
+from daymark.llm.worker import free_other_stages
 from daymark.session import shared_dir
 
 MAX_SENTENCE = 16
 _END = np.zeros(256, dtype=bool)
 _END[[ord(c) for c in ".!?"]] = True
 WINDOW = 4
+HOT_SHARE = 1024
+SALTS = 64
 _STOPS = [c.encode() for c in ".!?。．！？؟۔।…"]
 _CLOSERS = [c.encode() for c in "\"')]}»”’」』）"]
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -148,12 +150,14 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = F
         return spans(heads, at, words, min_words, both_sides=both_sides)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_other_stages()
         for batch in batches:
             for lo, hi in pieces(batch.column(0)):
                 hashed, n = np.unique(made(batch.column(0).slice(lo, hi - lo))[3], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashed), pa.array(n.astype(np.int64))], ["span", "n"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_other_stages()
         for batch in batches:
             for lo, hi in pieces(batch.column(2)):
                 block = batch.slice(lo, hi - lo)
@@ -164,13 +168,22 @@ def repeated_spans(docs: DataFrame, *, min_words: int = 20, local_cuts: bool = F
                 )
 
     path = shared_dir(spark, "spans")
-    several = docs.select("text").mapInArrow(count, "span long, n long").groupBy("span").agg(F.sum("n").alias("n")).where("n > 1").select("span")
-    places = docs.mapInArrow(place, T.StructType([T.StructField("span", T.LongType()), docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("place", T.LongType())]))
-    places.join(several, "span").write.parquet(path)
-    found = spark.read.schema(places.schema).parquet(path)
+    counted = docs.select("text").mapInArrow(count, "span long, n long").groupBy("span").agg(F.sum("n").alias("n")).where("n > 1")
+    counted.write.parquet(f"{path}/several")
+    several = spark.read.parquet(f"{path}/several")
+    # A span with a thousandth or more of all places is dealt over SALTS tasks; there are at most HOT_SHARE of them.
+    total = several.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(several.where(F.col("n") * HOT_SHARE > total).select(F.col("span").alias("__hot")))
+    salts = F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = lambda spans: spans.join(hot, F.col("span") == F.col("__hot"), "left").withColumn("salt", F.explode(salts)).drop("__hot")
+    own_salt = F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64("th", "place"), F.lit(SALTS))).otherwise(0).cast("int")
+    schema = T.StructType([T.StructField("span", T.LongType()), docs.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("place", T.LongType())])
+    places = docs.mapInArrow(place, schema).join(hot, F.col("span") == F.col("__hot"), "left").withColumn("salt", own_salt).drop("__hot")
+    places.join(salted(several.select("span")), ["span", "salt"]).write.parquet(f"{path}/found")
+    found = spark.read.parquet(f"{path}/found")
     origin = F.struct("doc_id", "th", "place")
     firsts = found.groupBy("span").agg(F.min(origin).alias("first"), F.max(origin).alias("last")).where("first <> last").select("span", "first")
-    later = found.join(firsts, "span").where(origin != F.col("first"))
+    later = found.join(salted(firsts), ["span", "salt"]).where(origin != F.col("first"))
     return later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("marks"))
 
 
