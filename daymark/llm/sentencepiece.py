@@ -21,6 +21,7 @@ shuffle, and memory is bounded by a block of text and a bounded cache of words.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -33,6 +34,7 @@ from pyspark.sql import types as T
 
 from daymark.llm.units import UnitCache
 from daymark.llm.words import pieces as row_blocks
+from daymark.llm.worker import kept_for_stage
 
 MARK = "▁"
 _RUNS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -108,17 +110,32 @@ class Encoder:
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition: best-scored neighbours merge first, then the leftmost."""
-        parts = list(text)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = self.score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        n, score = len(text), self.score
+        parts: list[str | None] = list(text)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap: list[tuple[float, int, str]] = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < n and (s := score.get(parts[i] + parts[j])) is not None:
+                heapq.heappush(heap, (-s, i, parts[i] + parts[j]))
+
+        for i in range(n - 1):
+            offer(i)
+        while heap:
+            _, i, both = heapq.heappop(heap)
+            j = after[i]
+            # An entry is out of date if one of its parts has merged meanwhile.
+            if parts[i] is None or j >= n or parts[i] + parts[j] != both:
+                continue
+            parts[i], parts[j] = both, None
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [p for p in parts if p is not None]
 
     def stays(self, left: str, right: str) -> bool:
         key = (left, right)
@@ -258,16 +275,9 @@ class Encoder:
         return "".join(out).replace(MARK, " ")
 
 
-_ENCODERS: dict[int, Encoder] = {}
-
-
 def _encoder(model: PieceModel) -> Encoder:
-    """The worker's encoder for a model, kept over the tasks that reuse the worker."""
-    key = hash((model.kind, model.pieces[-50:], len(model.pieces), model.scores[-50:]))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(model)
-    return _ENCODERS[key]
+    """The worker's encoder for a model, kept over the tasks of a stage."""
+    return kept_for_stage(("sentencepiece", model), lambda: Encoder(model))
 
 
 def encode_documents(
@@ -291,7 +301,7 @@ def encode_documents(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value)
         for batch in batches:
-            for lo, hi in row_blocks(batch.column(text_col), 2 << 20):
+            for lo, hi in row_blocks(batch.column(text_col)):
                 block = batch.slice(lo, hi - lo)
                 ids, off = encoder.encode(block.column(text_col))
                 lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids))

@@ -16,35 +16,41 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daymark.llm.units import UnitCache
 from daymark.llm.words import pieces as row_blocks
+from daymark.llm.worker import kept_for_stage
 
 
 class TextEncoder:
     """The tokenizer's ids of whole texts, through a cache of their words.
 
     The tokenizer must cut words as byte-level BPE does: a boundary lies
-    before every space between two non-space characters, and before a line
-    break between two such characters, whatever stands around them.  So a
+    before every space between two non-space characters, before a line
+    break between two such characters, and between a letter and a stop behind it, whatever
+    stands around them.  So a
     plain text may be cut there and its units encoded apart, or many units in a
-    row; other texts are encoded whole.
+    row; other texts are encoded whole, and so are those that hold the string of
+    an added token.  ``special_as_text`` makes such strings ordinary text; by default they get
+    the added token's id, as the library does.
     """
 
-    def __init__(self, tokenizer_json: str) -> None:
+    def __init__(self, tokenizer_json: str, special_as_text: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.added = [] if special_as_text else sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()})
         # Byte-level tokens spell each byte of the text as one character.
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token_bytes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
         for token, i in vocab.items():
             self.token_bytes[i] = len(token)
-        self.cache = UnitCache(self.encode_units)
+        self.cache = UnitCache(self.encode_units, stops=True)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
@@ -62,18 +68,21 @@ class TextEncoder:
         return [own if own is not None else self._ids(unit.decode()) for own, unit in zip(out, units)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        return self.cache.encode(texts)
+        """All ids of the texts in a row, and the n+1 offsets of the texts in them."""
+        held = np.zeros(len(texts), dtype=bool)
+        for token in self.added:
+            held |= pc.fill_null(pc.match_substring(texts, token), False).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return self.cache.encode(texts)
+        ids, off = self.cache.encode(pc.if_else(pa.array(held), pa.scalar("", texts.type), texts))
+        rows = np.split(ids, off[1:-1])
+        for i in np.flatnonzero(held):
+            rows[i] = self._ids(texts[int(i)].as_py())
+        return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
 
-_ENCODERS: dict[int, TextEncoder] = {}
-
-
-def _encoder(tokenizer_json: str) -> TextEncoder:
-    key = zlib.crc32(tokenizer_json.encode())
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = TextEncoder(tokenizer_json)
-    return _ENCODERS[key]
+def _encoder(tokenizer_json: str, special_as_text: bool) -> TextEncoder:
+    return kept_for_stage(("tokens", tokenizer_json, special_as_text), lambda: TextEncoder(tokenizer_json, special_as_text))
 
 
 def write_token_files(
@@ -82,6 +91,7 @@ def write_token_files(
     tokenizer_file: str,
     *,
     end_id: int = 0,
+    special_as_text: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
     encoding: str = "dictionary",
@@ -93,9 +103,9 @@ def write_token_files(
 
     Rows are in ascending ``id_col`` order over the parts and within them (a
     null id first; rows that share an id in an order fixed by their text).  A
-    null or empty text has just the end id; an empty table gives readable
-    files without rows; other columns are ignored.  ``encoding`` is
-    "dictionary" or "delta".
+    null or empty text has just the end id; texts of any length are encoded whole; an
+    empty table gives readable files without rows; other columns are ignored.  ``encoding`` is
+    "dictionary" or "delta".  ``special_as_text`` is that of ``TextEncoder``.
     """
     if encoding not in ("dictionary", "delta"):
         raise ValueError(f"unknown encoding {encoding!r}")
@@ -105,9 +115,9 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        encoder = _encoder(shared.value)
+        encoder = _encoder(shared.value, special_as_text)
         for batch in batches:
-            for lo, hi in row_blocks(batch.column(1), 2 << 20):
+            for lo, hi in row_blocks(batch.column(1)):
                 ids, off = encoder.encode(batch.column(1).slice(lo, hi - lo))
                 ids = np.insert(ids, off[1:], end_id)
                 off = off + np.arange(hi - lo + 1)

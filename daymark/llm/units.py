@@ -24,8 +24,17 @@ _ODD = np.zeros(256, dtype=bool)
 _ODD[[0x09, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0xE1, 0xE2, 0xE3]] = True
 
 
-def unit_starts(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First bytes of the units, and for each unit whether its text is plain."""
+#: Stops before which a word may be cut where the tokenizer never joins them to a letter.
+_STOP = np.zeros(256, dtype=bool)
+_STOP[[ord(c) for c in ".,;:!?"]] = True
+_ASCII_LETTER = np.zeros(256, dtype=bool)
+_ASCII_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def unit_starts(raw: np.ndarray, off: np.ndarray, stops: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes of the units, and for each unit whether its text is plain.
+
+    With ``stops`` a plain text is also cut between an ASCII letter and a stop."""
     n = len(raw)
     sep = _SEP[raw]
     odd = _ODD[raw]
@@ -38,7 +47,12 @@ def unit_starts(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     odd[last] |= sep[last]
     bad = np.concatenate([[0], np.cumsum(odd)])
     plain = bad[last + 1] == bad[first]
-    at = np.flatnonzero(sep)
+    cut = sep
+    if stops and n:
+        cut = sep.copy()
+        cut[1:] |= _STOP[raw[1:]] & _ASCII_LETTER[raw[:-1]]
+        cut[first] &= sep[first]
+    at = np.flatnonzero(cut)
     text = np.searchsorted(first, at, "right") - 1
     at = at[plain[text]] if len(first) else at[:0]
     starts = np.concatenate([first, at])
@@ -52,12 +66,13 @@ class UnitCache:
     """``encode`` gives ids per text; ``encode_units`` gives them for units not yet known.
 
     ``encode_units(units, plain)`` takes byte strings and returns one id array
-    each.  The cache is emptied when it holds more than ``max_units`` units or
-    eight times as many ids.
+    each.  When the cache holds more than ``max_units`` units or eight times as
+    many ids, those stay that were used in most blocks since the last time, half of them at most.
     """
 
-    def __init__(self, encode_units: Callable[[list[bytes], np.ndarray], list[np.ndarray]], max_units: int = 600_000) -> None:
+    def __init__(self, encode_units: Callable[[list[bytes], np.ndarray], list[np.ndarray]], max_units: int = 800_000, stops: bool = False) -> None:
         self.encode_units = encode_units
+        self.stops = stops
         self.max_units = max_units
         self.clear()
 
@@ -66,6 +81,24 @@ class UnitCache:
         self.starts = np.zeros(1, np.int64)
         self.n_units = 0
         self.pool = np.zeros(1 << 16, np.int32)
+        self.uses = np.zeros(1 << 16, np.uint8)
+
+    def shrink(self) -> None:
+        """Drop units of few uses, at least half of all; the others start at no use again."""
+        uses = self.uses[: self.n_units]
+        sizes = np.diff(self.starts)
+        least = 2
+        while least < 256 and ((keep := uses >= least).sum() > self.max_units // 2 or sizes[keep].sum() > 4 * self.max_units):
+            least += 1
+        if least == 256:
+            self.clear()
+            return
+        fresh = np.cumsum(keep) - 1
+        self.pool = self.pool[: self.starts[-1]][np.repeat(keep, sizes)]
+        self.starts = np.concatenate([[0], np.cumsum(sizes[keep])])
+        self.levels = [(known[keep[number]], fresh[number[keep[number]]]) for known, number in self.levels]
+        self.n_units = int(keep.sum())
+        self.uses = np.zeros(len(self.uses), np.uint8)
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Numbers of known units, -1 for others; ``keys`` ascending."""
@@ -87,6 +120,8 @@ class UnitCache:
         self.starts = np.concatenate([self.starts[: self.n_units + 1], ends])
         numbers = np.arange(self.n_units, self.n_units + len(ids))
         self.n_units += len(ids)
+        if self.n_units > len(self.uses):
+            self.uses = np.concatenate([self.uses, np.zeros(self.n_units, np.uint8)])
         into = 1 if len(self.levels[1][0]) + len(keys) < 200_000 else 0
         if into == 0:
             keys, numbers_ = np.concatenate([keys, self.levels[1][0]]), np.concatenate([numbers, self.levels[1][1]])
@@ -103,7 +138,7 @@ class UnitCache:
         raw, off = utf8(texts)
         if not len(raw):
             return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
-        starts, plain = unit_starts(raw, off)
+        starts, plain = unit_starts(raw, off, self.stops)
         ends = np.append(starts[1:], len(raw))
         sums = np.zeros(len(raw) + 1, dtype=np.uint64)
         np.cumsum(_BYTE[raw] * _powers(_BASE, len(raw)), out=sums[1:])
@@ -112,19 +147,28 @@ class UnitCache:
         # A unit at the start of a text has no space before it and may be encoded in another way.
         first = np.searchsorted(off, starts, "right") - 1
         hashes[off[first] == starts] ^= _U(0x5BD1E995)
-        keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        # Distinct hashes by a hash table; only those are sorted.
+        coded = pa.array(hashes).dictionary_encode()
+        codes, keys = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        where = np.empty(len(keys), dtype=np.int64)
+        where[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        order = np.argsort(keys)
+        keys, where = keys[order], where[order]
         number = self._find(keys)
         new = np.flatnonzero(number < 0)
-        if self.n_units + len(new) > self.max_units or len(self.pool) > 8 * self.max_units:
-            self.clear()
-            number[:] = -1
-            new = np.arange(len(keys))
+        if self.n_units and (self.n_units + len(new) > self.max_units or self.starts[-1] > 8 * self.max_units):
+            self.shrink()
+            number = self._find(keys)
+            new = np.flatnonzero(number < 0)
         if len(new):
             at = where[new]
             data = raw.tobytes()
             units = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
             number[new] = self._add(keys[new], self.encode_units(units, plain[at]))
-        number = number[inverse]
+        self.uses[number] = np.minimum(self.uses[number], 254) + 1
+        of_code = np.empty(len(order), dtype=np.int64)
+        of_code[order] = number
+        number = of_code[codes]
         begin = self.starts[number]
         size = self.starts[number + 1] - begin
         stop = np.cumsum(size)

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import dataclasses
 import random
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -80,13 +82,13 @@ def test_token_files_round_trip(spark):
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     tk = Tokenizer.from_file(path)
-    tk.encode_special_tokens = True
-    texts = _hard()
+    texts = [*_hard(), "a <|endoftext|> b", "<|endoftext|>", "x\n<|endoftext|><|endoftext|> the"]
     docs = _frame(spark, texts).repartition(5)
     docs = docs.unionByName(docs.where("doc_id = 9"))  # a repeated row
-    for encoding in ("dictionary", "delta"):
+    for encoding, as_text in (("dictionary", False), ("delta", True)):
         out = shared_dir(spark, "test-op6")
-        TK.write_token_files(docs, out, path, encoding=encoding)
+        tk.encode_special_tokens = as_text
+        TK.write_token_files(docs, out, path, encoding=encoding, special_as_text=as_text)
         back = TK.read_token_files(spark, out)
         rows = back.orderBy("start").collect()
         at = 0
@@ -94,6 +96,7 @@ def test_token_files_round_trip(spark):
             ids = [*tk.encode(texts[want] or "", add_special_tokens=False).ids, 0]
             assert (r.doc_id, r.start, r.n_tokens, r.ids) == (want, at, len(ids), ids)
             at += len(ids)
+        assert any(50256 in r.ids for r in rows) is not as_text
         some = TK.ids_crc32(back.where("doc_id = 0")).collect()
         assert [r.ids_crc32 for r in some] == [zlib.crc32(b"\0\0\0\0")]
     slim = TK.read_token_files(spark, out, columns=("doc_id", "start"))
@@ -101,6 +104,52 @@ def test_token_files_round_trip(spark):
     assert "GreaterThan(doc_id,5)" in plan and not re.search(r"ReadSchema: \S*\bids:", plan)
 
 
+def test_full_caches_keep_what_is_used_again():
+    """A small cache gives the same ids, and does not learn again what every block has."""
+    from daymark.llm.units import UnitCache
+
+    learned: list[bytes] = []
+
+    def encode_units(units, plain):
+        learned.extend(units)
+        return [np.frombuffer(u, np.uint8).astype(np.int32) for u in units]
+
+    rng = random.Random(3)
+    cache = UnitCache(encode_units, max_units=300)
+    for _ in range(40):
+        texts = [" ".join(["all", "have", "these", *(f"w{rng.randrange(10**6)}" for _ in range(60))]) for _ in range(2)] + ["", None]
+        ids, off = cache.encode(pa.array(texts))
+        assert [bytes(ids[a:b].astype(np.uint8)).decode() for a, b in zip(off[:-1], off[1:])] == [t or "" for t in texts]
+        assert cache.n_units <= 300
+    assert [learned.count(u) for u in (b"all", b" have", b" these")] == [1, 1, 1]
+
+
+def test_merging_long_runs_of_marks_is_not_quadratic():
+    import sentencepiece
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp, encoder = sentencepiece.SentencePieceProcessor(model_file=path), S.Encoder(S.load_model(path))
+    for text in (" " * 300_000 + "x", "a" + " " * 4001 + "b" + " " * 17, "ab" * 20 + " " * 33):
+        ids, _ = encoder.encode(pa.array([text]))
+        assert ids.tolist() == sp.encode(text)
+
+
+def test_models_that_differ_anywhere_have_their_own_encoder():
+    model = S.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    other = dataclasses.replace(model, dummy_prefix=not model.dummy_prefix)
+    assert S._encoder(model) is S._encoder(model)
+    assert S._encoder(other).model is other and S._encoder(model).model is model
+
+
+def test_hashes_need_only_small_tables():
+    from daymark.llm import words as W
+
+    for n in (1, 65_536, 65_537, 300_000):
+        powers = W._powers(W._BASE, n)
+        assert len(powers) == n and int(powers[-1]) == pow(W._BASE, n - 1, 2**64)
+    assert all(len(t) == 1 << 16 for t in W._POWERS.values())
+
+
 def test_empty_tables(spark):
     empty = _frame(spark, ["a"]).where("doc_id < 0")
     out = shared_dir(spark, "test-op6")
