@@ -5,7 +5,7 @@ Layout (all keys optional)::
     paths:   {raw, bronze, silver, users, publish}
     outputs: {<table>: <path>}          # per-table silver target override
     pipeline: {days_back: 1, late_days: null, silver_format: parquet}
-    quality_rules: {<table>: [{name, column, check}, ...]}
+    quality_rules: {<table>: [{name, column, check, severity}, ...]}   # severity: error (stops the run) or warn
     spark_conf: {<key>: <value>}        # applied when the session is built
 
 Environment: ``RUN_DATE``, ``DAYS_BACK``, ``DAYMARK_PATH_<NAME>`` for a path
