@@ -11,10 +11,12 @@ import pytest
 from daymark.operators import quality as DQ
 from daymark.plans import catalog_io as C
 from daymark.plans.catalog import ORACLE_SQL, QUERIES
+from daymark.plans.job import JobPaths, run_daily_job
+from tests.conftest import ts
 from tests.test_oracle import _digest
 
 NAMES = [
-    "gated_publish",
+    "gated_publish", "daily_job_run_date",
 ]
 
 
@@ -66,3 +68,24 @@ def test_severity_of_rules():
     assert [r.severity for r in DQ.rules_from_config(section)] == ["warn", "error"]
     with pytest.raises(ValueError):
         DQ.Rule("orders", "amount", "gt_zero", severity="info")
+
+
+@pytest.mark.parametrize("run", [run_daily_job])
+def test_runs_with_the_default_rules_still_stop(spark, tmp_path, make_orders, run):
+    orders = make_orders([("A1", 1, 0.0, ts("2024-01-01 10:00:00")), ("A2", 1, 2.0, ts("2024-01-01 11:00:00"))])
+    raw, users = str(tmp_path / "raw"), str(tmp_path / "users.csv")
+    C.ST.stage_named_files(C.ST.raw_orders_frame(orders), raw, "csv", {None: "orders_2024-01-01.csv"})
+    C.ST.stage_named_files(C.ST.raw_events_frame(spark, _one_event(spark, tmp_path)).drop("day"), raw, "json", {None: "events_2024-01-01.ndjson"})
+    (tmp_path / "users.csv").write_text("user_id,channel\n1,web\n")
+    paths = lambda name: JobPaths(raw=raw, bronze=str(tmp_path / name / "bronze"), silver=str(tmp_path / name / "silver"), users=users)
+    with pytest.raises(DQ.DataQualityError, match="gt_zero"):
+        run(spark, paths("default"))
+    checked = run(spark, paths("warned"), rules=C.PURCHASE_RULES).quality
+    assert ("orders", "gt_zero(amount)", 2) in checked
+
+
+def _one_event(spark, tmp_path):
+    rows = [(1, dt.datetime(2024, 1, 1), 1, "view", None, "{}")]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/sf/events.parquet")
+    return f"{tmp_path}/sf"
