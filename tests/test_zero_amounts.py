@@ -10,13 +10,14 @@ import pytest
 
 from daymark.operators import quality as DQ
 from daymark.plans import catalog_io as C
+from daymark.plans import incremental as I
 from daymark.plans.catalog import ORACLE_SQL, QUERIES
 from daymark.plans.job import JobPaths, run_daily_job
 from tests.conftest import ts
 from tests.test_oracle import _digest
 
 NAMES = [
-    "gated_publish", "daily_job_run_date",
+    "gated_publish", "daily_job_run_date", "incremental_tables",
 ]
 
 
@@ -70,7 +71,7 @@ def test_severity_of_rules():
         DQ.Rule("orders", "amount", "gt_zero", severity="info")
 
 
-@pytest.mark.parametrize("run", [run_daily_job])
+@pytest.mark.parametrize("run", [run_daily_job, I.run_incremental])
 def test_runs_with_the_default_rules_still_stop(spark, tmp_path, make_orders, run):
     orders = make_orders([("A1", 1, 0.0, ts("2024-01-01 10:00:00")), ("A2", 1, 2.0, ts("2024-01-01 11:00:00"))])
     raw, users = str(tmp_path / "raw"), str(tmp_path / "users.csv")
