@@ -17,7 +17,8 @@ from tests.conftest import ts
 from tests.test_oracle import _digest
 
 NAMES = [
-    "gated_publish", "daily_job_run_date", "incremental_tables", *[f"job_{n}" for n in C.WAREHOUSE_TABLES], *[f"warehouse_{t}" for t in C.WAREHOUSE_TABLES.values()],
+    "gated_publish", "daily_job_run_date", "incremental_tables", "unique_over_ingests",
+    *[f"job_{n}" for n in C.WAREHOUSE_TABLES], *[f"warehouse_{t}" for t in C.WAREHOUSE_TABLES.values()],
 ]
 
 
