@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daymark.llm import ship_package
 from daymark.llm.catalog import tokenizer_file
 from daymark.llm.jaccard import jaccard_components
+from daymark.llm.key_filter import key_filter, split
 from daymark.llm.labelled import labelled_sample
 from daymark.llm.mix import mix_sources
 from daymark.llm.sentencepiece import encode_documents, load_model
@@ -49,14 +50,18 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     # Rows of these keys go; of those that stay, one of several equal rows is put back.
     keys.withColumn("stays", stays).where("not stays or n > 1").select("doc_id", "text_hash", "stays").write.parquet(f"{root}/marked")
     marked = spark.read.parquet(f"{root}/marked")
-    d, m = docs.select(*COLUMNS, F.xxhash64("text").alias("__text_hash")).alias("d"), marked.alias("m")
+    # Only rows that may be marked move to meet the marks; the filter tells most others.
+    row_key = lambda text_hash: F.xxhash64("doc_id", text_hash)
+    key_filter(marked.select(row_key("text_hash")).distinct()).write.parquet(f"{root}/held")
+    may, others = split(docs.select(*COLUMNS, F.xxhash64("text").alias("__text_hash")), row_key("__text_hash"), spark.read.parquet(f"{root}/held"))
+    d, m = may.alias("d"), marked.alias("m")
     same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.__text_hash") == F.col("m.text_hash"))
-    kept = d.join(m, same, "left_anti").select(*COLUMNS)
+    kept = others.select(*COLUMNS).union(d.join(m, same, "left_anti").select(*COLUMNS))
     if not marked.where("stays").take(1):
         return kept
     equal = d.join(m.where("stays"), same).select(*[F.col(f"d.{c}") for c in COLUMNS], "text_hash")
-    others = F.struct(*[c for c in COLUMNS if c != "doc_id"])
-    one = equal.groupBy("doc_id", "text_hash").agg(F.min(others).alias("row"))
+    rest = F.struct(*[c for c in COLUMNS if c != "doc_id"])
+    one = equal.groupBy("doc_id", "text_hash").agg(F.min(rest).alias("row"))
     return kept.union(one.select(*[c if c == "doc_id" else F.col(f"row.{c}") for c in COLUMNS]))
 
 

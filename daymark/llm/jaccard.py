@@ -7,7 +7,10 @@ class pair of similarity t or more must share a token among the first
 postings of the first one, rarest tokens first, and must also share a prefix
 token under every other order before their sets are compared.
 
-* Token counts are exact over all classes.  Each task sends every range of
+* A class that links shares a least number of its first tokens in hash order,
+  about a quarter of all, with other classes.  These are sent first; the texts of
+  classes with fewer go no further, and the next steps see the others only.
+* Token counts are exact over those.  Each task sends every range of
   the token space one packed block (sorted token gaps, local class numbers),
   a token that no second class has goes no further.  Tokens in more than
   1/64 of the classes are known from the first scan; they rank last, and
@@ -35,6 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.key_filter import key_filter, split
 from daymark.llm.words import mix64, pieces, shingle_sets
 from daymark.llm.worker import free_other_stages
 from daymark.session import shared_dir
@@ -48,6 +52,8 @@ LEADER_ROUNDS = 1
 LEADERS = 8
 COUNTERS = 64
 COUNTER_TOP = 32_767  # a counter of this value says "so many or more"
+# A class must share one in so many of its tokens, among its first ones in hash order, before all of them are sent.
+SCREEN = 16
 # Shares of the pairs left that the last rounds compare, in sixteenths from and to.
 PAIR_SHARES = ((0, 1), (1, 4), (4, 16))
 _SEED = np.uint64(0x51ED270B27A1C9F5)
@@ -164,56 +170,110 @@ def _profile(docs: DataFrame, path: str) -> None:
     docs.mapInArrow(run, "kind int, doc_id long, n long, class long, text_hash long").write.parquet(path)
 
 
+def _sent(block: _Block, heavy: np.ndarray, n_parts: int, turn: int) -> pa.RecordBatch:
+    """(part, block): a packed block of each range of the token space that has tokens, and one of the heavy tokens."""
+    bits = n_parts.bit_length() - 1
+    tokens, local = block.sorted()
+    ids = np.array(block.ids, dtype=np.int64)
+    is_heavy = np.isin(tokens, heavy, assume_unique=False)
+    parts, blobs = [], []
+    if is_heavy.any():
+        parts.append(n_parts + TaskContext.get().partitionId() * 1000 + turn)
+        blobs.append(_pack(tokens[is_heavy] >> np.uint64(8), local[is_heavy], ids))
+    tokens, local = tokens[~is_heavy] >> np.uint64(8), local[~is_heavy]
+    which = tokens >> np.uint64(56 - bits) if bits else np.zeros(len(tokens), np.uint64)
+    edges = np.searchsorted(which, np.arange(n_parts + 1, dtype=np.uint64))
+    low = np.uint64((1 << (56 - bits)) - 1)
+    for part in np.flatnonzero(np.diff(edges)):
+        a, b = edges[part], edges[part + 1]
+        parts.append(int(part))
+        blobs.append(_pack(tokens[a:b] & low, local[a:b], ids))
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "block"])
+
+
+def _shared_tokens(blocks: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens and classes of packed blocks, each pair once, sorted, and the number of classes of each token."""
+    both = [_unpack(b) for b in blocks]
+    tokens = np.concatenate([x[0] for x in both])
+    ids = np.concatenate([x[1] for x in both])
+    order = np.lexsort((ids, tokens))
+    tokens, ids = tokens[order], ids[order]
+    fresh = np.ones(len(tokens), dtype=bool)
+    fresh[1:] = (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])
+    tokens, ids = tokens[fresh], ids[fresh]
+    first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+    return tokens, ids, np.diff(np.append(first, len(tokens)))
+
+
+def _least(n: np.ndarray, percent: int) -> np.ndarray:
+    """What a set of n tokens has in common at least with any set it links with."""
+    return (percent * n + 99) // 100
+
+
+def _screened(n: np.ndarray, percent: int) -> np.ndarray:
+    """Linked sets share so many of their first ``n - least + screened`` tokens: the lesser one's number."""
+    return np.minimum(_least(n, percent), n // SCREEN + 1)
+
+
+def _enough(n: str, found: str, percent: int) -> Column:
+    """Whether that many found tokens allow a link: a set it links with has ``_least`` tokens or more."""
+    least = F.expr(f"({percent} * {n} + 99) div 100")
+    return F.col(found) >= F.least(F.expr(f"({percent} * (({percent} * {n} + 99) div 100) + 99) div 100"), F.floor(least / SCREEN) + 1)
+
+
+def _found_in_others(docs: DataFrame, heavy: np.ndarray, n_parts: int, percent: int) -> DataFrame:
+    """(class, found): how many of a class's first tokens in hash order are among those of another class, in parts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn, block = 0, _Block()
+        for _, tokens, at, ids in _read_blocks(batches):
+            n = np.diff(at)
+            first = n - _least(n, percent) + _screened(n, percent)
+            own = np.arange(len(tokens)) - np.repeat(at[:-1], n) < np.repeat(first, n)
+            block.add(tokens[own], np.concatenate([[0], np.cumsum(first)]), ids)
+            if block.full():
+                yield _sent(block, heavy, n_parts, turn)
+                turn, block = turn + 1, _Block()
+        yield _sent(block, heavy, n_parts, turn)
+
+    def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        # Several classes of a block have a heavy token.
+        if int(key[0]) >= n_parts:
+            ids = np.concatenate([_unpack(b)[1] for b in rows["block"]])
+        else:
+            _, ids, df = _shared_tokens(rows["block"])
+            ids = ids[np.repeat(df > 1, df)]
+        own, found = np.unique(ids, return_counts=True)
+        return pd.DataFrame({"class": own, "found": found.astype(np.int64)})
+
+    blocks = docs.mapInArrow(run, "part long, block binary")
+    return blocks.groupBy("part").applyInPandas(count, "class long, found long")
+
+
 def _repeated_tokens(docs: DataFrame, heavy: np.ndarray, n_parts: int) -> DataFrame:
     """(class, key) for every token that two or more classes have.
 
     A key sorts by token count (in steps), then token; it names 56 bits of the
     token.  The count step of heavy tokens is the last.
     """
-    bits = max(0, n_parts.bit_length() - 1)
-    low = np.uint64((1 << (56 - bits)) - 1)
-
-    def send(block: _Block, task: int, turn: int) -> Iterator[pa.RecordBatch]:
-        tokens, local = block.sorted()
-        ids = np.array(block.ids, dtype=np.int64)
-        is_heavy = np.isin(tokens, heavy, assume_unique=False)
-        parts, blobs = [], []
-        if is_heavy.any():
-            parts.append(n_parts + task * 1000 + turn)
-            blobs.append(_pack(tokens[is_heavy] >> np.uint64(8), local[is_heavy], ids))
-        tokens, local = tokens[~is_heavy] >> np.uint64(8), local[~is_heavy]
-        which = tokens >> np.uint64(56 - bits) if bits else np.zeros(len(tokens), np.uint64)
-        edges = np.searchsorted(which, np.arange(n_parts + 1, dtype=np.uint64))
-        for part in np.flatnonzero(np.diff(edges)):
-            a, b = edges[part], edges[part + 1]
-            parts.append(int(part))
-            blobs.append(_pack(tokens[a:b] & low, local[a:b], ids))
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(blobs, pa.binary())], ["part", "block"])
+    bits = n_parts.bit_length() - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, turn, block = TaskContext.get().partitionId(), 0, _Block()
+        turn, block = 0, _Block()
         for _, tokens, at, ids in _read_blocks(batches):
             block.add(tokens, at, ids)
             if block.full():
-                yield from send(block, task, turn)
+                yield _sent(block, heavy, n_parts, turn)
                 turn, block = turn + 1, _Block()
-        yield from send(block, task, turn)
+        yield _sent(block, heavy, n_parts, turn)
 
     def count(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         part = int(key[0])
-        both = [_unpack(b) for b in rows["block"]]
-        tokens = np.concatenate([x[0] for x in both])
-        ids = np.concatenate([x[1] for x in both])
         if part >= n_parts:
-            keys = tokens + np.uint64(HEAVY_CLASS << 56)
-            return pd.DataFrame({"class": ids, "key": keys.view(np.int64)})
-        order = np.lexsort((ids, tokens))
-        tokens, ids = tokens[order], ids[order]
-        fresh = np.ones(len(tokens), dtype=bool)
-        fresh[1:] = (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])
-        tokens, ids = tokens[fresh], ids[fresh]
-        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
-        df = np.diff(np.append(first, len(tokens)))
+            both = [_unpack(b) for b in rows["block"]]
+            keys = np.concatenate([x[0] for x in both]) + np.uint64(HEAVY_CLASS << 56)
+            return pd.DataFrame({"class": np.concatenate([x[1] for x in both]), "key": keys.view(np.int64)})
+        tokens, ids, df = _shared_tokens(rows["block"])
         step = np.minimum(HEAVY_CLASS - 1, 6 * np.log2(df)).astype(np.uint64)
         keep = np.repeat(df > 1, df)
         keys = (np.repeat(step, df) << np.uint64(56)) + (np.uint64(part) << np.uint64(56 - bits)) + tokens
@@ -306,6 +366,7 @@ def jaccard_components(
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     _profile(texts.withColumn("text_hash", F.xxhash64("text")), f"{root}/profile")
     profile = spark.read.parquet(f"{root}/profile")
+    hashes = profile.where("kind = 0 and n > 0").select("class", "text_hash")
     rows = profile.where("kind = 0").select("doc_id", "n", "class", *(["text_hash"] if row_keys else []))
 
     size = profile.agg(
@@ -315,11 +376,19 @@ def jaccard_components(
     # At most 64 times the mean set size, whatever the number of rows.
     counts = profile.where("kind = 1").groupBy("class").agg(F.sum("n").alias("n"))
     heavy = np.sort(np.array([r[0] for r in counts.where(F.col("n") * HEAVY_SHARE >= max(1024, size["classes"])).select("class").collect()], dtype=np.int64).view(np.uint64))
-    n_parts = 1 << max(0, int(size["tokens"] // PART_TOKENS).bit_length())
+    n_parts = lambda tokens: 1 << max(0, int(tokens // PART_TOKENS).bit_length())
 
-    sets = _repeated_tokens(texts, heavy, n_parts).groupBy("class").agg(F.collect_set("key").alias("keys"))
     classes = rows.where("n > 0").groupBy("class").agg(F.first("n").alias("n"))
-    shared = sets.join(classes, "class").withColumn("take", F.expr(f"int(size(keys) - (({percent} * n + 99) div 100) + 1)")).where("take > 0")
+    found = _found_in_others(texts, heavy, n_parts(size["tokens"] * (100 - percent) // 100 + size["tokens"] // SCREEN), percent)
+    enough = classes.join(found.groupBy("class").agg(F.sum("found").alias("found")), "class").where(_enough("n", "found", percent))
+    enough.select("class", "n").write.parquet(f"{root}/enough")
+    enough = spark.read.parquet(f"{root}/enough")
+    # All rows of these classes, and a few others; a text's hash tells them before the text is read.
+    key_filter(hashes.join(enough, "class", "left_semi").select("text_hash").distinct()).write.parquet(f"{root}/held")
+    near, _ = split(texts, F.xxhash64("text"), spark.read.parquet(f"{root}/held"))
+    left = enough.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()["tokens"]
+    sets = _repeated_tokens(near, heavy, n_parts(left)).groupBy("class").agg(F.collect_set("key").alias("keys"))
+    shared = sets.join(enough, "class").withColumn("take", F.expr(f"int(size(keys) - (({percent} * n + 99) div 100) + 1)")).where("take > 0")
     prefix = {"prefix1": F.slice(F.sort_array("keys"), 1, F.col("take"))}
     for i in range(2, orders + 1):
         prefix[f"prefix{i}"] = F.slice(F.sort_array(_scrambled(i)), 1, F.col("take"))["k"]
